@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .parsing import as_col
+from .parsing import as_col, let
 
 # Spellings of log levels and the level each stands for.
 LEVELS = {
@@ -79,20 +79,20 @@ def field_number(c: str | Column, unit: str = "float") -> Column:
     if unit == "float":
         return F.trim(as_col(c)).try_cast("double")
     if unit == "bytes":
-        return bytes_number(c)
+        return let(as_col(c), bytes_number)
     if unit == "duration":
-        return duration_seconds(c)
+        return let(as_col(c), duration_seconds)
     raise ValueError(f"unknown unit {unit!r}")
 
 
 def field_type(c: str | Column) -> Column:
     """Type a field's text looks like: float, bytes, duration or string."""
-    text = F.trim(as_col(c))
-    return (
-        F.when(text.try_cast("double").isNotNull(), "float")
+    return let(
+        F.trim(as_col(c)),
+        lambda text: F.when(text.try_cast("double").isNotNull(), "float")
         .when(bytes_number(text).isNotNull(), "bytes")
         .when(duration_seconds(text).isNotNull(), "duration")
-        .otherwise("string")
+        .otherwise("string"),
     )
 
 

@@ -17,6 +17,11 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
@@ -101,19 +106,24 @@ def json_map(line: str | Column) -> Column:
 def logfmt_map(line: str | Column) -> Column:
     """``key=value key="quoted value"`` pairs as a text map; the last of equal keys wins."""
     line = as_col(line)
-    pair = r'([A-Za-z_][\w.\-]*)=("(?:[^"\\]|\\.)*"|[^\s"]*)'
-    entry = lambda m: F.struct(
-        F.regexp_extract(m, pair, 1).alias("key"),
-        F.regexp_replace(F.regexp_extract(m, pair, 2), r'^"|"$', "").alias("value"),
-    )
-    found = F.transform(F.regexp_extract_all(line, F.lit(pair), F.lit(0)), entry)
-    last = F.filter(
-        found,
-        lambda e, i: ~F.exists(
-            F.slice(found, i + 2, F.size(found)), lambda later: later["key"] == e["key"]
-        ),
-    )
-    return F.map_from_entries(last)
+    pair = F.lit(r'([A-Za-z_][\w.\-]*)=(?:"((?:[^"\\]|\\.)*)"|([^\s"]*))')
+    part = lambda i: F.regexp_extract_all(line, pair, F.lit(i))
+    # Of the quoted and the bare form one is empty.
+    values = F.zip_with(part(2), part(3), lambda quoted, bare: F.concat(quoted, bare))
+    found = F.struct(part(1).alias("k"), values.alias("v"))
+
+    def as_map(kv: Column) -> Column:
+        keys, vals = kv["k"], kv["v"]
+        last = F.map_from_entries(
+            F.filter(
+                F.arrays_zip(keys.alias("k"), vals.alias("v")),
+                lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["k"]),
+            )
+        )
+        distinct = F.size(F.array_distinct(keys)) == F.size(keys)
+        return F.when(distinct, F.map_from_arrays(keys, vals)).otherwise(last)
+
+    return let(found, as_map)
 
 
 def line_fields(line: str | Column, fmt: str = "mixed") -> Column:

@@ -110,10 +110,11 @@ def field_avg(
     df: DataFrame, field: str, seconds: int, unit: str = "float", ts: str = "ts", fields: str = "fields"
 ) -> DataFrame:
     """Mean of a numeric field per bucket; rows whose text has no such number are left out."""
-    rows = df.select(bucket_start(ts, seconds).alias("bucket"), field_number(field_value(field, fields), unit).alias("x"))
-    return rows.where("x is not null").groupBy("bucket").agg(
+    x = field_number(field_value(field, fields), unit).alias("x")
+    means = df.select(bucket_start(ts, seconds).alias("bucket"), x).groupBy("bucket").agg(
         F.avg("x").alias("mean_value"), F.count("x").alias("n_lines")
     )
+    return means.where(F.col("n_lines") > 0)
 
 
 def sum_preaggregated(df: DataFrame, count_column: str, by: str = "level") -> DataFrame:
@@ -156,16 +157,15 @@ def detected_fields(df: DataFrame, line: str = "line", exact: bool = False) -> D
         F.when(F.col("j").isNotNull(), "json").otherwise("logfmt").alias("parser"),
         F.explode(F.coalesce("j", "l")).alias("field", "value"),
     )
-    rows = rows.where("value is not null")
+    rows = rows.where("value is not null").withColumn("kind", field_type("value"))
     count = F.count_distinct if exact else F.approx_count_distinct
-    kind = field_type("value")
     return (
         rows.groupBy("field")
         .agg(
             count(F.col("value")).alias("cardinality"),
             F.array_join(F.array_sort(F.collect_set("parser")), ", ").alias("parser"),
-            F.min(kind).alias("a"),
-            F.max(kind).alias("b"),
+            F.min("kind").alias("a"),
+            F.max("kind").alias("b"),
         )
         .select("field", "cardinality", "parser", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise("string").alias("field_type"))
         .orderBy(*_cardinality_order("field"))

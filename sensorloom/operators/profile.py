@@ -2,42 +2,167 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import permutations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import no_nan, numeric_columns
+from ..session import write_scratch
 from .ordered import join_same, with_running_sum
 
+_BINS = 1024
+
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     wide = df.select(*by, *[no_nan(c).alias(c) for c in columns])
     return wide.unpivot(list(by), list(columns), "column_name", "value").where("value is not null")
 
 
+def _positions(n: int, fractions: Sequence[float]) -> list[int]:
+    """Row numbers (from 0) that the percentiles of n sorted values touch."""
+    spots = set()
+    for f in fractions:
+        at = f * (n - 1)
+        spots |= {math.floor(at), math.ceil(at)}
+    return sorted(spots)
+
+
+@dataclass
+class _Range:
+    """Values of a column between two data values, and how many values lie below."""
+
+    column: str
+    lo: float
+    hi: float
+    below: int
+    rows: int
+    spots: list[int]
+
+
+def _narrow(df: DataFrame, ranges: list[_Range]) -> list[_Range]:
+    """One scan that splits every range into equal bins and keeps those with wanted positions.
+
+    Only bin counts come back: ranges times bins rows, whatever the table.
+    """
+    slots = []
+    for i, r in enumerate(ranges):
+        x = no_nan(r.column)
+        width = (r.hi - r.lo) / _BINS
+        slot = F.when(
+            x.between(r.lo, r.hi),
+            F.struct(
+                F.lit(i).alias("range"),
+                F.least(F.floor((x - r.lo) / F.lit(width)), F.lit(_BINS - 1)).cast("int").alias("bin"),
+                x.alias("x"),
+            ),
+        )
+        slots.append(slot)
+    placed = df.select(F.explode(F.array_compact(F.array(*slots))).alias("s"))
+    counted = placed.groupBy("s.range", "s.bin").agg(
+        F.count(F.lit(1)).alias("n"), F.min("s.x").alias("lo"), F.max("s.x").alias("hi")
+    )
+    out = []
+    bins = sorted(counted.collect(), key=lambda b: (b["range"], b["bin"]))
+    for i, r in enumerate(ranges):
+        below = r.below
+        for b in (b for b in bins if b["range"] == i):
+            inside = [s for s in r.spots if below <= s < below + b["n"]]
+            if inside:
+                out.append(_Range(r.column, b["lo"], b["hi"], below, b["n"], inside))
+            below += b["n"]
+    return out
+
+
+def _values_at(df: DataFrame, ranges: list[_Range], chunk_rows: int | None) -> dict[tuple[str, int], float]:
+    """The values at the wanted positions, from the rows of the narrowed ranges."""
+    done = {(r.column, s): r.lo for r in ranges if r.lo == r.hi for s in r.spots}
+    ranges = [r for r in ranges if r.lo < r.hi]
+    if not ranges:
+        return done
+    slots = [
+        F.when(no_nan(r.column).between(r.lo, r.hi), F.struct(F.lit(i).alias("range"), no_nan(r.column).alias("value")))
+        for i, r in enumerate(ranges)
+    ]
+    rows = df.select(F.explode(F.array_compact(F.array(*slots))).alias("s")).select("s.*")
+    freq = write_scratch(rows.groupBy("range", "value").agg(F.count(F.lit(1)).alias("n")), "percentiles")
+    upto = with_running_sum(freq, ["range"], ["value"], {"upto": F.col("n")}, chunk_rows)
+    wanted = F.array(*[F.array(*[F.lit(s - r.below) for s in r.spots]).cast("array<long>") for r in ranges])
+    hits = upto.select(
+        "range", "value",
+        F.filter(F.get(wanted, F.col("range")), lambda s: (s >= F.col("upto") - F.col("n")) & (s < F.col("upto"))).alias("s"),
+    ).where(F.size("s") > 0)
+    for h in hits.collect():  # one row per wanted position at most
+        for s in h["s"]:
+            r = ranges[h["range"]]
+            done[(r.column, s + r.below)] = h["value"]
+    return done
+
+
 def exact_percentiles(
     df: DataFrame,
     columns: Sequence[str],
     fractions: Sequence[float] = (0.25, 0.5, 0.75),
-    by: Sequence[str] = (),
     chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Linear-interpolated percentiles as (``by``, column_name, fraction, value).
+    """Linear-interpolated percentiles as (column_name, fraction, value).
+
+    Two scans narrow each wanted position down to a thin range of values by counting
+    bins; only rows inside those ranges are then sorted, as counts per distinct value.
+    So hardly any row is shuffled, and no task sees a whole column.
+    """
+    ends = df.agg(
+        *[
+            F.struct(F.count(no_nan(c)).alias("n"), F.min(no_nan(c)).alias("lo"), F.max(no_nan(c)).alias("hi")).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ]
+    ).first()
+    ranges = [
+        _Range(c, e["lo"], e["hi"], 0, e["n"], _positions(e["n"], fractions))
+        for c, e in zip(columns, ends)
+        if e["n"]
+    ]
+    for _ in range(2):
+        flat = [r for r in ranges if not r.lo < r.hi or not math.isfinite(r.hi - r.lo)]
+        wide = [r for r in ranges if r.lo < r.hi and math.isfinite(r.hi - r.lo)]
+        ranges = flat + (_narrow(df, wide) if wide else [])
+    values = _values_at(df, ranges, chunk_rows)
+    out = []
+    for c, e in zip(columns, ends):
+        for f in fractions:
+            if not e["n"]:
+                out.append((c, float(f), None))
+                continue
+            at = f * (e["n"] - 1)
+            lo, hi = values[(c, math.floor(at))], values[(c, math.ceil(at))]
+            out.append((c, float(f), lo + (hi - lo) * (at - math.floor(at)) if hi > lo else lo))
+    return df.sparkSession.createDataFrame(out, "column_name string, fraction double, value double")
+
+
+def exact_percentiles_by(
+    df: DataFrame,
+    columns: Sequence[str],
+    by: Sequence[str],
+    fractions: Sequence[float] = (0.25, 0.5, 0.75),
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """The same per group, as (``by``, column_name, fraction, value), for any number of groups.
 
     Equal values are counted first; a running count over the distinct values then
-    tells which of them covers a wanted position. No task sees a whole column.
+    tells which of them covers a wanted position.
     """
     keys = [*by, "column_name"]
     freq = _long(df, columns, by).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    freq = write_scratch(freq, "percentiles")
     upto = with_running_sum(freq, keys, ["value"], {"upto": F.col("n")}, chunk_rows)
     totals = freq.groupBy(*keys).agg(F.sum("n").alias("total"))
+    at = lambda f: F.lit(float(f)) * (F.col("total") - 1)
     wanted = totals.select(
-        *keys, "total", F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")
-    ).withColumn("at", F.col("fraction") * (F.col("total") - 1))
-    wanted = wanted.groupBy(*keys).agg(F.collect_list(F.struct("fraction", "at")).alias("wanted"))
-    # One short array per (by, column); a value joins it and keeps the positions it covers.
+        *keys, F.array(*[F.struct(F.lit(float(f)).alias("fraction"), at(f).alias("at")) for f in fractions]).alias("wanted")
+    )
     hit = join_same(upto, wanted, keys, "inner")
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     covered = F.filter(

@@ -155,7 +155,7 @@ _KNN = """WITH r AS (SELECT {id} AS id, {v} AS v, (row_number() OVER (ORDER BY {
 )
 def knn(spark, d):
     out = neighbours.knn_score(
-        readings(spark, d).select("event_id", "ts", "value", "user_id", "k"), ORDER, ["value", "user_id", "k"], chunk_rows=2000
+        readings(spark, d).select("event_id", "ts", "value", "user_id", "k"), ORDER, ["value", "user_id", "k"]
     )
     return out.select("event_id", "block", r6("knn_score"))
 

@@ -109,7 +109,7 @@ def describe_chunked(spark, d):
     ),
 )
 def percentiles(spark, d):
-    out = p.exact_percentiles(table(spark, d, "events"), ["value"], [0.05, 0.5, 0.95], ["event_type"])
+    out = p.exact_percentiles_by(table(spark, d, "events"), ["value"], ["event_type"], [0.05, 0.5, 0.95])
     return out.select("event_type", "fraction", r6("value"))
 
 
