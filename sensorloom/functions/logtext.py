@@ -33,6 +33,9 @@ SECOND_UNITS = {"ns": 1e-9, "us": 1e-6, "µs": 1e-6, "ms": 1e-3, "s": 1.0, "m":
 
 HOLE = "<_>"
 
+_BYTES = r"^([+-]?\d+(?:\.\d+)?)\s*((?i:[kmgt]?i?b))$"
+_DURATION = r"^[+-]?(?:\d+(?:\.\d+)?(?:ns|us|µs|ms|s|m|h))+$"
+
 
 def _lookup(table: dict[str, object], key: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
@@ -52,17 +55,15 @@ def level_rank(c: str | Column) -> Column:
 def bytes_number(c: str | Column) -> Column:
     """``1.5KB`` or ``2 MiB`` as a number of bytes; NULL if it is no such text."""
     text = F.lower(F.trim(as_col(c)))
-    pattern = r"^([+-]?\d+(?:\.\d+)?)\s*([kmgt]?i?b)$"
-    amount = F.regexp_extract(text, pattern, 1).try_cast("double")
-    return amount * _lookup({k: float(v) for k, v in BYTE_UNITS.items()}, F.regexp_extract(text, pattern, 2))
+    amount = F.regexp_extract(text, _BYTES, 1).try_cast("double")
+    return amount * _lookup({k: float(v) for k, v in BYTE_UNITS.items()}, F.regexp_extract(text, _BYTES, 2))
 
 
 def duration_seconds(c: str | Column) -> Column:
     """``1h2m3.5s`` or ``250ms`` as seconds; NULL if it is no such text."""
     text = F.trim(as_col(c))
-    unit = "(?:ns|us|µs|ms|s|m|h)"
     part = r"(\d+(?:\.\d+)?)(ns|us|µs|ms|s|m|h)"
-    whole = text.rlike(rf"^[+-]?(?:\d+(?:\.\d+)?{unit})+$")
+    whole = text.rlike(_DURATION)
     parts = F.regexp_extract_all(text, F.lit(part), F.lit(0))
     total = F.aggregate(
         parts,
@@ -87,12 +88,12 @@ def field_number(c: str | Column, unit: str = "float") -> Column:
 
 def field_type(c: str | Column) -> Column:
     """Type a field's text looks like: float, bytes, duration or string."""
-    return let(
-        F.trim(as_col(c)),
-        lambda text: F.when(text.try_cast("double").isNotNull(), "float")
-        .when(bytes_number(text).isNotNull(), "bytes")
-        .when(duration_seconds(text).isNotNull(), "duration")
-        .otherwise("string"),
+    text = F.trim(as_col(c))
+    return (
+        F.when(text.try_cast("double").isNotNull(), "float")
+        .when(text.rlike(_BYTES), "bytes")
+        .when(text.rlike(_DURATION), "duration")
+        .otherwise("string")
     )
 
 

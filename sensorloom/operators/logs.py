@@ -157,17 +157,22 @@ def detected_fields(df: DataFrame, line: str = "line", exact: bool = False) -> D
         F.when(F.col("j").isNotNull(), "json").otherwise("logfmt").alias("parser"),
         F.explode(F.coalesce("j", "l")).alias("field", "value"),
     )
-    rows = rows.where("value is not null").withColumn("kind", field_type("value"))
-    count = F.count_distinct if exact else F.approx_count_distinct
+    # Each value once per field and parser: types are then tested on distinct values only.
+    seen = rows.where("value is not null").groupBy("field", "parser", "value").agg(F.lit(1).alias("one"))
+    seen = seen.withColumn("kind", field_type("value"))
+    cardinality = F.count_distinct("value") if exact else F.approx_count_distinct("value")
     return (
-        rows.groupBy("field")
+        seen.groupBy("field")
         .agg(
-            count(F.col("value")).alias("cardinality"),
+            cardinality.alias("cardinality"),
             F.array_join(F.array_sort(F.collect_set("parser")), ", ").alias("parser"),
             F.min("kind").alias("a"),
             F.max("kind").alias("b"),
         )
-        .select("field", "cardinality", "parser", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise("string").alias("field_type"))
+        .select(
+            "field", "cardinality", "parser",
+            F.when(F.col("a") == F.col("b"), F.col("a")).otherwise("string").alias("field_type"),
+        )
         .orderBy(*_cardinality_order("field"))
     )
 

@@ -10,11 +10,11 @@ from itertools import permutations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import no_nan, numeric_columns
+from ..functions.parsing import any_of, no_nan, numeric_columns
 from ..session import write_scratch
 from .ordered import join_same, with_running_sum
 
-_BINS = 1024
+_SKETCH = 2000
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -39,42 +39,53 @@ class _Range:
     lo: float
     hi: float
     below: int
-    rows: int
     spots: list[int]
 
 
-def _narrow(df: DataFrame, ranges: list[_Range]) -> list[_Range]:
-    """One scan that splits every range into equal bins and keeps those with wanted positions.
+def _thin_ranges(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> tuple[dict[str, int], list[_Range]]:
+    """Row counts, and a thin range of values around each wanted position.
 
-    Only bin counts come back: ranges times bins rows, whatever the table.
+    A sketch proposes the range and a counting scan proves that the position lies in it;
+    where it does not, the range is the whole column. Both scans return one row.
     """
-    slots = []
-    for i, r in enumerate(ranges):
-        x = no_nan(r.column)
-        width = (r.hi - r.lo) / _BINS
-        slot = F.when(
-            x.between(r.lo, r.hi),
+    slack = 4 / _SKETCH
+    ends = [min(max(f + d, 0.0), 1.0) for f in fractions for d in (-slack, slack)]
+    first = df.agg(
+        *[
             F.struct(
-                F.lit(i).alias("range"),
-                F.least(F.floor((x - r.lo) / F.lit(width)), F.lit(_BINS - 1)).cast("int").alias("bin"),
-                x.alias("x"),
-            ),
-        )
-        slots.append(slot)
-    placed = df.select(F.explode(F.array_compact(F.array(*slots))).alias("s"))
-    counted = placed.groupBy("s.range", "s.bin").agg(
-        F.count(F.lit(1)).alias("n"), F.min("s.x").alias("lo"), F.max("s.x").alias("hi")
-    )
-    out = []
-    bins = sorted(counted.collect(), key=lambda b: (b["range"], b["bin"]))
-    for i, r in enumerate(ranges):
-        below = r.below
-        for b in (b for b in bins if b["range"] == i):
-            inside = [s for s in r.spots if below <= s < below + b["n"]]
-            if inside:
-                out.append(_Range(r.column, b["lo"], b["hi"], below, b["n"], inside))
-            below += b["n"]
-    return out
+                F.count(no_nan(c)).alias("n"), F.min(no_nan(c)).alias("lo"), F.max(no_nan(c)).alias("hi"),
+                F.percentile_approx(no_nan(c), ends, _SKETCH).alias("q"),
+            ).alias(f"c{i}")
+            for i, c in enumerate(columns)
+        ]
+    ).first()
+    counts = {c: e["n"] for c, e in zip(columns, first)}
+    proposed = []
+    for c, e in zip(columns, first):
+        for i, f in enumerate(fractions):
+            if e["n"]:
+                lo = e["lo"] if ends[2 * i] == 0 else e["q"][2 * i]
+                hi = e["hi"] if ends[2 * i + 1] == 1 else e["q"][2 * i + 1]
+                proposed.append(_Range(c, lo, hi, 0, _positions(e["n"], [f])))
+    if not proposed:
+        return counts, []
+    proof = df.agg(
+        *[
+            F.struct(
+                F.count_if(no_nan(r.column) < r.lo).alias("below"),
+                F.count_if(no_nan(r.column) <= r.hi).alias("upto"),
+            ).alias(f"r{i}")
+            for i, r in enumerate(proposed)
+        ]
+    ).first()
+    extremes = {c: (e["lo"], e["hi"]) for c, e in zip(columns, first)}
+    ranges = []
+    for r, p in zip(proposed, proof):
+        if p["below"] <= r.spots[0] and r.spots[-1] < p["upto"]:
+            ranges.append(_Range(r.column, r.lo, r.hi, p["below"], r.spots))
+        else:
+            ranges.append(_Range(r.column, *extremes[r.column], 0, r.spots))
+    return counts, ranges
 
 
 def _values_at(df: DataFrame, ranges: list[_Range], chunk_rows: int | None) -> dict[tuple[str, int], float]:
@@ -83,11 +94,13 @@ def _values_at(df: DataFrame, ranges: list[_Range], chunk_rows: int | None) -> d
     ranges = [r for r in ranges if r.lo < r.hi]
     if not ranges:
         return done
+    inside = [no_nan(r.column).between(r.lo, r.hi) for r in ranges]
     slots = [
-        F.when(no_nan(r.column).between(r.lo, r.hi), F.struct(F.lit(i).alias("range"), no_nan(r.column).alias("value")))
-        for i, r in enumerate(ranges)
+        F.when(test, F.struct(F.lit(i).alias("range"), no_nan(r.column).alias("value")))
+        for i, (r, test) in enumerate(zip(ranges, inside))
     ]
-    rows = df.select(F.explode(F.array_compact(F.array(*slots))).alias("s")).select("s.*")
+    rows = df.where(any_of(inside)).select(F.explode(F.array(*slots)).alias("s"))
+    rows = rows.where("s is not null").select("s.*")
     freq = write_scratch(rows.groupBy("range", "value").agg(F.count(F.lit(1)).alias("n")), "percentiles")
     upto = with_running_sum(freq, ["range"], ["value"], {"upto": F.col("n")}, chunk_rows)
     wanted = F.array(*[F.array(*[F.lit(s - r.below) for s in r.spots]).cast("array<long>") for r in ranges])
@@ -110,33 +123,19 @@ def exact_percentiles(
 ) -> DataFrame:
     """Linear-interpolated percentiles as (column_name, fraction, value).
 
-    Two scans narrow each wanted position down to a thin range of values by counting
-    bins; only rows inside those ranges are then sorted, as counts per distinct value.
-    So hardly any row is shuffled, and no task sees a whole column.
+    Two scans find a thin range of values around each wanted position; only rows inside
+    those ranges are then sorted, as counts per distinct value. So hardly any row is
+    shuffled, and no task sees a whole column.
     """
-    ends = df.agg(
-        *[
-            F.struct(F.count(no_nan(c)).alias("n"), F.min(no_nan(c)).alias("lo"), F.max(no_nan(c)).alias("hi")).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    ranges = [
-        _Range(c, e["lo"], e["hi"], 0, e["n"], _positions(e["n"], fractions))
-        for c, e in zip(columns, ends)
-        if e["n"]
-    ]
-    for _ in range(2):
-        flat = [r for r in ranges if not r.lo < r.hi or not math.isfinite(r.hi - r.lo)]
-        wide = [r for r in ranges if r.lo < r.hi and math.isfinite(r.hi - r.lo)]
-        ranges = flat + (_narrow(df, wide) if wide else [])
+    counts, ranges = _thin_ranges(df, columns, fractions)
     values = _values_at(df, ranges, chunk_rows)
     out = []
-    for c, e in zip(columns, ends):
+    for c in columns:
         for f in fractions:
-            if not e["n"]:
+            if not counts[c]:
                 out.append((c, float(f), None))
                 continue
-            at = f * (e["n"] - 1)
+            at = f * (counts[c] - 1)
             lo, hi = values[(c, math.floor(at))], values[(c, math.ceil(at))]
             out.append((c, float(f), lo + (hi - lo) * (at - math.floor(at)) if hi > lo else lo))
     return df.sparkSession.createDataFrame(out, "column_name string, fraction double, value double")
