@@ -61,7 +61,8 @@ def parse_message(
     Text that does not parse gives NULL columns; with ``corrupt`` the text itself
     is kept under that name so the row can be quarantined.
     """
-    options = {"mode": "PERMISSIVE"}
+    # Without options Spark parses only the fields that are used.
+    options = {}
     if corrupt:
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)

@@ -26,7 +26,8 @@ def ksigma_flag(
     scalar, or two numbers (the form a stream uses).
     """
     if isinstance(stats, DataFrame):
-        mean, std = stats.select("mean").scalar(), stats.select("std").scalar()
+        one = stats.select(F.struct("mean", "std").alias("s")).scalar()
+        mean, std = one.getField("mean"), one.getField("std")
     else:
         mean, std = F.lit(float(stats[0])), F.lit(float(stats[1]))
     x = F.col(column)

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.parsing import no_nan
-from ..ordered import join_same, with_rank
+from ...session import write_scratch
+from ..ordered import broadcast_small, join_same, with_rank
 
 MAX_BLOCKS = 1_000_000
 
@@ -157,7 +158,7 @@ def adwin(
         block_rows = max(clock, -(-longest // MAX_BLOCKS))
     elif longest > block_rows * MAX_BLOCKS:
         raise ValueError(f"a series of {longest} rows needs block_rows >= {-(-longest // MAX_BLOCKS)}")
-    blocks = adwin_blocks(df, series, order, column, block_rows, chunk_rows)
+    blocks = write_scratch(adwin_blocks(df, series, order, column, block_rows, chunk_rows), "blocks")
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
@@ -172,5 +173,5 @@ def adwin(
     # Back to rows: a drifting block is marked by the key of its last row.
     ends = join_same(found, blocks.select(*series, "block", "end"), [*series, "block"], "inner")
     ends = ends.select(*series, "end.*", F.lit(1).alias("__drift"))
-    out = join_same(df, ends, [*series, *order])
+    out = join_same(df, broadcast_small(ends), [*series, *order])
     return out.withColumn("drift_detected", F.coalesce("__drift", F.lit(0))).drop("__drift")

@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..session import write_scratch
+
 CHUNK_ROWS = 1_000_000
 MAX_CHUNKS = 100_000
 
@@ -45,6 +47,15 @@ def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in on])
 
 
+def broadcast_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` written to the shared folder, with a broadcast hint if it has few rows.
+
+    A larger one stays without the hint, and the join shuffles both sides.
+    """
+    stored = write_scratch(df, "side")
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def _position(bounds: Column, key: Column, levels: int) -> Column:
     """How many entries of the sorted array ``bounds`` are <= ``key`` (binary search)."""
     steps = F.array(*[F.lit(1 << i) for i in range(levels, -1, -1)])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import permutations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import any_of, no_nan, numeric_columns
@@ -219,6 +219,16 @@ def describe(
     )
 
 
+def pearson(a: str, b: str) -> Column:
+    """Pearson r over the rows that have both values; NULL if a column is constant.
+
+    The built-in ``corr`` divides by zero there, which ANSI mode reports as an error.
+    """
+    x = F.when(F.col(b).isNotNull(), F.col(a))
+    y = F.when(F.col(a).isNotNull(), F.col(b))
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r of every ordered pair of different columns, in one pass.
 
@@ -226,7 +236,7 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     pairs = list(permutations(columns, 2))
     known = {tuple(sorted(p)) for p in pairs}
-    r = {p: F.corr(*p) for p in sorted(known)}
+    r = {p: pearson(*p) for p in sorted(known)}
     entries = [
         F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), r[tuple(sorted((a, b)))].alias("r"))
         for a, b in pairs
@@ -237,7 +247,7 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def corr_with_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Columns ranked by their correlation with the target, strongest positive first."""
     others = [c for c in columns if c != target]
-    entries = [F.struct(F.lit(c).alias("column_name"), F.corr(c, target).alias("r")) for c in others]
+    entries = [F.struct(F.lit(c).alias("column_name"), pearson(c, target).alias("r")) for c in others]
     rows = df.agg(F.array(*entries).alias("p")).select(F.explode("p").alias("p")).select("p.*")
     return rows.orderBy(F.desc_nulls_last("r"), "column_name")
 
@@ -245,7 +255,7 @@ def corr_with_target(df: DataFrame, columns: Sequence[str], target: str) -> Data
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full correlation matrix, one row per column."""
     lines = [
-        F.struct(F.lit(a).alias("column_name"), *[F.corr(a, b).alias(b) for b in columns]) for a in columns
+        F.struct(F.lit(a).alias("column_name"), *[pearson(a, b).alias(b) for b in columns]) for a in columns
     ]
     return df.agg(F.array(*lines).alias("p")).select(F.explode("p").alias("p")).select("p.*")
 
@@ -256,8 +266,8 @@ def histogram(df: DataFrame, column: str, buckets: int = 20) -> DataFrame:
     The last bucket includes the maximum; empty buckets are left out.
     """
     x = no_nan(column)
-    ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("e")).scalar()
+    lo, hi = ends.getField("lo"), ends.getField("hi")
     width = (hi - lo) / F.lit(float(buckets))
     spread = F.when(hi > lo, F.floor((x - lo) / width)).otherwise(F.lit(0))
     placed = df.where(x.isNotNull()).select(F.least(spread, F.lit(buckets - 1)).cast("int").alias("bucket"))

@@ -120,6 +120,20 @@ def band_total(spark, d):
     return out.agg(F.sum("anomaly").alias("anomalies"), F.count(F.lit(1)).alias("n_rows"))
 
 
+@query(
+    "ewma_band_flag",
+    """WITH l AS (SELECT *, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS b FROM events),
+    e AS (SELECT *, CASE WHEN b IS NULL THEN value ELSE 0.2 * value + 0.8 * b END AS ewma FROM l),
+    w AS (SELECT event_id, ewma, avg(ewma) OVER w AS m, stddev_samp(ewma) OVER w AS s
+        FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 49 PRECEDING))
+    SELECT event_id, round(ewma, 8) AS ewma, CASE WHEN ewma > m + 2 * s OR ewma < m - 2 * s THEN 1 ELSE 0 END AS anomaly FROM w""",
+)
+def ewma_band(spark, d):
+    """Band around the smoothed reading: smoothing, rolling statistics and flag in a row."""
+    smooth = cumulative.ewma_lag1(table(spark, d, "events"), SERIES, ORDER, "value")
+    return bands.adaptive_band_flag(smooth, SERIES, ORDER, "ewma").select("event_id", r8("ewma"), "anomaly")
+
+
 @query("adwin")
 def adwin(spark, d):
     out = drift.adwin(readings(spark, d), ["event_type", "data_type"], ORDER, "value")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.logtext import level_rank, normalise_level
-from ..functions.timefn import bucket_start, time_text
+from ..functions.timefn import auto_interval, bucket_start, dashboard_range, time_text
 from ..operators import logs as lg
+from ..operators.quality import table_query
 from .registry import query, r4, r6, table
 from .views import SQL_LOGS, logs
 
@@ -76,6 +77,30 @@ def log_volume(spark, d):
     return _bucket(lg.log_volume(logs(spark, d), 3600, normalise=True))
 
 
+_FROM, _TO = 1704672000000, 1706659200000  # a dashboard range in epoch milliseconds
+
+
+@query(
+    "log_volume_auto",
+    f"""SELECT strftime(make_timestamp(CAST(floor(epoch(ts) / 3600) * 3600000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS bucket,
+        level, count(*) AS n_lines FROM ({SQL_LOGS})
+    WHERE epoch(ts) >= {_FROM} / 1000 AND epoch(ts) < {_TO} / 1000 GROUP BY 1, 2""",
+)
+def log_volume_auto(spark, d):
+    """A range cut into at most 600 buckets: 552 hours give buckets of an hour."""
+    rows = dashboard_range(logs(spark, d), "ts", _FROM, _TO)
+    return _bucket(lg.log_volume(rows, auto_interval(_FROM, _TO, 600)))
+
+
+@query(
+    "newest_lines",
+    f"SELECT event_id, line FROM ({SQL_LOGS}) ORDER BY ts DESC, event_id DESC LIMIT 1000",
+)
+def newest_lines(spark, d):
+    rows = table_query(logs(spark, d), order_by=[F.desc("ts"), F.desc("event_id")], limit=1000)
+    return rows.select("event_id", "line")
+
+
 @query(
     "breakdown",
     f"""SELECT {_HOUR}, regexp_extract(props, '"k": *([0-9]+)', 1) AS label_value, count(*) AS n_lines FROM events GROUP BY 1, 2""",

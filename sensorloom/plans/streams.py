@@ -8,7 +8,7 @@ from ..operators import aggregate as a
 from ..operators import profile as p
 from ..operators.quality import split_by_type
 from ..session import scratch_path
-from ..sinks.tables import read_batches, to_json_messages
+from ..sinks.tables import append_rows, backfill_in_batches, read_batches, to_json_messages
 from ..sources.tables import stream_files
 from ..functions.parsing import parse_message
 from ..functions.timefn import parse_ts, time_text
@@ -132,6 +132,20 @@ def stream_json_sink(spark, d):
     return spark.read.schema(rows.schema).json(path).select("event_id", "event_type", r6("value"))
 
 
+@query("replay_in_batches", f"SELECT data_type, count(*) AS n_rows FROM ({SQL_READINGS}) GROUP BY data_type")
+def replay_in_batches(spark, d):
+    """Train, then test, each pushed in ordered batches into a folder that a stream reads."""
+    folder = scratch_path(spark, "replay")
+    rows = readings(spark, d).select("event_id", "ts", "data_type", "value")
+    for part in split_by_type(rows):
+        batch_rows = max(1, -(-part.count() // 4))
+        backfill_in_batches(
+            part, ORDER, scratch_path(spark, "staging"), lambda df, _: append_rows(df, folder), batch_rows
+        )
+    replay = stream_files(spark, folder, rows.schema, max_files=8)
+    return collected(a.row_count(replay, ["data_type"]), "complete")
+
+
 @query("stream_late_rows", "SELECT event_id, 'on_time' AS outcome FROM events")
 def stream_late(spark, d):
     """Rows of the first batch are all on time: nothing was seen before them."""

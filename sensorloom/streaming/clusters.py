@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.detect.clusters import nearest_centroid
 from ..sinks.tables import append_batch_to_table
 
-_MODEL = "batch_no long, cluster int, weight double, centre array<double>"
+_MODEL = "cluster int, weight double, centre array<double>"
 
 
 @dataclass
@@ -36,13 +36,14 @@ class StreamingKMeans:
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(path):
             return []
-        stored = spark.read.schema(_MODEL).parquet(f"{self.model_path}/batch_id=*")
-        if before is not None:
-            stored = stored.where(F.col("batch_no") < before)
-        newest = stored.agg(F.max("batch_no")).first()[0]
-        if newest is None:
+        done = []
+        for status in fs.listStatus(path):
+            number = int(status.getPath().getName().removeprefix("batch_id="))
+            if (before is None or number < before) and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                done.append(number)
+        if not done:
             return []
-        rows = stored.where(F.col("batch_no") == newest).orderBy("cluster").collect()
+        rows = spark.read.schema(_MODEL).parquet(f"{self.model_path}/batch_id={max(done)}").orderBy("cluster").collect()
         return [(r.weight, list(r.centre)) for r in rows]
 
     def _first_centres(self, batch: DataFrame) -> list[tuple[float, list[float]]]:
@@ -73,7 +74,7 @@ class StreamingKMeans:
                 centre = [(kept * c + s) / (kept + m) for c, s in zip(centre, found[i].s)]
                 kept += m
             new.append((kept, centre))
-        rows = [(batch_id, i, float(w), [float(v) for v in c]) for i, (w, c) in enumerate(new)]
+        rows = [(i, float(w), [float(v) for v in c]) for i, (w, c) in enumerate(new)]
         frame = spark.createDataFrame(rows, _MODEL).coalesce(1)
         frame.write.mode("overwrite").parquet(f"{self.model_path}/batch_id={batch_id}")
         return new

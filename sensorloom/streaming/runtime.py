@@ -106,19 +106,20 @@ def split_late(
     """Write rows to ``path/on_time`` or, when older than the newest time of the batches
     before minus ``delay``, to ``path/late``.
 
-    The newest time per batch is a small table, so a restart finds it again.
+    The newest time up to each batch is stored with the batch, so a restart finds it again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            batch.agg(F.max(F.col(ts).cast("timestamp")).alias("newest")).write.mode("overwrite").parquet(
-                f"{path}/newest/batch_id={batch_id}"
-            )
-            seen = spark.read.parquet(f"{path}/newest").where(F.col("batch_id") < batch_id)
-            newest = seen.agg(F.max("newest")).first()[0] if batch_id > 0 else None
-            edge = F.lit(newest).cast("timestamp") - F.expr(f"interval {delay}")
+            newest = None
+            if batch_id > 0:
+                newest = spark.read.parquet(f"{path}/newest/batch_id={batch_id - 1}").first()["newest"]
+            before = F.lit(newest).cast("timestamp")
+            upto = F.greatest(F.max(F.col(ts).cast("timestamp")), before).alias("newest")
+            batch.agg(upto).write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
+            edge = before - F.expr(f"interval {delay}")
             late = F.coalesce(F.col(ts).cast("timestamp") < edge, F.lit(False))
             append_batch_to_table(f"{path}/on_time")(batch.where(~late), batch_id)
             append_batch_to_table(f"{path}/late")(batch.where(late), batch_id)
