@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,32 +23,23 @@ def _f1(precision: str, recall: str) -> Column:
     return _ratio(2 * p * r, p + r)
 
 
-def confusion_matrix(
-    df: DataFrame, truth: str, prediction: str, labels: Sequence[int] = (0, 1)
-) -> DataFrame:
-    """Rows per (truth, prediction), with zeros for pairs that never occur."""
-    kind = df.schema[truth].dataType
-    grid = F.array(
-        *[
-            F.struct(F.lit(t).cast(kind).alias("truth"), F.lit(p).cast(kind).alias("prediction"))
-            for t in labels
-            for p in labels
-        ]
+def confusion_matrix(df: DataFrame, truth: str, prediction: str) -> DataFrame:
+    """Rows per (truth, prediction) over all labels of either side, with zeros for pairs that
+    never occur.
+
+    The grid is built from the contingency table, which has a row per pair of labels.
+    """
+    seen = F.array_sort(F.array_union(F.collect_set("truth"), F.collect_set("prediction")))
+    cells = F.collect_list(F.struct("truth", "prediction", "n"))
+    whole = _pairs(df, truth, prediction).agg(seen.alias("labels"), cells.alias("cells"))
+    grid = whole.select("labels", "cells", F.explode("labels").alias("truth"))
+    grid = grid.select("cells", "truth", F.explode("labels").alias("prediction"))
+    here = F.filter(
+        "cells", lambda c: (c["truth"] == F.col("truth")) & (c["prediction"] == F.col("prediction"))
     )
-    # The grid is labels x labels literal rows; every count is a conditional sum in one pass.
-    pairs = _pairs(df, truth, prediction)
-    cells = pairs.agg(
-        *[
-            F.coalesce(
-                F.sum(F.when((F.col("truth") == t) & (F.col("prediction") == p), F.col("n"))), F.lit(0)
-            ).alias(f"c{i}_{j}")
-            for i, t in enumerate(labels)
-            for j, p in enumerate(labels)
-        ]
+    return grid.select(
+        "truth", "prediction", F.coalesce(F.get(here, F.lit(0)).getField("n"), F.lit(0)).alias("n_rows")
     )
-    counts = F.array(*[F.col(c) for c in cells.columns])
-    rows = cells.select(F.explode(F.arrays_zip(grid.alias("g"), counts.alias("n"))).alias("r"))
-    return rows.select("r.g.truth", "r.g.prediction", F.col("r.n").alias("n_rows"))
 
 
 def _per_class(df: DataFrame, truth: str, prediction: str) -> DataFrame:

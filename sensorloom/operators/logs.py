@@ -16,7 +16,7 @@ from ..functions.logtext import (
 )
 from ..functions.parsing import all_of, any_of, json_map, line_fields, logfmt_map
 from ..functions.timefn import bucket_start
-from .ordered import with_lookback, with_running_sum
+from .ordered import broadcast_small, join_same, with_lookback, with_running_sum
 
 _COMPARE = {
     ">": lambda a, b: a > b,
@@ -276,7 +276,7 @@ def thin_points(df: DataFrame, series: str, ts: str, value: str, points: int = 1
     step = F.greatest(F.floor(F.col("__len") / points), F.lit(1))
     step = F.when(step > 1, F.ceil(step / 2)).otherwise(step)
     return (
-        ranked.join(lengths, series)
+        join_same(ranked, broadcast_small(lengths), [series], "inner")
         .where(F.pmod(F.col("__at") - 1, step) == 0)
         .select(series, ts, value)
     )
@@ -356,7 +356,7 @@ def outlier_series(
     tagged = with_running_sum(gaps, [ts], order, {"__cluster": starts}, chunk_rows)
     sizes = tagged.groupBy(ts, "__cluster").agg(F.count(F.lit(1)).alias("__size"))
     steps = sizes.join(sizes.groupBy(ts).agg(F.sum("__size").alias("__all")), ts)
-    marked = tagged.join(steps, [ts, "__cluster"]).select(
+    marked = tagged.join(broadcast_small(steps), [ts, "__cluster"]).select(
         series, ts, F.when(F.col("__size") * 2 < F.col("__all"), 1).otherwise(0).alias("__out")
     )
     turns = with_lookback(marked, [series], [ts], 1, {"__was": lambda w: F.lag("__out").over(w)}, chunk_rows)

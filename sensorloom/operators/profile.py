@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parsing import any_of, no_nan, numeric_columns
 from ..session import write_scratch
-from .ordered import join_same, with_running_sum
+from .ordered import broadcast_small, join_same, with_running_sum
 
 _SKETCH = 2000
 
@@ -162,7 +162,7 @@ def exact_percentiles_by(
     wanted = totals.select(
         *keys, F.array(*[F.struct(F.lit(float(f)).alias("fraction"), at(f).alias("at")) for f in fractions]).alias("wanted")
     )
-    hit = join_same(upto, wanted, keys, "inner")
+    hit = join_same(upto, broadcast_small(wanted), keys, "inner")
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
     covered = F.filter(
         "wanted",

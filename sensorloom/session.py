@@ -46,9 +46,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/sensorloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below :func:`checkpoint_root` for one run."""
-    return f"{checkpoint_root(spark)}/sensorloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path of this application below :func:`checkpoint_root`."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote with :func:`scratch_path`.
+
+    Call it when no frame built on scratch tables is needed any more.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_scratch(df, name: str):

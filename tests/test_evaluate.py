@@ -38,3 +38,9 @@ def test_nothing_predicted(spark):
     assert [r["precision"], r["recall"], r["f1_score"]] == [0, 0, 0]
     rows = {x["label"]: x for x in e.classification_report(df, "t", "p").collect()}
     assert rows["Anomaly"]["recall"] == 0 and rows["Normal"]["precision"] == 0.5
+
+
+def test_labels_of_either_side(spark):
+    df = spark.createDataFrame([("a", "b"), ("a", "a"), ("c", None)], "t string, p string")
+    got = {(r["truth"], r["prediction"]): r["n_rows"] for r in e.confusion_matrix(df, "t", "p").collect()}
+    assert got == {("a", "a"): 1, ("a", "b"): 1, ("b", "a"): 0, ("b", "b"): 0}

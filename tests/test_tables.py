@@ -99,3 +99,8 @@ def test_message_files(spark, skewed):
     assert topic.read_message_files(spark, path).count() == 900
     keyed = k.to_json_messages(skewed, "series")
     assert dict(keyed.dtypes) == {"key": "binary", "value": "binary"}
+
+
+def test_scratch_belongs_to_the_application(spark):
+    path = scratch_path(spark, "x")
+    assert spark.sparkContext.applicationId in path and path.startswith(checkpoint_root(spark))
