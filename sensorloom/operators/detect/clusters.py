@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.parsing import flag
+from ...session import write_scratch
 
 
 def minmax_scale(
@@ -66,10 +67,13 @@ def nearest_centroid(
 
 
 def kmeans_fit(df: DataFrame, columns: Sequence[str], k: int = 2, seed: int = 42) -> PipelineModel:
-    """Clusters of the given (scaled) columns; rows with a missing value are skipped."""
+    """Clusters of the given (scaled) columns; rows with a missing value are skipped.
+
+    Every iteration reads the features, so they are written once and read back.
+    """
     vector = VectorAssembler(inputCols=list(columns), outputCol="__features", handleInvalid="skip")
     means = KMeans(k=k, seed=seed, featuresCol="__features", predictionCol="cluster")
-    return Pipeline(stages=[vector, means]).fit(df)
+    return Pipeline(stages=[vector, means]).fit(write_scratch(df.select(*columns), "features"))
 
 
 def kmeans_predict(df: DataFrame, model: PipelineModel) -> DataFrame:

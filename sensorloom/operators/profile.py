@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.parsing import any_of, no_nan, numeric_columns
@@ -42,24 +42,36 @@ class _Range:
     spots: list[int]
 
 
-def _thin_ranges(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> tuple[dict[str, int], list[_Range]]:
-    """Row counts, and a thin range of values around each wanted position.
-
-    A sketch proposes the range and a counting scan proves that the position lies in it;
-    where it does not, the range is the whole column. Both scans return one row.
-    """
-    slack = 4 / _SKETCH
-    ends = [min(max(f + d, 0.0), 1.0) for f in fractions for d in (-slack, slack)]
-    first = df.agg(
-        *[
+def _first_scan(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> list[Row]:
+    """Per column: count, mean, deviation, extremes and the sketch's values for the fractions."""
+    stats = []
+    for i, c in enumerate(columns):
+        x = no_nan(c)
+        stats.append(
             F.struct(
-                F.count(no_nan(c)).alias("n"), F.min(no_nan(c)).alias("lo"), F.max(no_nan(c)).alias("hi"),
-                F.percentile_approx(no_nan(c), ends, _SKETCH).alias("q"),
+                F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                F.min(x).alias("lo"), F.max(x).alias("hi"),
+                F.percentile_approx(x, list(fractions), _SKETCH).alias("q"),
             ).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ]
-    ).first()
-    counts = {c: e["n"] for c, e in zip(columns, first)}
+        )
+    return list(df.agg(*stats).first())
+
+
+def _around(fractions: Sequence[float]) -> list[float]:
+    """A fraction below and one above each wanted one."""
+    slack = 4 / _SKETCH
+    return [min(max(f + d, 0.0), 1.0) for f in fractions for d in (-slack, slack)]
+
+
+def _thin_ranges(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], first: list[Row]
+) -> list[_Range]:
+    """A thin range of values around each wanted position.
+
+    The sketch proposes the range and a counting scan proves that the position lies in it;
+    where it does not, the range is the whole column. The scan returns one row.
+    """
+    ends = _around(fractions)
     proposed = []
     for c, e in zip(columns, first):
         for i, f in enumerate(fractions):
@@ -68,7 +80,7 @@ def _thin_ranges(df: DataFrame, columns: Sequence[str], fractions: Sequence[floa
                 hi = e["hi"] if ends[2 * i + 1] == 1 else e["q"][2 * i + 1]
                 proposed.append(_Range(c, lo, hi, 0, _positions(e["n"], [f])))
     if not proposed:
-        return counts, []
+        return []
     proof = df.agg(
         *[
             F.struct(
@@ -85,7 +97,7 @@ def _thin_ranges(df: DataFrame, columns: Sequence[str], fractions: Sequence[floa
             ranges.append(_Range(r.column, r.lo, r.hi, p["below"], r.spots))
         else:
             ranges.append(_Range(r.column, *extremes[r.column], 0, r.spots))
-    return counts, ranges
+    return ranges
 
 
 def _values_at(df: DataFrame, ranges: list[_Range], chunk_rows: int | None) -> dict[tuple[str, int], float]:
@@ -127,18 +139,28 @@ def exact_percentiles(
     those ranges are then sorted, as counts per distinct value. So hardly any row is
     shuffled, and no task sees a whole column.
     """
-    counts, ranges = _thin_ranges(df, columns, fractions)
-    values = _values_at(df, ranges, chunk_rows)
+    first = _first_scan(df, columns, _around(fractions))
+    values = _percentile_values(df, columns, fractions, first, chunk_rows)
+    rows = [(c, float(f), v) for c, per_column in zip(columns, values) for f, v in zip(fractions, per_column)]
+    return df.sparkSession.createDataFrame(rows, "column_name string, fraction double, value double")
+
+
+def _percentile_values(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float], first: list[Row], chunk_rows: int | None
+) -> list[list[float | None]]:
+    values = _values_at(df, _thin_ranges(df, columns, fractions, first), chunk_rows)
     out = []
-    for c in columns:
+    for c, e in zip(columns, first):
+        line: list[float | None] = []
         for f in fractions:
-            if not counts[c]:
-                out.append((c, float(f), None))
-                continue
-            at = f * (counts[c] - 1)
-            lo, hi = values[(c, math.floor(at))], values[(c, math.ceil(at))]
-            out.append((c, float(f), lo + (hi - lo) * (at - math.floor(at)) if hi > lo else lo))
-    return df.sparkSession.createDataFrame(out, "column_name string, fraction double, value double")
+            at = f * (e["n"] - 1)
+            if e["n"]:
+                lo, hi = values[(c, math.floor(at))], values[(c, math.ceil(at))]
+                line.append(lo + (hi - lo) * (at - math.floor(at)) if hi > lo else lo)
+            else:
+                line.append(None)
+        out.append(line)
+    return out
 
 
 def exact_percentiles_by(
@@ -186,37 +208,23 @@ def describe(
 ) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum, one row per column.
 
-    The quartiles are exact; ``approximate`` takes them from a sketch in the same
-    pass as the rest, which needs no shuffle of the values.
+    The quartiles are exact; ``approximate`` takes them from the sketch, which needs one
+    scan and no shuffle of values. NaN counts as missing.
     """
     columns = list(columns or numeric_columns(df))
-    aggs = []
-    for i, c in enumerate(columns):
-        x = no_nan(c)
-        stats = [
-            F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), F.max(x).alias("max"),
-        ]
-        if approximate:
-            stats.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias("q"))
-        aggs.append(F.struct(F.lit(c).alias("column_name"), *stats).alias(f"s{i}"))
-    rows = df.agg(F.array(*aggs).alias("a")).select(F.explode("a").alias("s")).select("s.*")
-    quartiles = ["p25", "p50", "p75"]
+    quarters = [0.25, 0.5, 0.75]
     if approximate:
-        return rows.select(
-            "column_name", "n", "mean", "std", "min",
-            *[F.get("q", F.lit(i)).alias(q) for i, q in enumerate(quartiles)], "max",
-        )
-    pct = exact_percentiles(df, columns, chunk_rows=chunk_rows)
-    pct = pct.groupBy("column_name").agg(
-        *[
-            F.max(F.when(F.col("fraction") == f, F.col("value"))).alias(q)
-            for f, q in zip((0.25, 0.5, 0.75), quartiles)
-        ]
-    )
-    return rows.join(F.broadcast(pct), "column_name", "left").select(
-        "column_name", "n", "mean", "std", "min", *quartiles, "max"
-    )
+        first = _first_scan(df, columns, quarters)
+        values = [e["q"] or [None] * 3 for e in first]
+    else:
+        first = _first_scan(df, columns, _around(quarters))
+        values = _percentile_values(df, columns, quarters, first, chunk_rows)
+    rows = [
+        (c, e["n"], e["mean"], e["std"], e["lo"], *(float(v) if v is not None else None for v in q), e["hi"])
+        for c, e, q in zip(columns, first, values)
+    ]
+    schema = "column_name string, n long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def pearson(a: str, b: str) -> Column:
