@@ -6,12 +6,12 @@ chunk is worked on in its own task, and what must cross a chunk border (a count,
 a sum, the last ``n`` rows, a detector state) travels through a table with one
 row per chunk.
 
-How chunks are cut: a row is a *cut* when the hash of its (series, order) key is
-0 modulo the stride. The cuts are a uniform sample of the rows, so the chunks
-follow the data whatever the spread of keys or times, and they depend on the key
-values only, so a recomputed or retried task finds the same chunks. About
-``rows / stride`` cuts exist; the stride grows with the table so that their number
-stays near ``max_chunks``. That bounds the broadcast that assigns rows to chunks.
+How chunks are cut: rows whose (series, order) key hashes to 0 modulo a stride are a
+uniform sample; every ``SAMPLES``-th of them, in order, is a *cut*. So the chunks
+follow the data whatever the spread of keys or times, their sizes differ little, and
+they depend on the key values only: a recomputed or retried task finds the same chunks.
+The stride grows with the table so that the number of cuts stays near ``max_chunks``.
+That bounds the broadcast that assigns rows to chunks.
 
 The order columns must identify a row inside its series (end them with an id).
 The input is read more than once when chunks are needed, so it must be
@@ -30,6 +30,7 @@ from ..session import write_scratch
 
 CHUNK_ROWS = 1_000_000
 MAX_CHUNKS = 100_000
+SAMPLES = 8
 
 _CHUNK = "__chunk"
 _ALL = "__all"
@@ -133,14 +134,20 @@ def chunked(
     if (longest or 0) <= chunk_rows:
         return Chunked(df, series, order, False)
 
-    stride = max(chunk_rows, -(-total // max_chunks))
+    rows_per_chunk = max(chunk_rows, -(-total // max_chunks))
+    stride = max(1, rows_per_chunk // SAMPLES)
+    per_cut = rows_per_chunk // stride
     keys = df.select(*series, *order)
-    cuts = (
+    sampled = (
         keys.where(F.pmod(F.xxhash64(*series, *order), F.lit(stride)) == 0)
         .groupBy(*series)
-        .agg(F.sort_array(F.collect_set(F.struct(*order))).alias("__cuts"))
+        .agg(F.sort_array(F.collect_set(F.struct(*order))).alias("s"))
     )
-    levels = max(4, (4 * max(total // stride, 1)).bit_length())
+    cuts = sampled.select(
+        *series, F.filter("s", lambda _, i: F.pmod(i, F.lit(per_cut)) == per_cut - 1).alias("__cuts")
+    ).where(F.size("__cuts") > 0)
+    # Room for over twice the expected cuts; past that the last chunk would just be longer.
+    levels = max(3, (longest // rows_per_chunk).bit_length())
     tagged = join_same(df, F.broadcast(cuts), series)
     at = F.when(F.col("__cuts").isNotNull(), _position(F.col("__cuts"), F.struct(*order), levels))
     tagged = tagged.withColumn(_CHUNK, F.coalesce(at, F.lit(0))).drop("__cuts")
