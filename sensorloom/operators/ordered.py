@@ -57,16 +57,20 @@ def broadcast_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
-def _position(bounds: Column, key: Column, levels: int) -> Column:
-    """How many entries of the sorted array ``bounds`` are <= ``key`` (binary search)."""
-    steps = F.array(*[F.lit(1 << i) for i in range(levels, -1, -1)])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= key), at + step
-        ).otherwise(at),
+def _locate(df: DataFrame, order: Sequence[str], levels: int) -> DataFrame:
+    """Add how many entries of the sorted array ``__cuts`` are <= the row's order key.
+
+    A binary search, one projection per step: each step uses the one before several
+    times, so Spark keeps them apart and runs them all in one generated stage.
+    """
+    df = df.withColumns(
+        {"__key": F.struct(*order), "__size": F.coalesce(F.size("__cuts"), F.lit(0)), _CHUNK: F.lit(0)}
     )
+    for level in range(levels, -1, -1):
+        ahead = F.col(_CHUNK) + F.lit(1 << level)
+        fits = (ahead <= F.col("__size")) & (F.get("__cuts", ahead - 1) <= F.col("__key"))
+        df = df.withColumn(_CHUNK, F.when(fits, ahead).otherwise(F.col(_CHUNK)))
+    return df.drop("__key", "__size", "__cuts")
 
 
 @dataclass
@@ -149,8 +153,7 @@ def chunked(
     # Room for over twice the expected cuts; past that the last chunk would just be longer.
     levels = max(3, (longest // rows_per_chunk).bit_length())
     tagged = join_same(df, F.broadcast(cuts), series)
-    at = F.when(F.col("__cuts").isNotNull(), _position(F.col("__cuts"), F.struct(*order), levels))
-    tagged = tagged.withColumn(_CHUNK, F.coalesce(at, F.lit(0))).drop("__cuts")
+    tagged = _locate(tagged, order, levels)
     return Chunked(tagged, series, order, True)
 
 
