@@ -83,8 +83,8 @@ def kmeans_predict(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 def smallest_cluster(df: DataFrame, column: str = "cluster") -> int:
     """Number of the cluster with the fewest rows, which stands for anomalies."""
-    sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.orderBy("n", column).first()[0]
+    sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
+    return sizes.orderBy("__n", column).first()[0]
 
 
 def kmeans_anomalies(

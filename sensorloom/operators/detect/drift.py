@@ -153,7 +153,7 @@ def adwin(
             min_window, grace, block_rows, chunk_rows,
         )
         return flagged.drop("__one")
-    longest = df.groupBy(*series).agg(F.count(column).alias("n")).agg(F.max("n")).first()[0] or 0
+    longest = df.groupBy(*series).agg(F.count(column).alias("__n")).agg(F.max("__n")).first()[0] or 0
     if block_rows is None:
         block_rows = max(clock, -(-longest // MAX_BLOCKS))
     elif longest > block_rows * MAX_BLOCKS:

@@ -57,20 +57,20 @@ def broadcast_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
-def _locate(df: DataFrame, order: Sequence[str], levels: int) -> DataFrame:
-    """Add how many entries of the sorted array ``__cuts`` are <= the row's order key.
+def _position(bounds: Column, key: Column, levels: int) -> Column:
+    """How many entries of the sorted array ``bounds`` are <= ``key`` (binary search).
 
-    A binary search, one projection per step: each step uses the one before several
-    times, so Spark keeps them apart and runs them all in one generated stage.
+    One expression, not a chain of projections: a filter on the chunk number that Spark
+    pushes down through a chain would repeat each step several times over.
     """
-    df = df.withColumns(
-        {"__key": F.struct(*order), "__size": F.coalesce(F.size("__cuts"), F.lit(0)), _CHUNK: F.lit(0)}
+    steps = F.array(*[F.lit(1 << i) for i in range(levels, -1, -1)])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= key), at + step
+        ).otherwise(at),
     )
-    for level in range(levels, -1, -1):
-        ahead = F.col(_CHUNK) + F.lit(1 << level)
-        fits = (ahead <= F.col("__size")) & (F.get("__cuts", ahead - 1) <= F.col("__key"))
-        df = df.withColumn(_CHUNK, F.when(fits, ahead).otherwise(F.col(_CHUNK)))
-    return df.drop("__key", "__size", "__cuts")
 
 
 @dataclass
@@ -133,8 +133,8 @@ def chunked(
     chunk_rows = chunk_rows or CHUNK_ROWS
     if not series:
         df, series = df.withColumn(_ALL, F.lit(0)), [_ALL]
-    sizes = df.groupBy(*series).agg(F.count(F.lit(1)).alias("n"))
-    total, longest = sizes.agg(F.sum("n"), F.max("n")).first()
+    sizes = df.groupBy(*series).agg(F.count(F.lit(1)).alias("__n"))
+    total, longest = sizes.agg(F.sum("__n"), F.max("__n")).first()
     if (longest or 0) <= chunk_rows:
         return Chunked(df, series, order, False)
 
@@ -145,15 +145,16 @@ def chunked(
     sampled = (
         keys.where(F.pmod(F.xxhash64(*series, *order), F.lit(stride)) == 0)
         .groupBy(*series)
-        .agg(F.sort_array(F.collect_set(F.struct(*order))).alias("s"))
+        .agg(F.sort_array(F.collect_set(F.struct(*order))).alias("__sample"))
     )
     cuts = sampled.select(
-        *series, F.filter("s", lambda _, i: F.pmod(i, F.lit(per_cut)) == per_cut - 1).alias("__cuts")
+        *series, F.filter("__sample", lambda _, i: F.pmod(i, F.lit(per_cut)) == per_cut - 1).alias("__cuts")
     ).where(F.size("__cuts") > 0)
     # Room for over twice the expected cuts; past that the last chunk would just be longer.
     levels = max(3, (longest // rows_per_chunk).bit_length())
     tagged = join_same(df, F.broadcast(cuts), series)
-    tagged = _locate(tagged, order, levels)
+    at = F.when(F.col("__cuts").isNotNull(), _position(F.col("__cuts"), F.struct(*order), levels))
+    tagged = tagged.withColumn(_CHUNK, F.coalesce(at, F.lit(0))).drop("__cuts")
     return Chunked(tagged, series, order, True)
 
 

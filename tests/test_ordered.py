@@ -94,3 +94,10 @@ def test_chunks_are_spread(skewed):
 def test_group_limit_before_shuffle(skewed):
     plan = o.first_per_series(skewed, S, O, 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+@pytest.mark.parametrize("name", ["n", "s", "rank_", "total"])
+def test_series_may_have_any_name(skewed, name):
+    df = skewed.withColumnRenamed("series", name)
+    assert o.with_rank(df, [name], O, chunk_rows=40).count() == 900
+    assert o.previous_value(df, [name], O, "x", chunk_rows=40).count() == 900
