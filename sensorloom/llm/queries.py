@@ -29,7 +29,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 HOST_RULES_SQL = r"""
 WITH words AS (
   SELECT doc_id, source, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 tri AS (
   SELECT doc_id, i, list_slice(w, i, i + 2) AS g
@@ -40,8 +40,8 @@ measured AS (
   SELECT doc_id, source, len(w) AS n_words,
          length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-         len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-           - len(list_distinct(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
+         len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+           - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
          coalesce(covered.n, 0) AS n_repeat_words
   FROM words LEFT JOIN covered USING (doc_id)),
 ruled AS (
@@ -64,3 +64,16 @@ def host_rules(spark: SparkSession, folder: str) -> DataFrame:
     from sensorloom.llm.host_rules import judged
 
     return judged(table(spark, folder, "documents"))
+
+
+@query("op3_token_files")
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids as read back from a token file of all documents."""
+    import public_tokenizers
+
+    from sensorloom.llm.token_files import read_tokens, write_tokens
+    from sensorloom.session import scratch_path
+
+    path = scratch_path(spark, "tokens")
+    write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_tokens(spark, path)
