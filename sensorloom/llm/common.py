@@ -47,7 +47,7 @@ def ranked(df: DataFrame, order: Sequence[str], rank: str, name: str = "ranked")
         "__range",
         (F.sum("__n").over(Window.orderBy("__range")) - F.col("__n")).alias("__before"),
     )
-    place = F.col("__at") - F.shiftleft(F.col("__range"), F.lit(33))
+    place = F.col("__at") - F.shiftleft("__range", 33)
     return at.join(before, "__range").select(*kept, (F.col("__before") + place).alias(rank))
 
 

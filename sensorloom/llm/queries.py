@@ -77,3 +77,21 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_tokens(spark, path)
+
+
+@query("op4_mix_sources")
+def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    from sensorloom.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents"))
+
+
+@query("op10_pack_sequences")
+def pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of at most 1024 tokens."""
+    import public_tokenizers
+
+    from sensorloom.llm.packing import pack
+
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
