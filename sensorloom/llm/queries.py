@@ -95,3 +95,30 @@ def pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     from sensorloom.llm.packing import pack
 
     return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+LINE_SPREAD_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce('s' || source, 'n') AS site, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents),
+lines AS (
+  SELECT doc_id, site, pos, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
+  FROM cut WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
+firsts AS (
+  SELECT line, doc_id AS first_doc, pos AS first_pos
+  FROM (SELECT line, doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS r FROM lines) WHERE r = 1),
+spread AS (SELECT line FROM lines GROUP BY line HAVING count(DISTINCT site) >= 10)
+SELECT lines.doc_id, count(DISTINCT pos) AS n_removed, min(first_doc) AS first_doc
+FROM lines JOIN spread USING (line) JOIN firsts USING (line)
+WHERE NOT (lines.doc_id = first_doc AND pos = first_pos)
+GROUP BY lines.doc_id
+"""
+
+
+@query("op8_line_spread", LINE_SPREAD_SQL)
+def line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that lose lines found on ten sites or more, and the first document that keeps one."""
+    from sensorloom.llm.line_dedup import line_report
+
+    return line_report(table(spark, folder, "documents"))
