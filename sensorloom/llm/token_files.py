@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sensorloom.llm.common import by_size
+from sensorloom.llm.common import by_size, side
 from sensorloom.llm.encode import encoder
 from sensorloom.llm.simple8 import pack, unpack
+from sensorloom.session import write_scratch
 
 #: Ids at which a record of the file is closed. A longer document has a record of its own.
 RECORD_IDS = 1 << 16
@@ -100,4 +101,4 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
                     out.append(pa.ListArray.from_arrays(pa.array(np.append(begins, ends[-1:]), pa.int32()), pa.array(found.astype(np.int64))))
                 yield pa.RecordBatch.from_arrays(out, names=[x.split()[0] for x in schema.split(", ")])
 
-    return records.join(bases, "shard").mapInArrow(decode, schema)
+    return records.join(side(write_scratch(bases, "shards")), "shard").mapInArrow(decode, schema)
