@@ -19,8 +19,42 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines found on ten hosts or more, but for their first place."""
+    from sensorloom.llm.line_dedup import without_spread_lines
+
+    return without_spread_lines(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one of the smallest id."""
+    from sensorloom.llm.near_dedup import one_of_each
+
+    return one_of_each(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Hosts at weights 5, 2, 1 in turn and half as many words again; a document twice at most."""
+    from sensorloom.llm.mixing import mixed
+
+    return mixed(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 1024 tokens."""
+    import public_tokenizers
+
+    from sensorloom.llm.packing import pack
+
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality rules", quality),
+    ("line dedup", lines),
+    ("near dedup", near_copies),
+    ("mixing", mixture),
+    ("packing", sequences),
 ]
 
 #: SQL cannot express all stages.

@@ -122,3 +122,11 @@ def line_spread(spark: SparkSession, folder: str) -> DataFrame:
     from sensorloom.llm.line_dedup import line_report
 
     return line_report(table(spark, folder, "documents"))
+
+
+@query("op1_near_dedup")
+def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's component of near copies: sets of two-word shingles, similarity 0.8."""
+    from sensorloom.llm.near_dedup import near_classes
+
+    return near_classes(table(spark, folder, "documents"), size=2, percent=80)
