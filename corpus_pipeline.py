@@ -8,6 +8,7 @@ mixing and packing stages; ``tests/llm`` compare them with brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorloom.session import write_scratch
 
@@ -23,7 +24,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines found on ten hosts or more, but for their first place."""
     from sensorloom.llm.line_dedup import without_spread_lines
 
-    return without_spread_lines(docs)
+    return without_spread_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,3 +130,11 @@ def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from sensorloom.llm.near_dedup import near_classes
 
     return near_classes(table(spark, folder, "documents"), size=2, percent=80)
+
+
+@query("op6_bloom_lm")
+def bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's exact add-one word score and its score by the pair model."""
+    from sensorloom.llm.bloom_lm import score
+
+    return score(table(spark, folder, "documents"))
