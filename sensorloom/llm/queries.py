@@ -138,3 +138,11 @@ def bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
     from sensorloom.llm.bloom_lm import score
 
     return score(table(spark, folder, "documents"))
+
+
+@query("op7_cross_polytope")
+def cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's links at cosine 0.95 and its component."""
+    from sensorloom.llm.cross_polytope import near_vectors
+
+    return near_vectors(table(spark, folder, "embeddings"))
