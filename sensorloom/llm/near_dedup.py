@@ -108,7 +108,7 @@ def _alike(sizes: np.ndarray, marks: np.ndarray, other_sizes: np.ndarray, other_
 
 
 def _marks(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, TREES * DEPTH)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
 def nearest_pairs(nodes: DataFrame, percent: int) -> DataFrame:

@@ -146,3 +146,65 @@ def cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     from sensorloom.llm.cross_polytope import near_vectors
 
     return near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op2_paragraph_dedup")
+def paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every repeated paragraph but the first of its group, and where that is."""
+    from sensorloom.llm.paragraph_dedup import repeated_paragraphs
+
+    return repeated_paragraphs(table(spark, folder, "documents"))
+
+
+#: Pages have no fetch time and come with no lists: both follow from the page's number. The first
+#: page of a domain dates its entries; a domain may be listed, taken off and listed again.
+URL_LISTS_SQL = r"""
+WITH captures AS (
+  SELECT page_id, url, page_id % 730 AS fetched,
+         nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', ''), '') AS host
+  FROM pages),
+domains AS (
+  SELECT domain, min(page_id) AS m
+  FROM (SELECT page_id, regexp_replace(host, '^(www|m|blog)\.', '') AS domain FROM captures WHERE host IS NOT NULL) GROUP BY domain),
+spans AS (
+  SELECT domain, 'spam' AS listing, m % 365 AS valid_from, m % 365 + 30 + m % 90 AS valid_to FROM domains WHERE m % 3 = 0
+  UNION ALL SELECT domain, 'spam', m % 365 + 200, NULL FROM domains WHERE m % 6 = 0
+  UNION ALL SELECT domain, 'adult', m % 500, NULL FROM domains WHERE m % 7 = 0),
+labels AS (SELECT page_id, fetched, string_split(host, '.') AS l FROM captures WHERE host IS NOT NULL),
+keyed AS (
+  SELECT page_id, fetched, array_to_string(list_slice(l, i, len(l)), '.') AS domain
+  FROM (SELECT page_id, fetched, l, unnest(range(1, greatest(len(l) - 1, 1) + 1)) AS i FROM labels)),
+met AS (
+  SELECT page_id, domain, listing, valid_from,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(domain) DESC, domain DESC, valid_from DESC, listing DESC) AS r,
+         count(*) OVER (PARTITION BY page_id) AS n
+  FROM keyed JOIN spans USING (domain) WHERE valid_from <= fetched AND (valid_to IS NULL OR fetched < valid_to))
+SELECT captures.page_id, fetched, host, coalesce(n, 0) AS n_active, domain AS matched_domain, listing AS matched_listing, valid_from AS listed_since
+FROM captures LEFT JOIN met ON captures.page_id = met.page_id AND r = 1
+"""
+
+
+@query("op9_url_lists", URL_LISTS_SQL)
+def url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page against the listings that were active on the day of its fetch."""
+    from pyspark.sql import functions as F
+
+    from sensorloom.llm.url_lists import host_of, listed_captures
+    from sensorloom.session import write_scratch
+
+    captures = table(spark, folder, "pages").select("page_id", "url", (F.col("page_id") % 730).alias("fetched"))
+    domains = captures.withColumn("domain", F.regexp_replace(host_of(F.col("url")), r"^(www|m|blog)\.", "")).where("domain IS NOT NULL")
+    m = F.col("m")
+    domains = write_scratch(domains.groupBy("domain").agg(F.min("page_id").alias("m")), "listed_domains")
+
+    def dated(listing: str, when, at, listed: bool) -> DataFrame:
+        return domains.where(when).select("domain", F.lit(listing).alias("listing"), at.alias("at"), F.lit(listed).alias("listed"))
+
+    spam = m % 365
+    entries = (
+        dated("spam", m % 3 == 0, spam, True)
+        .union(dated("spam", m % 3 == 0, spam + 30 + m % 90, False))
+        .union(dated("spam", m % 6 == 0, spam + 200, True))
+        .union(dated("adult", m % 7 == 0, m % 500, True))
+    )
+    return listed_captures(captures, entries).drop("url")
