@@ -135,7 +135,7 @@ def nearest_pairs(nodes: DataFrame, percent: int) -> DataFrame:
         F.array(*[F.min_by(F.struct("rep", "n", "sketch"), F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)]).alias("pivots")
     )
     pivots = write_scratch(pivots, "pivots")
-    met = large.join(pivots, "node").select("rep", "n", "sketch", F.explode("pivots").alias("p"))
+    met = large.join(side(pivots, 50_000), "node").select("rep", "n", "sketch", F.explode("pivots").alias("p"))
     met = met.select("rep", "n", "sketch", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.sketch").alias("pivot_sketch"))
     return leaves.union(met.where("rep <> pivot").mapInArrow(to_pivots, "a long, b long")).distinct()
 
