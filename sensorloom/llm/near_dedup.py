@@ -15,14 +15,15 @@ from sensorloom.llm.words import mix, shingle_hashes, utf8, word_hashes
 from sensorloom.session import write_scratch
 
 #: Independent trees, levels of each, and documents of a node that are compared with each other.
-#: Two sets of similarity s meet at a level with probability s: at 0.8, ten trees miss a pair
-#: in nodes of the first level once in 10**7, of the second once in 30 000, of the third in 600.
-TREES, DEPTH, SMALL = 10, 5, 24
-#: Documents of a node that stayed large to the last level with which all its others are compared.
-PIVOTS = 4
+#: Two sets of similarity s meet at a level with probability s: at 0.8, sixteen trees miss a pair
+#: in nodes of the second level once in 10**7, of the third in 100 000, of the fifth in 600.
+TREES, DEPTH, SMALL = 16, 5, 24
+#: Documents of a node that stayed large to the last level with which all its others are compared:
+#: of about so many drawn by hash, those most like the rest, which a group's common origin is.
+PIVOTS, PIVOTS_OF = 4, 64
 #: A pair is confirmed on its full sets if its sketches, one byte for each of the TREES * DEPTH
 #: minwise tokens, agree this much less than asked for: four standard deviations at 0.8.
-SLACK = 0.23
+SLACK = 0.18
 
 _STEPS = mix(np.arange(TREES * DEPTH, dtype=np.uint64), 77) | np.uint64(1)
 
@@ -130,13 +131,21 @@ def nearest_pairs(nodes: DataFrame, percent: int) -> DataFrame:
                 yield _pairs(a.to_numpy(), b.to_numpy(), can)
 
     leaves = gathered(nodes).mapInArrow(nearest, "a long, b long")
+    def medoids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, members in zip(batch.column("node").to_pylist(), batch.column("members"), strict=True):
+                inner = members.values
+                marks = _marks(inner.field("sketch"))
+                typical = sum((marks[:, k][:, None] == marks[:, k][None]).sum(axis=1) for k in range(marks.shape[1]))
+                best = inner.take(pa.array(np.lexsort((inner.field("rep").to_numpy(), -typical))[:PIVOTS]))
+                columns = [pa.array([node] * len(best), pa.int64()), *[best.field(k) for k in ("rep", "n", "sketch")]]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "pivot", "pivot_n", "pivot_sketch"])
+
     large = nodes.where("NOT small")
-    pivots = large.groupBy("node").agg(
-        F.array(*[F.min_by(F.struct("rep", "n", "sketch"), F.xxhash64("rep", F.lit(k))) for k in range(PIVOTS)]).alias("pivots")
-    )
-    pivots = write_scratch(pivots, "pivots")
-    met = large.join(side(pivots, 50_000), "node").select("rep", "n", "sketch", F.explode("pivots").alias("p"))
-    met = met.select("rep", "n", "sketch", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.sketch").alias("pivot_sketch"))
+    few = large.where(F.pmod(F.xxhash64("node", "rep"), F.ceil(F.col("members") / PIVOTS_OF)) == 0)
+    few = few.groupBy("node").agg(F.collect_list(F.struct("rep", "n", "sketch")).alias("members"))
+    pivots = write_scratch(few.mapInArrow(medoids, "node long, pivot long, pivot_n long, pivot_sketch binary"), "pivots")
+    met = large.join(side(pivots, 100_000), "node")
     return leaves.union(met.where("rep <> pivot").mapInArrow(to_pivots, "a long, b long")).distinct()
 
 

@@ -40,7 +40,8 @@ def _choices(bits: np.ndarray) -> np.ndarray:
             break
         while run < want:
             step = min(run, want - run)
-            np.maximum(most[: n - step], most[step:], out=most[: n - step])
+            if step < n:
+                np.maximum(most[: n - step], most[step:], out=most[: n - step])
             run += step
         choice[(most <= WIDTHS[selector]) & (left >= want)] = selector
     return choice
