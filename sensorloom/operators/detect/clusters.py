@@ -87,6 +87,12 @@ def smallest_cluster(df: DataFrame, column: str = "cluster") -> int:
     return sizes.orderBy("__n", column).first()[0]
 
 
+def smallest_trained_cluster(model: PipelineModel) -> int:
+    """:func:`smallest_cluster` of the rows a model was just fitted on, from its own summary."""
+    sizes = model.stages[-1].summary.clusterSizes
+    return min(range(len(sizes)), key=lambda k: (sizes[k], k))
+
+
 def kmeans_anomalies(
     df: DataFrame, model: PipelineModel, anomaly_cluster: int | None = None, name: str = "prediction"
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -14,8 +14,6 @@ from ...functions.parsing import no_nan
 from ...session import write_scratch
 from ..ordered import broadcast_small, join_same, with_rank
 
-MAX_BLOCKS = 1_000_000
-
 
 @dataclass
 class AdaptiveWindow:
@@ -141,10 +139,10 @@ def adwin(
 
     The test is sequential, and looks for a cut every ``clock`` rows. So rows are first
     summed in blocks of ``block_rows`` by all tasks, and only the blocks of a series
-    are walked in order. ``block_rows=1`` walks single rows. By default a block is one
-    clock step, or longer where a series would have over ``MAX_BLOCKS`` blocks: that
-    bounds a group, every row still counts, and drift is then located to the block.
-    The row-by-row form for unbounded input is the streaming twin.
+    are walked in order: by default one clock step each, whatever the size of the table.
+    A window that would cut between two rows of a block cuts at its border instead;
+    ``block_rows=1`` walks single rows and equals the streaming twin. The walk reads sorted
+    blocks batch by batch and keeps nothing of a series but its window.
     """
     series, order = list(series), list(order)
     if not series:
@@ -153,23 +151,25 @@ def adwin(
             min_window, grace, block_rows, chunk_rows,
         )
         return flagged.drop("__one")
-    longest = df.groupBy(*series).agg(F.count(column).alias("__n")).agg(F.max("__n")).first()[0] or 0
-    if block_rows is None:
-        block_rows = max(clock, -(-longest // MAX_BLOCKS))
-    elif longest > block_rows * MAX_BLOCKS:
-        raise ValueError(f"a series of {longest} rows needs block_rows >= {-(-longest // MAX_BLOCKS)}")
-    blocks = write_scratch(adwin_blocks(df, series, order, column, block_rows, chunk_rows), "blocks")
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        window = AdaptiveWindow(delta, clock, max_buckets, min_window, grace)
-        hits = [window.add(n, s, m) for n, s, m in zip(pdf["n"], pdf["total"], pdf["m2"])]
-        return pdf.loc[hits, [*series, "block"]]
+    blocks = write_scratch(adwin_blocks(df, series, order, column, block_rows or clock, chunk_rows), "blocks")
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, window = None, None
+        for pdf in batches:
+            hits = []
+            keys = zip(*[pdf[f"__k{i}"] for i in range(len(series))])
+            for key, n, total, m2 in zip(keys, pdf["n"], pdf["total"], pdf["m2"]):
+                if key != current:
+                    current, window = key, AdaptiveWindow(delta, clock, max_buckets, min_window, grace)
+                hits.append(window.add(n, total, m2))
+            yield pdf.loc[hits, [*series, "block"]]
 
     kinds = dict(blocks.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*series, "block"])
-    slim = blocks.select(*series, "block", "n", "total", "m2")
-    found = slim.groupBy(*series).applyInPandas(walk, schema=schema)
+    # Keys as text, so that a missing one equals itself from row to row.
+    texts = [F.coalesce(F.concat(F.lit("k"), F.col(c).cast("string")), F.lit("")).alias(f"__k{i}") for i, c in enumerate(series)]
+    slim = blocks.select(*series, "block", "n", "total", "m2", *texts)
+    found = slim.repartition(*series).sortWithinPartitions(*series, "block").mapInPandas(walk, schema)
     # Back to rows: a drifting block is marked by the key of its last row.
     ends = join_same(found, blocks.select(*series, "block", "end"), [*series, "block"], "inner")
     ends = ends.select(*series, "end.*", F.lit(1).alias("__drift"))

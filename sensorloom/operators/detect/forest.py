@@ -91,8 +91,8 @@ def iforest_fit(
     """Grow ``trees`` trees on ``sample_rows`` rows each.
 
     Rows are sampled by a hash of their id, so a retried task draws the same rows. A
-    pool of trees x sample_rows rows is a top-k over the table; each tree gets its share
-    of that bounded pool, or draws from all of it when the table is smaller.
+    pool of up to trees x sample_rows rows is a top-k over the table, and every tree draws
+    its rows from the pool by a hash of its own.
     ``contamination`` sets the score threshold to that upper quantile of the train scores.
     """
     columns = list(columns)
@@ -102,17 +102,10 @@ def iforest_fit(
     draw = F.xxhash64(F.lit(seed), F.col("__id"))
     wanted = trees * sample_rows
     pool = write_scratch(rows.orderBy(draw, "__id").limit(wanted), "forest")
-    if pool.count() == wanted:
-        # Enough rows for all trees: deal the (bounded, randomly ordered) pool out.
-        at = F.row_number().over(Window.orderBy(draw, "__id")) - 1
-        sample = pool.withColumn("__at", at).select(
-            "*", F.pmod("__at", F.lit(trees)).alias("tree"), F.floor(F.col("__at") / trees).alias("__rn")
-        )
-    else:
-        every = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        ticket = F.xxhash64(F.lit(seed), F.col("tree"), F.col("__id"))
-        order = Window.partitionBy("tree").orderBy(ticket, "__id")
-        sample = every.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= sample_rows)
+    every = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    ticket = F.xxhash64(F.lit(seed), F.col("tree"), F.col("__id"))
+    order = Window.partitionBy("tree").orderBy(ticket, "__id")
+    sample = every.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= sample_rows)
     limit = math.ceil(math.log2(max(sample_rows, 2)))
     names = [f"f{i}" for i in range(len(columns))]
 

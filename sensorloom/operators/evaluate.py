@@ -27,19 +27,15 @@ def confusion_matrix(df: DataFrame, truth: str, prediction: str) -> DataFrame:
     """Rows per (truth, prediction) over all labels of either side, with zeros for pairs that
     never occur.
 
-    The grid is built from the contingency table, which has a row per pair of labels.
+    The grid lists every label with every label; the contingency table, a row per pair that
+    occurs, is joined to it on both.
     """
-    seen = F.array_sort(F.array_union(F.collect_set("truth"), F.collect_set("prediction")))
-    cells = F.collect_list(F.struct("truth", "prediction", "n"))
-    whole = _pairs(df, truth, prediction).agg(seen.alias("labels"), cells.alias("cells"))
-    grid = whole.select("labels", "cells", F.explode("labels").alias("truth"))
-    grid = grid.select("cells", "truth", F.explode("labels").alias("prediction"))
-    here = F.filter(
-        "cells", lambda c: (c["truth"] == F.col("truth")) & (c["prediction"] == F.col("prediction"))
-    )
-    return grid.select(
-        "truth", "prediction", F.coalesce(F.get(here, F.lit(0)).getField("n"), F.lit(0)).alias("n_rows")
-    )
+    pairs = _pairs(df, truth, prediction)
+    seen = pairs.agg(F.array_sort(F.array_union(F.collect_set("truth"), F.collect_set("prediction"))).alias("labels"))
+    grid = seen.select("labels", F.explode("labels").alias("truth"))
+    grid = grid.select("truth", F.explode("labels").alias("prediction"))
+    met = grid.join(pairs, ["truth", "prediction"], "left")
+    return met.select("truth", "prediction", F.coalesce("n", F.lit(0)).alias("n_rows"))
 
 
 def _per_class(df: DataFrame, truth: str, prediction: str) -> DataFrame:

@@ -16,7 +16,8 @@ from ..functions.logtext import (
 )
 from ..functions.parsing import all_of, any_of, json_map, line_fields, logfmt_map
 from ..functions.timefn import bucket_start
-from .ordered import broadcast_small, join_same, with_lookback, with_running_sum
+from ..session import write_scratch
+from .ordered import broadcast_small, join_same, with_lookback, with_rank, with_running_sum
 
 _COMPARE = {
     ">": lambda a, b: a > b,
@@ -122,12 +123,11 @@ def sum_preaggregated(df: DataFrame, count_column: str, by: str = "level") -> Da
     return df.groupBy(by).agg(F.sum(count_column).alias("n_lines"))
 
 
-def volume_by(df: DataFrame, label: str, line: str = "line", limit: int = 5000) -> DataFrame:
-    """Bytes of log text per label value, largest first."""
+def volume_by(df: DataFrame, label: str, line: str = "line", limit: int | None = None) -> DataFrame:
+    """Bytes of log text per label value, largest first; ``limit`` keeps that many."""
     size = F.sum(F.octet_length(line))
-    return (
-        df.groupBy(label).agg(size.alias("volume")).orderBy(F.desc("volume"), label).limit(limit)
-    )
+    volumes = df.groupBy(label).agg(size.alias("volume")).orderBy(F.desc("volume"), label)
+    return volumes if limit is None else volumes.limit(limit)
 
 
 # --- labels and fields ---------------------------------------------------------------
@@ -269,17 +269,16 @@ def sort_series(
     return scored.orderBy(first, F.col(series))
 
 
-def thin_points(df: DataFrame, series: str, ts: str, value: str, points: int = 100) -> DataFrame:
-    """Each series thinned to every n-th point, at most about twice ``points`` of them."""
-    ranked = with_running_sum(df.select(series, ts, value), [series], [ts], {"__at": F.lit(1)})
+def thin_points(df: DataFrame, series: str, ts: str, value: str, points: int = 150) -> DataFrame:
+    """Each series reduced to at most ``points`` points: bins of equal count in time, the first point of each."""
+    ranked = with_rank(df.select(series, ts, value), [series], [ts], "__rank")
     lengths = df.groupBy(series).agg(F.count(F.lit(1)).alias("__len"))
-    step = F.greatest(F.floor(F.col("__len") / points), F.lit(1))
-    step = F.when(step > 1, F.ceil(step / 2)).otherwise(step)
-    return (
-        join_same(ranked, broadcast_small(lengths), [series], "inner")
-        .where(F.pmod(F.col("__at") - 1, step) == 0)
-        .select(series, ts, value)
+    bins = F.least(F.col("__len"), F.lit(points))
+    placed = join_same(ranked, broadcast_small(lengths), [series], "inner").withColumn(
+        "__bin", F.floor((F.col("__rank") - 1) * bins / F.col("__len"))
     )
+    first = placed.groupBy(series, "__bin").agg(F.min(F.struct(ts, value)).alias("__p"))
+    return first.select(series, f"__p.{ts}", f"__p.{value}")
 
 
 def run_length_changes(x: np.ndarray, hazard: float = 1 / 100) -> int:
@@ -319,16 +318,17 @@ def run_length_changes(x: np.ndarray, hazard: float = 1 / 100) -> int:
 
 
 def changepoint_count(
-    df: DataFrame, series: str, ts: str, value: str, points: int = 100, hazard: float = 1 / 100
+    df: DataFrame, series: str, ts: str, value: str, points: int = 150, hazard: float = 1 / 100
 ) -> DataFrame:
-    """Change points per series, after thinning it to 100–200 points (so a group is small)."""
+    """Change points per series, after reducing it to at most ``points`` points (so a group is small)."""
     kind = dict(df.dtypes)[series]
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values(ts)[value].dropna().to_numpy(dtype="float64")
         return pd.DataFrame({series: [pdf[series].iloc[0]], "changepoints": [run_length_changes(x, hazard)]})
 
-    thin = thin_points(df, series, ts, value, points)
+    # Written once: the input, often an aggregate, is read for lengths and for ranks.
+    thin = thin_points(write_scratch(df.select(series, ts, value), "points"), series, ts, value, points)
     return thin.groupBy(series).applyInPandas(count, f"`{series}` {kind}, changepoints int")
 
 
@@ -348,12 +348,14 @@ def outlier_series(
     values times (1 - sensitivity). Consecutive outlying steps of a series make one
     interval.
     """
-    rows = df.select(series, ts, F.col(value).cast("double").alias("__v")).where("__v is not null")
+    # Written once, as it is ordered by a number that a second evaluation might round otherwise.
+    rows = write_scratch(df.select(series, ts, F.col(value).cast("double").alias("__v")).where("__v is not null"), "values")
     eps = rows.agg(F.stddev_pop("__v")).scalar() * F.lit(1 - sensitivity)
     order = ["__v", series]
     gaps = with_lookback(rows, [ts], order, 1, {"__prev": lambda w: F.lag("__v").over(w)}, chunk_rows)
     starts = F.when(F.col("__prev").isNull() | (F.col("__v") - F.col("__prev") > eps), 1).otherwise(0)
     tagged = with_running_sum(gaps, [ts], order, {"__cluster": starts}, chunk_rows)
+    tagged = write_scratch(tagged.select(series, ts, "__cluster"), "clusters")
     sizes = tagged.groupBy(ts, "__cluster").agg(F.count(F.lit(1)).alias("__size"))
     steps = sizes.join(sizes.groupBy(ts).agg(F.sum("__size").alias("__all")), ts)
     marked = tagged.join(broadcast_small(steps), [ts, "__cluster"]).select(

@@ -6,12 +6,12 @@ chunk is worked on in its own task, and what must cross a chunk border (a count,
 a sum, the last ``n`` rows, a detector state) travels through a table with one
 row per chunk.
 
-How chunks are cut: rows whose (series, order) key hashes to 0 modulo a stride are a
-uniform sample; every ``SAMPLES``-th of them, in order, is a *cut*. So the chunks
-follow the data whatever the spread of keys or times, their sizes differ little, and
-they depend on the key values only: a recomputed or retried task finds the same chunks.
-The stride grows with the table so that the number of cuts stays near ``max_chunks``.
-That bounds the broadcast that assigns rows to chunks.
+How chunks are cut: the rows are dealt by range of (series, order), sorted in each range and
+written once, with their place. A chunk is up to ``chunk_rows`` neighbouring rows of one
+range and one series, so its number follows from the place alone: no row ever carries a
+list of cuts, and any number of chunks costs the same. Sizes come from the written table.
+A :class:`Chunked` can be passed on in place of a frame, so that several steps share one
+layout. Which rows share a chunk never changes a result.
 
 The order columns must identify a row inside its series (end them with an id).
 The input is read more than once when chunks are needed, so it must be
@@ -30,9 +30,10 @@ from ..session import write_scratch
 
 CHUNK_ROWS = 1_000_000
 MAX_CHUNKS = 100_000
-SAMPLES = 8
+RANGE_ROWS = 1_000_000
 
 _CHUNK = "__chunk"
+_AT = "__at_row"
 _ALL = "__all"
 
 
@@ -57,22 +58,6 @@ def broadcast_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= rows else stored
 
 
-def _position(bounds: Column, key: Column, levels: int) -> Column:
-    """How many entries of the sorted array ``bounds`` are <= ``key`` (binary search).
-
-    One expression, not a chain of projections: a filter on the chunk number that Spark
-    pushes down through a chain would repeat each step several times over.
-    """
-    steps = F.array(*[F.lit(1 << i) for i in range(levels, -1, -1)])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= key), at + step
-        ).otherwise(at),
-    )
-
-
 @dataclass
 class Chunked:
     """Rows with their chunk number, and how to window over them."""
@@ -91,8 +76,8 @@ class Chunked:
         return Window.partitionBy(*self.keys).orderBy(*cols)
 
     def counts(self) -> DataFrame:
-        """Per chunk: rows ``__n`` and rows of the series before it ``__before``."""
-        per_chunk = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"))
+        """Per chunk: rows ``__n``, rows of the series before it ``__before``, place of its last row."""
+        per_chunk = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__n"), F.max(_AT).alias("__last"))
         return self.before(per_chunk, {"__before": F.sum("__n")})
 
     def before(self, per_chunk: DataFrame, folds: dict[str, Column], default: object = 0) -> DataFrame:
@@ -107,19 +92,21 @@ class Chunked:
         )
 
     def attach(self, rows: DataFrame, per_chunk: DataFrame) -> DataFrame:
-        """Left-join carried values; only chunks after the first carry any.
+        """Left-join carried values; only chunks after the first of a series carry any.
 
-        Those are at most one per cut, which bounds the broadcast.
+        Those are fewer than the chunks of a full ``chunk_rows`` and the ranges together,
+        which bounds the broadcast.
         """
-        carried = per_chunk.where(F.col(_CHUNK) > 0)
+        nth = F.row_number().over(Window.partitionBy(*self.series).orderBy(_CHUNK))
+        carried = per_chunk.withColumn("__nth", nth).where(F.col("__nth") > 1).drop("__nth")
         return join_same(rows, F.broadcast(carried), self.keys)
 
     def finish(self, rows: DataFrame, *drop: str) -> DataFrame:
-        return rows.drop(_CHUNK, _ALL, *drop)
+        return rows.drop(_CHUNK, _AT, _ALL, *drop)
 
 
 def chunked(
-    df: DataFrame,
+    df: DataFrame | Chunked,
     series: Sequence[str],
     order: Sequence[str],
     chunk_rows: int | None = None,
@@ -127,8 +114,11 @@ def chunked(
 ) -> Chunked:
     """Cut long series into chunks; short tables keep one window per series.
 
-    One count per series (partial aggregation, no row moves) decides.
+    One count per series (partial aggregation, no row moves) decides. ``max_chunks`` bounds
+    the tables that carry values from chunk to chunk.
     """
+    if isinstance(df, Chunked):
+        return df
     series, order = list(series), list(order)
     chunk_rows = chunk_rows or CHUNK_ROWS
     if not series:
@@ -139,27 +129,17 @@ def chunked(
         return Chunked(df, series, order, False)
 
     rows_per_chunk = max(chunk_rows, -(-total // max_chunks))
-    stride = max(1, rows_per_chunk // SAMPLES)
-    per_cut = rows_per_chunk // stride
-    keys = df.select(*series, *order)
-    sampled = (
-        keys.where(F.pmod(F.xxhash64(*series, *order), F.lit(stride)) == 0)
-        .groupBy(*series)
-        .agg(F.sort_array(F.collect_set(F.struct(*order))).alias("__sample"))
-    )
-    cuts = sampled.select(
-        *series, F.filter("__sample", lambda _, i: F.pmod(i, F.lit(per_cut)) == per_cut - 1).alias("__cuts")
-    ).where(F.size("__cuts") > 0)
-    # Room for over twice the expected cuts; past that the last chunk would just be longer.
-    levels = max(3, (longest // rows_per_chunk).bit_length())
-    tagged = join_same(df, F.broadcast(cuts), series)
-    at = F.when(F.col("__cuts").isNotNull(), _position(F.col("__cuts"), F.struct(*order), levels))
-    tagged = tagged.withColumn(_CHUNK, F.coalesce(at, F.lit(0))).drop("__cuts")
-    return Chunked(tagged, series, order, True)
+    at_least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(min(at_least, -(-total // rows_per_chunk)), -(-total // RANGE_ROWS))
+    dealt = df.repartitionByRange(ranges, *series, *order).sortWithinPartitions(*series, *order)
+    # The place of a row: its range in the high bits, its row there in the low 33.
+    stored = write_scratch(dealt.withColumn(_AT, F.monotonically_increasing_id()), "chunks")
+    row = F.col(_AT).bitwiseAND(F.lit((1 << 33) - 1))
+    return Chunked(stored.withColumn(_CHUNK, F.col(_AT) - F.pmod(row, F.lit(rows_per_chunk))), series, order, True)
 
 
 def with_rank(
-    df: DataFrame,
+    df: DataFrame | Chunked,
     series: Sequence[str],
     order: Sequence[str],
     name: str = "rank",
@@ -169,13 +149,13 @@ def with_rank(
     c = chunked(df, series, order, chunk_rows)
     rows = c.df.withColumn(name, F.row_number().over(c.window()).cast("long"))
     if c.split:
-        rows = c.attach(rows, c.counts().drop("__n"))
+        rows = c.attach(rows, c.counts().drop("__n", "__last"))
         rows = rows.withColumn(name, F.col(name) + F.coalesce(F.col("__before"), F.lit(0)))
     return c.finish(rows, "__before")
 
 
 def with_running_sum(
-    df: DataFrame,
+    df: DataFrame | Chunked,
     series: Sequence[str],
     order: Sequence[str],
     sums: dict[str, Column],
@@ -196,7 +176,7 @@ def with_running_sum(
 
 
 def with_lookback(
-    df: DataFrame,
+    df: DataFrame | Chunked,
     series: Sequence[str],
     order: Sequence[str],
     rows_back: int,
@@ -215,20 +195,20 @@ def with_lookback(
         return c.finish(c.df.select("*", *[f(w).alias(n) for n, f in outputs.items()]))
 
     counts = c.counts()
-    tail = c.df.withColumn("__rev", F.row_number().over(c.window(descending=True)))
-    tail = tail.where(F.col("__rev") <= rows_back)
     # Only series that were cut have chunks to feed; their chunk table is bounded by the cuts.
-    cut_series = counts.where(F.col(_CHUNK) > 0).select(*c.series).distinct()
+    cut_series = counts.where(F.col("__before") > 0).select(*c.series).distinct()
     cut_counts = join_same(counts, F.broadcast(cut_series), c.series, "left_semi")
-    tail = join_same(tail, F.broadcast(cut_counts), c.keys, "inner")
+    # Rows of a chunk lie side by side, so that the last ones follow from their place.
+    tail = join_same(c.df, F.broadcast(cut_counts), c.keys, "inner")
+    tail = tail.withColumn("__rev", F.col("__last") - F.col(_AT) + 1).where(F.col("__rev") <= rows_back)
     tail = tail.withColumn("__at", F.col("__before") + F.col("__n") - F.col("__rev") + 1)
     # Row number r feeds every chunk that starts after r and within rows_back of it.
     cell = lambda col: F.floor(col / F.lit(rows_back))
-    tail = tail.drop("__n", "__before", _CHUNK).withColumn(
+    tail = tail.drop("__n", "__before", "__last", _CHUNK).withColumn(
         "__cell",
         F.explode(F.array_distinct(F.array(cell(F.col("__at")), cell(F.col("__at") + rows_back - 1)))),
     )
-    starts = counts.where(F.col(_CHUNK) > 0).select(
+    starts = counts.where(F.col("__before") > 0).select(
         *c.series, _CHUNK, F.col("__before").alias("__start"), cell(F.col("__before")).alias("__cell")
     )
     halo = join_same(tail, F.broadcast(starts), [*c.series, "__cell"], "inner").where(

@@ -227,7 +227,7 @@ def _fitted_kmeans(spark, d):
 def kmeans(spark, d):
     """Clusters of scaled train rows; the smaller cluster is the anomaly, also for test rows."""
     model, train, test = _fitted_kmeans(spark, d)
-    small = clusters.smallest_cluster(clusters.kmeans_predict(train, model))
+    small = clusters.smallest_trained_cluster(model)
     return clusters.kmeans_anomalies(test, model, small).select("event_id", "cluster", "prediction")
 
 

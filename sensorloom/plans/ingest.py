@@ -11,7 +11,7 @@ from ..functions.timefn import parse_ts, time_range, time_text
 from ..operators import quality as q
 from ..session import scratch_path
 from ..sinks import tables as sinks
-from ..sources.tables import infer_table_schema, read_csv
+from ..sources.tables import infer_table_schema, read_exported_csv
 from .registry import query, r4, r6, table
 from .views import SQL_GAPPY, SQL_READINGS, SQL_SENSORS, gappy, readings, sensors
 
@@ -99,9 +99,7 @@ def drop_missing_time(spark, d):
 
 @query("split_counts", f"SELECT data_type, count(*) AS n_rows FROM ({SQL_READINGS}) GROUP BY data_type")
 def split_counts(spark, d):
-    train, test = q.split_by_type(readings(spark, d))
-    count = lambda df: df.groupBy("data_type").agg(F.count(F.lit(1)).alias("n_rows"))
-    return count(train).unionByName(count(test))
+    return readings(spark, d).groupBy("data_type").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query(
@@ -245,7 +243,20 @@ def csv_round_trip(spark, d):
     path = scratch_path(spark, "csv")
     customer = table(spark, d, "customer")
     sinks.export_csv(customer, path, sep=";")
-    return read_csv(spark, path, customer.schema).withColumn("c_acctbal", F.round("c_acctbal", 6))
+    return read_exported_csv(spark, path, customer.schema, ";").withColumn("c_acctbal", F.round("c_acctbal", 6))
+
+
+@query(
+    "csv_round_trip_text",
+    """SELECT doc_id, text, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '' ELSE 'a "b" ' || chr(10) || lang END AS note FROM documents""",
+)
+def csv_round_trip_text(spark, d):
+    """Long texts with line breaks, and missing, empty and quoted ones."""
+    path = scratch_path(spark, "csv")
+    note = F.when(F.col("doc_id") % 3 == 1, "").when(F.col("doc_id") % 3 == 2, F.concat(F.lit('a "b" \n'), "lang"))
+    documents = table(spark, d, "documents").select("doc_id", "text", note.alias("note"))
+    sinks.export_csv(documents, path)
+    return read_exported_csv(spark, path, documents.schema)
 
 
 @query(

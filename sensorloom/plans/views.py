@@ -116,9 +116,11 @@ def logs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]:
-    """Embeddings with one double column per dimension."""
+    """Embeddings with one double column per dimension; vectors of several sizes are an error."""
     e = table(spark, folder, "embeddings")
-    size = e.select(F.size("embedding")).first()[0]
+    size, most = e.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if size != most:
+        raise ValueError(f"vectors have {size} to {most} dimensions")
     names = [f"x{i}" for i in range(size)]
     return e.select(
         "vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import with_rank
+from ..sources.tables import CSV_FORM, CSV_NULL
 
 CHUNK_ROWS = 10_000
 
@@ -71,27 +73,48 @@ def append_rows(df: DataFrame, path: str, rows_per_file: int | None = None) -> N
     writer.parquet(path)
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished folder ``new`` in the place of ``path``."""
-    jvm = spark.sparkContext._jvm
-    target, fresh, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, new, f"{new}.old"))
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _folders(spark: SparkSession, path: str):
+    """File system, path, its parent and name of a table's folder."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target, parent, name
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Put a table back that a broken-off :func:`replace_table` had moved aside; else do nothing."""
+    fs, target, parent, name = _folders(spark, path)
     if fs.exists(target):
-        if not fs.rename(target, old):
-            raise OSError(f"cannot move {path} aside")
-    if not fs.rename(fresh, target):
-        fs.rename(old, target)
+        return
+    aside = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{parent}/_{name}.old-*"))
+    if aside is not None and len(aside):
+        fs.rename(aside[0].getPath(), target)
+
+
+def _swap(spark: SparkSession, new: str, path: str, old: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``, by way of ``old``."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs, target, _, _ = _folders(spark, path)
+    if fs.exists(target) and not fs.rename(target, path_of(old)):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(path_of(new), target):
+        recover_table(spark, path)
         raise OSError(f"cannot put the new table at {path}")
-    fs.delete(old, True)
+    fs.delete(path_of(old), True)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Replace the whole table, which may also be the input of ``df``."""
+    """Replace the whole table, which may also be the input of ``df``.
+
+    The new rows are complete before the table moves. If the work breaks off between the two
+    renames, :func:`recover_table`, which ``read_table`` and ``delete_rows`` call, restores the
+    table as it was. Each call has folders of its own, so that two writers never share one.
+    """
     spark = df.sparkSession
-    parent, _, name = path.rstrip("/").rpartition("/")
-    fresh = f"{parent}/_{name}.new"
-    df.write.mode("overwrite").parquet(fresh)
-    _swap(spark, fresh, path.rstrip("/"))
+    _, _, parent, name = _folders(spark, path)
+    mark = uuid.uuid4().hex
+    fresh = f"{parent}/_{name}.new-{mark}"
+    df.write.parquet(fresh)
+    _swap(spark, fresh, path, f"{parent}/_{name}.old-{mark}")
 
 
 def keep_after_delete(df: DataFrame, condition: Column) -> DataFrame:
@@ -101,13 +124,22 @@ def keep_after_delete(df: DataFrame, condition: Column) -> DataFrame:
 
 def delete_rows(spark: SparkSession, path: str, condition: Column) -> None:
     """Remove matching rows by rewriting the table."""
+    recover_table(spark, path)
     replace_table(keep_after_delete(spark.read.parquet(path), condition), path)
 
 
-def export_csv(df: DataFrame, path: str, drop: Sequence[str] = ("id", "batch_id"), sep: str = ",") -> None:
-    """Table to CSV files with a header; internal columns are left out."""
+def export_csv(df: DataFrame, path: str, drop: Sequence[str] = (), sep: str = ",") -> None:
+    """Table to CSV files with a header; columns in ``drop`` are left out.
+
+    Every value is quoted and a missing one written as CSV_NULL, so that line breaks, quotes and
+    empty texts survive; ``read_exported_csv`` reads them back. A text equal to CSV_NULL is
+    refused, as it would come back missing.
+    """
     kept = [c for c in df.columns if c not in drop]
-    df.select(*kept).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    texts = {c for c, kind in df.dtypes if kind == "string"}
+    message = F.lit(f"a text equal to {CSV_NULL} cannot be exported")
+    safe = [F.when(F.col(c) == CSV_NULL, F.raise_error(message)).otherwise(F.col(c)).alias(c) if c in texts else F.col(c) for c in kept]
+    df.select(*safe).write.mode("overwrite").options(header=True, sep=sep, **CSV_FORM).csv(path)
 
 
 def assign_batches(

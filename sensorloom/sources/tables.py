@@ -18,6 +18,14 @@ STORED_TYPES = {
 }
 
 
+#: How a missing value is written, and the form of exported files.
+CSV_NULL = "\\N"
+CSV_FORM = {
+    "quoteAll": True, "quote": '"', "escape": '"', "nullValue": CSV_NULL, "emptyValue": "", "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";", header: bool = True
 ) -> DataFrame:
@@ -25,9 +33,19 @@ def read_csv(
     return spark.read.schema(schema).option("sep", sep).option("header", header).csv(path)
 
 
+def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",") -> DataFrame:
+    """What ``export_csv`` wrote, each text as it was. A file is read by one task, as its lines
+    may break inside a value; a row that does not fit the schema is an error."""
+    reader = spark.read.schema(schema).options(header=True, sep=sep, multiLine=True, mode="FAILFAST", **CSV_FORM)
+    return reader.csv(path)
+
+
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table, or the parquet files under a path."""
     if "/" in name_or_path:
+        from ..sinks.tables import recover_table
+
+        recover_table(spark, name_or_path)
         return spark.read.parquet(name_or_path)
     return spark.table(name_or_path)
 

@@ -158,11 +158,23 @@ def test_adwin_finds_the_shift_and_only_it(spark):
     assert drift.adwin(flat, [], O, "x").where("drift_detected = 1").count() == 0
 
 
-def test_adwin_refuses_unbounded_groups(skewed, monkeypatch):
-    monkeypatch.setattr(drift, "MAX_BLOCKS", 10)
-    with pytest.raises(ValueError):
-        drift.adwin(skewed, S, O, "x", block_rows=1)
-    assert drift.adwin(skewed, S, O, "x").count() == skewed.count()
+def test_adwin_does_not_depend_on_batches_or_chunks(skewed, spark):
+    """The walk carries its window from batch to batch; every series, missing ones too, has its own."""
+    mixed = skewed.withColumn("series", F.when(F.col("series") != "s1", F.col("series")))
+    flags = lambda **o: sorted(tuple(r) for r in drift.adwin(mixed, S, O, "x", **o).select("id", "drift_detected").collect())
+    for block in (1, 4, None):
+        whole = flags(block_rows=block)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+        try:
+            assert flags(block_rows=block, chunk_rows=50) == whole
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # Beside a plain walk of each series in order.
+    rows = {}
+    for r in mixed.where("x is not null and not isnan(x)").orderBy(*O).collect():
+        rows.setdefault(r["series"], []).append(r)
+    want = {r["id"] for part in rows.values() for r, hit in zip(part, map(drift.AdaptiveWindow().add, [1.0] * len(part), [r["x"] for r in part])) if hit}
+    assert {i for i, hit in flags(block_rows=1) if hit} == want
 
 
 def test_knn(skewed):

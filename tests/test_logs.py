@@ -120,7 +120,10 @@ def test_changepoints(spark):
 
 def test_thinning_bounds_a_series(spark):
     df = spark.range(1000).select(F.lit("a").alias("s"), F.col("id").alias("t"), F.col("id").alias("v"))
-    assert lg.thin_points(df, "s", "t", "v").count() == 200
+    got = [r["t"] for r in lg.thin_points(df, "s", "t", "v").collect()]
+    assert len(got) == 150 and 0 in got
+    # The first row of every bin of equal count.
+    assert sorted(got) == [min(t for t in range(1000) if t * 150 // 1000 == b) for b in range(150)]
     assert lg.thin_points(df.where("t < 50"), "s", "t", "v").count() == 50
 
 
@@ -139,3 +142,8 @@ def test_presence(spark):
     r = lg.field_presence(df, "a").first()
     assert (r["percent"], r["n_lines"]) == (50.0, 4)
     assert lg.field_presence(df, "a", sample_rows=2).first()["n_lines"] == 2
+
+
+def test_volume_by_keeps_every_label(spark):
+    df = spark.range(6000).select(F.col("id").cast("string").alias("label"), F.lit("x").alias("line"))
+    assert lg.volume_by(df, "label").count() == 6000 and lg.volume_by(df, "label", limit=5).count() == 5

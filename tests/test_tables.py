@@ -46,10 +46,41 @@ def test_delete_keeps_unknown(spark):
 
 def test_csv(spark):
     path = scratch_path(spark, "csv")
-    df = spark.createDataFrame([(1, "2022.08.04 18:00", -1.5), (2, None, None)], "id int, timestamp string, x double")
+    rows = [(1, "2022.08.04 18:00", -1.5), (2, None, None), (3, "", 0.0), (4, "a\nb", 1.0), (5, 'say "so";\r\n', 2.0), (6, " x ", 3.0), (7, "\\", 4.0)]
+    df = spark.createDataFrame(rows, "id int, timestamp string, x double")
     k.export_csv(df, path, sep=";")
-    back = src.read_csv(spark, path, "timestamp string, x double")
-    assert sorted(map(str, back.collect())) == sorted(map(str, df.drop("id").collect()))
+    assert sorted(map(tuple, src.read_exported_csv(spark, path, df.schema, ";").collect())) == rows
+    k.export_csv(df, path, drop=("id",))
+    assert src.read_exported_csv(spark, path, "timestamp string, x double").count() == 7
+    with pytest.raises(Exception, match="cannot be exported"):
+        k.export_csv(spark.createDataFrame([("\\N",)], "s string"), path)
+
+
+def test_a_broken_off_replace_leaves_the_table(spark, monkeypatch):
+    path = scratch_path(spark, "replaced")
+    k.append_rows(spark.range(3), path)
+    real = k._folders
+
+    class Broken:
+        def __init__(self, fs):
+            self.fs, self.renames = fs, 0
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            self.renames += 1
+            if self.renames == 2:
+                raise OSError("lost")
+            return self.fs.rename(a, b)
+
+    monkeypatch.setattr(k, "_folders", lambda s, p: (Broken(real(s, p)[0]), *real(s, p)[1:]))
+    with pytest.raises(OSError, match="lost"):
+        k.replace_table(spark.range(10, 12), path)
+    monkeypatch.undo()
+    assert ids(src.read_table(spark, path)) == [0, 1, 2]
+    k.replace_table(src.read_table(spark, path).where("id > 0"), path)
+    assert ids(src.read_table(spark, path)) == [1, 2]
 
 
 def test_catalog(spark):
