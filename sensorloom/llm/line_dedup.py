@@ -96,7 +96,8 @@ def without_spread_lines(docs: DataFrame, sites: int = 10, text: str = "text", s
     t, s, d = (f"k{names.index(x)}" for x in (text, site, doc_id))
     gone = removals(inner, sites, t, s, d).groupBy("doc").agg(F.collect_set("pos").alias("__gone"))
     gone = write_scratch(gone.select(F.col("doc").alias("__doc"), "__gone"), "gone_lines")
-    joined = inner.join(gone, F.col(d).eqNullSafe(F.col("__doc")), "left")
+    # Places grow with the documents: the same plan at every size.
+    joined = inner.join(gone.hint("merge"), F.col(d).eqNullSafe(F.col("__doc")), "left")
     lines = _lines(F.col(t))
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone")
     left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
