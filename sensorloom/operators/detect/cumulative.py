@@ -28,9 +28,13 @@ def cusum(
     k: float = 0.5,
     h: float = 5.0,
     chunk_rows: int | None = None,
+    start: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Two-sided CUSUM (Page 1954) as ``cusum_pos``, ``cusum_neg`` and ``alarm``.
 
+    ``start`` names two columns that are set on a row standing for the past of its series: its
+    sums so far.
+
     S(t) = max(0, S(t-1) + z(t) - k) equals P(t) + max(S_in, -min P) where P is the
     running sum of z - k since the chunk began and S_in the value carried into it.
     A missing reading leaves the state as it is and gets NULL scores, alarm 0.
@@ -38,10 +42,11 @@ def cusum(
     c = chunked(df, series, order, chunk_rows)
     z = (no_nan(column) - F.lit(mean)) / F.lit(sd)
     upto = c.window().rowsBetween(Window.unboundedPreceding, 0)
+    past = [F.col(x) for x in start] if start else [F.lit(None).cast("double")] * 2
     rows = c.df.select(
         "*",
-        F.coalesce(z - k, F.lit(0.0)).alias("__up"),
-        F.coalesce(-z - k, F.lit(0.0)).alias("__down"),
+        F.coalesce(past[0], z - k, F.lit(0.0)).alias("__up"),
+        F.coalesce(past[1], -z - k, F.lit(0.0)).alias("__down"),
     )
     sides = {"__up": "cusum_pos", "__down": "cusum_neg"}
     rows = rows.select("*", *[F.sum(s).over(upto).alias(f"{s}_p") for s in sides])
@@ -49,7 +54,7 @@ def cusum(
     if c.split:
         rows = _carry_cusum(c, rows, list(sides))
     carried = lambda s: F.coalesce(F.col(f"{s}_in"), F.lit(0.0)) if c.split else F.lit(0.0)
-    known = z.isNotNull()
+    known = z.isNotNull() | past[0].isNotNull()
     score = lambda s: F.when(
         known, F.col(f"{s}_p") + F.greatest(carried(s), -F.col(f"{s}_m"))
     )

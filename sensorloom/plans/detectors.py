@@ -231,14 +231,49 @@ def kmeans(spark, d):
     return clusters.kmeans_anomalies(test, model, small).select("event_id", "cluster", "prediction")
 
 
-@query("kmeans_saved_model")
+@query(
+    "kmeans_saved_model",
+    f"SELECT count(*) AS n_rows, 0 AS other_labels, 0 AS not_nearest FROM ({SQL_READINGS}) WHERE data_type = 'test'",
+)
 def kmeans_saved(spark, d):
-    """The same model after saving and loading; rows per cluster."""
+    """The same model after saving and loading: rows, rows labelled otherwise than by the unsaved
+    model, and rows whose label is not the nearest centre. That the centres are a good
+    clustering is not proved by it."""
     model, _, test = _fitted_kmeans(spark, d)
     path = scratch_path(spark, "kmeans")
     model.write().save(path)
-    out = clusters.kmeans_predict(test, PipelineModel.load(path))
-    return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_rows"))
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    columns = [f"{c}_scaled" for c in ("value", "user_id", "k")]
+    one = clusters.kmeans_predict(test, model).withColumnRenamed("cluster", "first")
+    two = clusters.kmeans_predict(one, PipelineModel.load(path)).withColumnRenamed("cluster", "second")
+    out = clusters.nearest_centroid(two, columns, centres)
+    return out.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("first") != F.col("second")).cast("int").alias("other_labels"),
+        F.count_if(F.col("first") != F.col("cluster")).cast("int").alias("not_nearest"),
+    )
+
+
+@query(
+    "isolation_forest_rules",
+    f"SELECT count(*) AS n_rows, 0 AS out_of_range, 0 AS flag_differs, 0 AS after_reload FROM ({SQL_READINGS}) WHERE data_type = 'test'",
+)
+def iforest_rules(spark, d):
+    """Rows, scores outside (0, 1], flags that are not those of the threshold, and scores that differ
+    after saving and loading. That high scores are anomalies is not proved by it."""
+    r = readings(spark, d)
+    train, test = (r.where(F.col("data_type") == t) for t in ("train", "test"))
+    model = forest.iforest_fit(train, "event_id", ["value", "user_id", "k"])
+    path = scratch_path(spark, "forest")
+    model.save(path)
+    loaded = forest.IsolationForest.load(spark, path)
+    one = forest.iforest_score(test, model).select("event_id", "anomaly_score", "anomaly")
+    two = forest.iforest_score(test, loaded).select("event_id", F.col("anomaly_score").alias("again"))
+    score = F.col("anomaly_score")
+    return one.join(two, "event_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if((score <= 0) | (score > 1)).cast("int").alias("out_of_range"),
+        F.count_if((score > loaded.threshold) != (F.col("anomaly") == 1)).cast("int").alias("flag_differs"),
+        F.count_if(score != F.col("again")).cast("int").alias("after_reload"),
+    )
 
 
 @query("isolation_forest")

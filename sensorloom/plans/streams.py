@@ -6,20 +6,23 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as a
 from ..operators import profile as p
-from ..operators.quality import split_by_type
+from ..operators.detect import bands
+from ..operators.quality import missing_counts, split_by_type
 from ..session import scratch_path
-from ..sinks.tables import append_rows, backfill_in_batches, read_batches, to_json_messages
-from ..sources.tables import stream_files
+from ..sinks.tables import (
+    append_batch_to_table, append_rows, assign_batches, backfill_in_batches, read_batches, stage_batches, to_json_messages,
+)
+from ..sources.tables import stream_batches, stream_files
 from ..functions.parsing import parse_message
 from ..functions.timefn import parse_ts, time_text
 from ..streaming import runtime as rt
 from ..streaming import stateful as st
 from ..streaming.clusters import StreamingKMeans
 from ..streaming.detect import knn_batches, ksigma_stream
-from .detectors import _CUSUM, _EWMA
+from .detectors import _CUSUM, _EWMA, _KNN, BASELINES
 from .ingest import MESSAGE, MICROS
 from .profiles import FOUR, _union
-from .registry import query, r4, r6, table
+from .registry import ORACLES, query, r4, r6, r8, table
 from .views import ORDER, SERIES, SPLIT_AT, SQL_READINGS, readings, with_gaps
 
 
@@ -146,36 +149,122 @@ def replay_in_batches(spark, d):
     return collected(a.row_count(replay, ["data_type"]), "complete")
 
 
-@query("stream_late_rows", "SELECT event_id, 'on_time' AS outcome FROM events")
+#: Events arrive in quarters of their order; one in ten comes a quarter late.
+_ARRIVALS = """SELECT *, least((row_number() OVER (ORDER BY ts, event_id) - 1) // (SELECT greatest(count(*) // 4, 1) FROM events), 3)
+    + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS batch_no FROM events"""
+
+
+def arriving(spark, d, late=False):
+    """Events staged as at least four ordered files, read as a stream of one file at a time."""
+    events = table(spark, d, "events")
+    size = max(events.count() // 4, 1)
+    rows = assign_batches(events, ORDER, size).withColumn("batch_no", F.least("batch_no", F.lit(3)))
+    if late:
+        rows = rows.withColumn("batch_no", F.col("batch_no") + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0))
+    folder = scratch_path(spark, "arriving")
+    stage_batches(rows, "batch_no", ORDER, folder)
+    return stream_batches(spark, folder, rows.schema)
+
+
+@query(
+    "replay_in_order",
+    f"""SELECT batch_no AS batch_id, count(*) AS n_rows, min(event_id) AS first_id, max(event_id) AS last_id
+    FROM ({_ARRIVALS}) GROUP BY batch_no""",
+)
+def replay_in_order(spark, d):
+    """What each micro-batch of an ordered replay held."""
+    out = scratch_path(spark, "replayed")
+    rt.drain(rt.start(arriving(spark, d, True), scratch_path(spark, "checkpoint"), append_batch_to_table(out)))
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*")
+    return rows.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
+    )
+
+
+@query(
+    "stream_late_rows",
+    f"""WITH r AS ({_ARRIVALS}), b AS (SELECT batch_no, max(ts) AS newest FROM r GROUP BY batch_no),
+    u AS (SELECT batch_no, max(newest) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b)
+    SELECT event_id, CASE WHEN ts < before - INTERVAL 1 HOUR THEN 'late' ELSE 'on_time' END AS outcome FROM r JOIN u USING (batch_no)""",
+)
 def stream_late(spark, d):
-    """Rows of the first batch are all on time: nothing was seen before them."""
+    """Rows that come after newer ones by more than an hour."""
     path, checkpoint = scratch_path(spark, "late"), scratch_path(spark, "checkpoint")
-    rows = event_stream(spark, d)
+    rows = arriving(spark, d, True)
     rt.drain(rt.split_late(rows, "ts", "1 hour", path, checkpoint))
     part = lambda n: read_batches(spark, f"{path}/{n}", rows.schema).select("event_id", F.lit(n).alias("outcome"))
     return part("on_time").unionByName(part("late"))
 
 
+def over_batches(spark, rows, make):
+    """Drain a stream through a function of :mod:`streaming.stateful` and read its rows."""
+    out = scratch_path(spark, "carried")
+    rt.drain(rt.start(rows, scratch_path(spark, "checkpoint"), make(out)))
+    return spark.read.parquet(f"{out}/rows/batch_id=*")
+
+
 @query("stream_ewma", _EWMA)
 def stream_ewma(spark, d):
-    out = collected(st.ewma_stream(event_stream(spark, d), SERIES, ORDER, "value"))
+    """Over four micro-batches, each series' average carried on."""
+    out = over_batches(spark, arriving(spark, d), lambda path: st.ewma_batches(path, SERIES, ORDER, "value"))
     return out.select("event_id", r6("ewma"))
 
 
 @query("stream_cusum", _CUSUM)
 def stream_cusum(spark, d):
-    rows = with_gaps(event_stream(spark, d))
-    out = collected(st.cusum_stream(rows, SERIES, ORDER, "value", 50, 49))
+    """Over four micro-batches, each series' two sums carried on."""
+    rows = with_gaps(arriving(spark, d))
+    out = over_batches(spark, rows, lambda path: st.cusum_batches(path, SERIES, ORDER, "value", 50, 49))
     return out.select("event_id", r6("cusum_pos"), r6("cusum_neg"), "alarm")
 
 
 @query("stream_adwin")
 def stream_adwin(spark, d):
-    """Row-by-row drift test with one state per series and split."""
-    out = collected(st.adwin_stream(reading_stream(spark, d), ["event_type", "data_type"], ORDER, "value"))
+    """Row-by-row drift test with one window per series and split, over four micro-batches."""
+    split = F.when(F.col("ts") < F.lit(SPLIT_AT).cast("timestamp"), "train").otherwise("test")
+    rows = arriving(spark, d).withColumn("data_type", split)
+    out = over_batches(spark, rows, lambda path: st.adwin_batches(path, ["event_type", "data_type"], ORDER, "value"))
     return out.select("event_id", "event_type", "data_type", "drift_detected")
 
 
+@query("stream_ewma_lag1", ORACLES["ewma_lag1"])
+def stream_ewma_lag1(spark, d):
+    """Over four micro-batches: the first reading of a batch is blended with the last of the one before."""
+    out = over_batches(spark, arriving(spark, d), lambda path: st.ewma_lag1_batches(path, SERIES, ORDER, "value"))
+    return out.select("event_id", r6("ewma"))
+
+
+@query("stream_zscore", ORACLES["zscore_flag"])
+def stream_zscore(spark, d):
+    """Fixed baselines: no state."""
+    rows = stream_files(spark, f"{d}/lineitem.parquet", table(spark, d, "lineitem").schema)
+    out = collected(bands.zscore_flag(rows, BASELINES, 1.5))
+    return out.select("l_orderkey", "l_linenumber", *[r8(f"z_{c}") for c in BASELINES], *[f"anomaly_{c}" for c in BASELINES])
+
+
+@query(
+    "stream_features",
+    ORACLES["tumbling_features"].replace("FROM events", "FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 1 HOUR"),
+)
+def stream_features(spark, d):
+    """Window features in append mode: the windows that the watermark has passed."""
+    features = a.window_features(reading_stream(spark, d).withWatermark("ts", "1 hour"), "ts", ["value"], "1 day", ["event_type"])
+    return a.window_as_text(collected(features)).select(
+        "event_type", "window_start", r6("mean_value"), r4("stddev_value"), r6("min_value"), r6("max_value"), "record_count"
+    )
+
+
+@query("stream_missing_counts", ORACLES["missing_counts"])
+def stream_missing(spark, d):
+    rows = with_gaps(event_stream(spark, d))
+    return collected(missing_counts(rows, ["event_id", "event_type", "value"]), "complete")
+
+
+@query("stream_mean_std", ORACLES["mean_std"])
+def stream_mean_std(spark, d):
+    return collected(a.mean_std(event_stream(spark, d), "value"), "complete").select(r6("mean"), r4("std"))
+
+
 @query("stream_kmeans")
 def stream_kmeans(spark, d):
     """Centres learnt from the train stream label the test stream."""
@@ -187,7 +276,12 @@ def stream_kmeans(spark, d):
     return spark.read.parquet(f"{out}/test/batch_id=*").select("event_id", "data_type", "cluster")
 
 
-@query("stream_knn")
+@query(
+    "stream_knn",
+    "SELECT event_id, knn_score FROM (" + _KNN.format(
+        id="event_id", order="ts, event_id", src="events", v="[value, CAST(user_id AS DOUBLE)]"
+    ) + ")",
+)
 def stream_knn(spark, d):
     """Neighbour scores of each micro-batch."""
     out = scratch_path(spark, "knn")

@@ -155,6 +155,23 @@ def assign_batches(
     return ranked.withColumn(name, F.floor((F.col("__rank") - 1) / batch_rows)).drop("__rank")
 
 
+def stage_batches(df: DataFrame, batch: str, order: Sequence[str], folder: str) -> None:
+    """Write one file per value of ``batch``, rows in order inside, for a stream to read in that order.
+
+    One job writes all files, each task a range of batches. A file stream takes files by their
+    time, so that each gets a time of its own, one second apart.
+    """
+    spark = df.sparkSession
+    dealt = df.repartitionByRange(batch).sortWithinPartitions(batch, *order)
+    dealt.write.partitionBy(batch).parquet(folder)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    begin = fs.getFileStatus(path_of(folder)).getModificationTime() - 86_400_000
+    for status in fs.globStatus(path_of(f"{folder}/{batch}=*/*.parquet")):
+        number = int(status.getPath().getParent().getName().removeprefix(f"{batch}="))
+        fs.setTimes(status.getPath(), begin + 1000 * number, -1)
+
+
 def backfill_in_batches(
     df: DataFrame,
     order: Sequence[str],
@@ -165,18 +182,24 @@ def backfill_in_batches(
 ) -> int:
     """Push a stored table through ``send`` in ordered batches of bounded size.
 
-    The table is staged once, partitioned by batch number; each batch then reads its own
-    folder. Returns the number of batches. ``progress`` gets batch, rows and totals.
+    The table is staged once, a file per batch, and one streaming query reads a file at a time, so
+    that a broken-off run goes on at the batch it had reached. Returns the number of batches.
+    ``progress`` gets batch, rows and totals.
     """
+    from ..sources.tables import stream_batches
+    from ..streaming.runtime import drain, start
+
     spark = df.sparkSession
     numbered = assign_batches(df, order, batch_rows)
-    numbered.repartition("batch_no").write.mode("overwrite").partitionBy("batch_no").parquet(staging)
-    staged = spark.read.parquet(staging)
-    total = staged.count()
-    batches = -(-total // batch_rows)
-    for number in range(batches):
-        send(staged.where(F.col("batch_no") == number).drop("batch_no"), number)
+    stage_batches(numbered, "batch_no", order, staging)
+    total = spark.read.parquet(staging).count()
+
+    def push(batch: DataFrame, number: int) -> None:
+        send(batch.drop("batch_no"), number)
         if progress:
             sent = min((number + 1) * batch_rows, total)
             progress({"batch": number, "rows": sent - number * batch_rows, "sent": sent, "total": total})
-    return batches
+
+    if total:
+        drain(start(stream_batches(spark, staging, numbered.schema), f"{staging}.checkpoint", push))
+    return -(-total // batch_rows)

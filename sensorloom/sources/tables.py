@@ -102,3 +102,8 @@ def stream_files(
         reader = reader.option("maxFilesPerTrigger", max_files)
     # A pattern that names just this path: the file source takes a single file only so.
     return reader.load(f"{path[:-1]}[{path[-1]}]")
+
+
+def stream_batches(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What ``stage_batches`` wrote, as a stream of one file after the other."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
