@@ -27,7 +27,7 @@ MU = 300.0
 #: Hashes of the end and of the place before the first word.
 END, START = np.uint64(0x0E1D0E1D0E1D0E1D), np.uint64(0x57A2757A2757A275)
 #: Tokens of a task that are counted together.
-CHUNK = 4_000_000
+CHUNK = 3_000_000
 
 _WORD, _PAIR = 1, 2
 
@@ -194,7 +194,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_n, grams = starts.value
         row = TaskContext.get().partitionId() << 33
-        for batch in by_size(batches):
+        for batch in by_size(batches, limit=2 << 20):
             tokens, first = _tokens(batch.column("text"))
             n, begins = np.diff(first), first[:-1]
             distinct_, inverse = np.unique(tokens, return_inverse=True)
