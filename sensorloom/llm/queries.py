@@ -124,7 +124,27 @@ def line_spread(spark: SparkSession, folder: str) -> DataFrame:
     return line_report(table(spark, folder, "documents"))
 
 
-@query("op1_near_dedup")
+#: The words of a text, with A-Z in lower case.
+_WORDS = r"""list_filter(regexp_split_to_array(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+#: All pairs that share a shingle: for small tables.
+NEAR_DEDUP_SQL = f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(t="coalesce(text, '')")} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS top FROM sets UNION SELECT y, top FROM reach JOIN links ON reach.doc_id = x),
+tops AS (SELECT doc_id, min(top) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN tops USING (doc_id)
+"""
+
+
+@query("op1_near_dedup", NEAR_DEDUP_SQL)
 def near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's component of near copies: sets of two-word shingles, similarity 0.8."""
     from sensorloom.llm.near_dedup import near_classes
@@ -140,7 +160,23 @@ def bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
     return score(table(spark, folder, "documents"))
 
 
-@query("op7_cross_polytope")
+VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS top FROM embeddings UNION SELECT y, top FROM reach JOIN links ON reach.vec_id = x),
+tops AS (SELECT vec_id, min(top) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN tops USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+@query("op7_cross_polytope", VECTORS_SQL)
 def cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     """Every vector's links at cosine 0.95 and its component."""
     from sensorloom.llm.cross_polytope import near_vectors
@@ -148,7 +184,27 @@ def cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(table(spark, folder, "embeddings"))
 
 
-@query("op2_paragraph_dedup")
+PARAGRAPHS_SQL = f"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS t, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line
+  FROM documents),
+words AS (SELECT doc_id, line, {_WORDS.format(t="t")} AS w FROM cut),
+sets AS (
+  SELECT row_number() OVER (ORDER BY doc_id, line) AS k, doc_id, line, len(w) AS n_words,
+         list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s
+  FROM words WHERE len(w) >= 16),
+items AS (SELECT k, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.k AS x, b.k AS y FROM items a JOIN items b ON a.g = b.g AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT k, k AS top FROM sets UNION SELECT y, top FROM reach JOIN links ON reach.k = x),
+tops AS (SELECT k, min(top) AS top FROM reach GROUP BY k HAVING min(top) < k)
+SELECT a.doc_id, a.line, a.n_words, b.doc_id AS kept_doc_id, b.line AS kept_line, a.s = b.s AS exact
+FROM tops JOIN sets a ON tops.k = a.k JOIN sets b ON tops.top = b.k
+"""
+
+
+@query("op2_paragraph_dedup", PARAGRAPHS_SQL)
 def paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every repeated paragraph but the first of its group, and where that is."""
     from sensorloom.llm.paragraph_dedup import repeated_paragraphs
