@@ -12,7 +12,7 @@ import sys
 import time
 
 from sensorloom.plans.catalog import QUERIES
-from sensorloom.session import build_session
+from sensorloom.session import build_session, clear_scratch
 
 HEADLINE = [
     "tumbling_mean_by_split", "tumbling_features", "describe_numeric", "pairwise_corr", "histogram",
@@ -42,6 +42,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        clear_scratch(spark)
         print(name, seconds[name], file=sys.stderr, flush=True)
     spark.stop()
     print(

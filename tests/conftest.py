@@ -7,7 +7,7 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
 
-from sensorloom.session import build_session  # noqa: E402
+from sensorloom.session import build_session, clear_scratch  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 
@@ -20,6 +20,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
