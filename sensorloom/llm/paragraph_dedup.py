@@ -1,4 +1,9 @@
-"""Repeated paragraphs: MinHash bands, exact Jaccard, and components of what is to be removed."""
+"""Repeated paragraphs: MinHash bands, exact Jaccard, and components of what is to be removed.
+
+Lines are the paragraphs that a text shows. A passage may also lie inside other lines, where it is
+no paragraph of its own; :func:`repeated_passages` finds those by pieces that the words themselves
+cut, so that a passage is cut alike wherever it stands.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sensorloom.llm.common import by_size, components, side
 from sensorloom.llm.near_dedup import SMALL, confirmed, nearest_pairs, open_pairs
@@ -19,6 +25,11 @@ BANDS, ROWS = 16, 3
 #: Words of a shingle, and of the shortest paragraph that is looked at.
 SHINGLE, LEAST_WORDS = 5, 16
 
+#: A text is cut before a word whose hash is the least of so many words to either side; a run of
+#: repeated pieces is a passage from so many words on. A passage of 50 words has its ends, about
+#: eight words each, in pieces that differ from place to place.
+REACH, LEAST_RUN = 4, 20
+
 _STEPS = mix(np.arange(BANDS * ROWS, dtype=np.uint64), 101) | np.uint64(1)
 
 
@@ -130,6 +141,72 @@ def repeated_paragraphs(
     )
 
 
+def _pieces(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first word (from 0 in its row), words and hash of each piece of each text."""
+    words, before = word_hashes(*utf8(column))
+    n = len(words)
+    if not n:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+    row = np.repeat(np.arange(len(before) - 1), np.diff(before))
+    # Rows lie apart by more words than a comparison reaches, all larger than any hash.
+    chance = mix(words, 55)
+    apart = np.full(n + REACH * (len(before) + 1), np.uint64(2**64 - 1))
+    at = np.arange(n) + REACH * (row + 1)
+    apart[at] = chance
+    cut = np.ones(n, bool)
+    for k in range(1, REACH + 1):
+        cut &= (chance < apart[at - k]) & (chance <= apart[at + k])
+    cut[before[:-1][np.diff(before) > 0]] = True  # the first word of a text
+    begins = np.flatnonzero(cut)
+    sizes = np.diff(np.append(begins, n))
+    place = np.arange(n) - np.repeat(begins, sizes)
+    powers = np.full(int(sizes.max()) + 1, 0x9E3779B97F4A7C15, np.uint64).cumprod()
+    h = mix(np.add.reduceat(words * powers[place], begins) + sizes.astype(np.uint64), 56)
+    return row[begins], begins - before[row[begins]], sizes, h
+
+
+def repeated_passages(docs: DataFrame, least: int = LEAST_RUN, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per passage of at least ``least`` words that an earlier document (by doc_id) has too:
+    doc_id, first_word, n_words, kept_doc_id (the first document with its longest piece).
+
+    Pieces are equal if their words are; neighbouring pieces that earlier documents have make a
+    passage. Only the least and greatest doc_id of a piece are kept for it, before and after the
+    shuffle. Repeats inside one document, and rows of one doc_id, are not repeats across documents.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_size(batches):
+            row, first, sizes, h = _pieces(batch.column(1))
+            # The number of a piece in its text.
+            nth = np.arange(len(row)) - np.searchsorted(row, row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), pa.array(nth.astype(np.int32)), pa.array(first.astype(np.int32)), pa.array(sizes.astype(np.int32)), pa.array(h.view(np.int64))],
+                names=["doc", "nth", "first", "words", "h"],
+            )
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
+    pieces = write_scratch(rows.mapInArrow(cut, "doc long, nth int, first int, words int, h long"), "pieces")
+    # Cuts lie more than REACH words apart; a shorter piece is the begin or end of a text.
+    pieces = pieces.where(F.col("words") > REACH)
+    shared = pieces.groupBy("h").agg(F.min("doc").alias("kept"), F.max("doc").alias("last")).where("kept <> last").select("h", "kept")
+    hit = pieces.join(shared, "h").where("doc <> kept").select("doc", "nth", "first", "words", "kept")
+    # Neighbours have the same difference of their number and their rank.
+    run = F.col("nth") - F.row_number().over(Window.partitionBy("doc").orderBy("nth"))
+    runs = hit.withColumn("run", run).groupBy("doc", "run").agg(
+        F.min("first").alias("first_word"), F.sum("words").alias("n_words"), F.max_by("kept", F.struct("words", -F.col("nth"))).alias("kept_doc_id")
+    )
+    found = runs.where(F.col("n_words") >= least)
+    return found.select(F.col("doc").alias("doc_id"), F.col("first_word").cast("long").alias("first_word"), "n_words", "kept_doc_id")
+
+
+def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """:func:`repeated_paragraphs` and :func:`repeated_passages` in one table; ``kind`` tells them
+    apart, and columns that one of them lacks are null."""
+    lines = repeated_paragraphs(docs, text=text, doc_id=doc_id).withColumn("kind", F.lit("line"))
+    passages = repeated_passages(docs, text=text, doc_id=doc_id).withColumn("kind", F.lit("passage"))
+    return lines.unionByName(passages, allowMissingColumns=True)
+
+
 def without_repeats(docs: DataFrame, percent: int = 80, least: int = LEAST_WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the lines that :func:`repeated_paragraphs` names, with the same columns; other lines stay as they are."""
     names = docs.columns

@@ -204,9 +204,17 @@ FROM tops JOIN sets a ON tops.k = a.k JOIN sets b ON tops.top = b.k
 """
 
 
-@query("op2_paragraph_dedup", PARAGRAPHS_SQL)
+@query("op2_paragraph_dedup")
 def paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every repeated paragraph but the first of its group, and where that is."""
+    """Every repeated paragraph but the first of its group, and every passage that an earlier document has."""
+    from sensorloom.llm.paragraph_dedup import repeats
+
+    return repeats(table(spark, folder, "documents"))
+
+
+@query("repeated_lines", PARAGRAPHS_SQL)
+def repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The paragraphs of ``op2_paragraph_dedup`` that are lines: the part that SQL can express."""
     from sensorloom.llm.paragraph_dedup import repeated_paragraphs
 
     return repeated_paragraphs(table(spark, folder, "documents"))

@@ -11,7 +11,7 @@ from sensorloom.llm.bloom_lm import Filter, score
 from sensorloom.llm.common import components
 from sensorloom.llm.cross_polytope import codes, hadamard, near_vectors
 from sensorloom.llm.near_dedup import near_classes, one_of_each
-from sensorloom.llm.paragraph_dedup import repeated_paragraphs, without_repeats
+from sensorloom.llm.paragraph_dedup import repeated_paragraphs, repeated_passages, repeats, without_repeats
 from sensorloom.llm.words import hash_spans, word_spans
 
 
@@ -95,6 +95,33 @@ def test_paragraphs(spark, docs, rows, empty):
     assert got[0] == inside[0][1] and got[1] == "own 1 start\nown 1 end" and got[100] == "" and got[101] is None and got[102] == "only own words here"
 
 
+def test_passages_inside_lines(spark, empty):
+    """A passage of 51 words in the middle of other text, in many documents, with and without line breaks."""
+    rnd = np.random.RandomState(11)
+    some = lambda n: [f"v{k}" for k in rnd.randint(0, 50_000, n)]
+    passages = [some(51) for _ in range(20)]
+    rows, first = [], {}
+    for d in range(300):
+        w = some(rnd.randint(30, 120))
+        if d % 3 == 0:
+            p = d // 3 % 20
+            at = rnd.randint(0, len(w) + 1)
+            w[at:at] = passages[p]
+            first.setdefault(p, d)
+        rows.append((d, "".join(x + ("\n" if rnd.rand() < 0.03 else " ") for x in w), "", "", 0))
+    rows += [(900, None, "", "", 0), (901, "", "", "", 0), (902, " ".join(passages[0] * 2), "", "", 0), (903, "short text", "", "", 0), (904, "short text", "", "", 0)]
+    got = {}
+    for r in repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect():
+        w = words_of(dict((x[0], x[1]) for x in rows)[r.doc_id])[r.first_word : r.first_word + r.n_words]
+        kept = set(words_of(dict((x[0], x[1]) for x in rows)[r.kept_doc_id]))
+        assert r.n_words >= 20 and len(kept & set(w)) >= 20
+        got[r.doc_id] = r.kept_doc_id
+    want = {d: first[d // 3 % 20] for d in range(300) if d % 3 == 0 and d not in first.values()} | {902: 0}
+    assert set(got) <= set(want) and len(got) >= 0.97 * len(want)
+    assert all(got[d] < d and got[d] % 3 == 0 and first[got[d] // 3 % 20] == want[d] for d in got)
+    assert repeated_passages(empty).count() == 0 and repeats(empty).count() == 0
+
+
 def plain_scores(rows):
     tokens = {r[0]: [*words_of(r[1]), None] for r in rows}
     out_ = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in tokens}
