@@ -11,7 +11,7 @@ from ..functions.timefn import parse_ts, time_range, time_text
 from ..operators import quality as q
 from ..session import scratch_path
 from ..sinks import tables as sinks
-from ..sources.tables import infer_table_schema, read_exported_csv
+from ..sources.tables import infer_table_schema, read_exported_csv, read_table
 from .registry import query, r4, r6, table
 from .views import SQL_GAPPY, SQL_READINGS, SQL_SENSORS, gappy, readings, sensors
 
@@ -214,6 +214,14 @@ def append_batches(spark, d):
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"), r4(F.sum("value"), "total"))
 
 
+@query("stored_table", "SELECT event_type, count(*) AS n_rows FROM events GROUP BY event_type")
+def stored_table(spark, d):
+    """A table read back by its path."""
+    path = scratch_path(spark, "stored")
+    sinks.append_rows(table(spark, d, "events").select("event_id", "event_type"), path, rows_per_file=5000)
+    return read_table(spark, path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("replace_table", "SELECT event_id, round(value * 2, 6) AS value FROM events")
 def replace(spark, d):
     """A table rewritten from itself."""

@@ -181,6 +181,18 @@ def replay_in_order(spark, d):
     )
 
 
+@query(
+    "stream_progress",
+    f"""SELECT batch_no AS batch, count(*) AS n_rows, CAST(sum(count(*)) OVER (ORDER BY batch_no) AS BIGINT) AS sent
+    FROM ({_ARRIVALS}) GROUP BY batch_no""",
+)
+def stream_progress(spark, d):
+    """Rows of each micro-batch and so far, as the query itself reports them."""
+    out = scratch_path(spark, "progress")
+    run = rt.drain(rt.start(arriving(spark, d, True), scratch_path(spark, "checkpoint"), append_batch_to_table(out)))
+    return rt.progress_table(spark, run).where("n_rows > 0")
+
+
 @query(
     "stream_late_rows",
     f"""WITH r AS ({_ARRIVALS}), b AS (SELECT batch_no, max(ts) AS newest FROM r GROUP BY batch_no),

@@ -101,3 +101,24 @@ def test_series_may_have_any_name(skewed, name):
     df = skewed.withColumnRenamed("series", name)
     assert o.with_rank(df, [name], O, chunk_rows=40).count() == 900
     assert o.previous_value(df, [name], O, "x", chunk_rows=40).count() == 900
+
+
+def test_chunks_follow_from_the_place(skewed):
+    """Tagging reads a written table: no join, no list of cuts, whatever the number of chunks."""
+    for rows in (3, 100):
+        c = o.chunked(skewed, ["series"], ["ts", "id"], rows)
+        assert c.split
+        added = [f for f in c.df.schema if f.name not in skewed.columns]
+        assert {f.dataType.simpleString() for f in added} == {"bigint"}
+        plan = c.df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and "aggregate(" not in plan
+        sizes = c.df.groupBy(*c.keys).count().collect()
+        assert max(r["count"] for r in sizes) <= rows and sum(r["count"] for r in sizes) == skewed.count()
+
+
+def test_one_layout_serves_several_steps(skewed):
+    c = o.chunked(skewed, ["series"], ["ts", "id"], 50)
+    one = o.with_rank(c, ["series"], ["ts", "id"])
+    two = o.with_rank(skewed, ["series"], ["ts", "id"], chunk_rows=10**6)
+    key = lambda df: sorted((r["id"], r["rank"]) for r in df.collect())
+    assert key(one) == key(two)
