@@ -125,7 +125,7 @@ def _signatures(vectors: DataFrame) -> DataFrame:
 
 
 def _coded(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
-    """``rep``, ``copies``, the vector as doubles, and the bucket keys of all tables."""
+    """``rep``, ``copies``, the vector, and the bucket keys of all tables."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,14 +133,16 @@ def _coded(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
                 part = batch.slice(a, 2000)
                 for rows, x in _valid(part.column("vector"))[1]:
                     kept = part.take(pa.array(rows))
-                    keys = codes(x, tables, hashes).reshape(-1).view(np.int64)
-                    lists = pa.FixedSizeListArray.from_arrays(pa.array(keys), tables * (1 + PROBES)).cast(pa.list_(pa.int64()))
+                    # Half of a key will do: buckets that fall together are only compared more.
+                    keys = (codes(x, tables, hashes).reshape(-1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    lists = pa.FixedSizeListArray.from_arrays(pa.array(keys), tables * (1 + PROBES)).cast(pa.list_(pa.int32()))
                     yield pa.RecordBatch.from_arrays([kept.column("rep"), kept.column("copies"), kept.column("vector"), lists], names=["rep", "copies", "vector", "keys"])
 
-    return classes.mapInArrow(code, "rep long, copies long, vector array<double>, keys array<long>")
+    kind = dict(classes.dtypes)["vector"]
+    return classes.mapInArrow(code, f"rep long, copies long, vector {kind}, keys array<int>")
 
 
-def _first_meeting(keys_a: np.ndarray, keys_b: np.ndarray, table: int, bucket: np.int64) -> np.ndarray:
+def _first_meeting(keys_a: np.ndarray, keys_b: np.ndarray, table: int, bucket: np.int32) -> np.ndarray:
     """Whether this bucket of this table is the first in which rows and columns meet, one of them in its own."""
     met = np.zeros((len(keys_a), len(keys_b)), bool)
     for t in range(table + 1):
@@ -200,7 +202,7 @@ def bucket_links(coded: DataFrame, least: float) -> DataFrame:
                 rep, copies, second = (m.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "copies", "second"))
                 order = np.argsort(rep, kind="stable")
                 rep, copies, second = rep[order], copies[order], second[order]
-                x = m.field("vector").flatten().to_numpy().reshape(len(m), -1)[order]
+                x = m.field("vector").flatten().to_numpy().astype(np.float64).reshape(len(m), -1)[order]
                 keys = m.field("keys").flatten().to_numpy().reshape(len(m), -1, 1 + PROBES)[order]
                 norm = np.sqrt((x * x).sum(axis=1))
                 linked = (x @ x.T) / (norm[:, None] * norm[None]) >= least
@@ -231,7 +233,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, vector: str = "embeddi
     empty, zero, or hold nulls or non-finite numbers link with nothing; those of different
     dimensions do not meet. Rows of one vec_id count as vectors of that name.
     """
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec"), F.col(vector).cast("array<double>").alias("vector"))
+    # Single precision travels as it is; all numbers are made doubles where they are used.
+    kind = dict(vectors.dtypes)[vector]
+    whole = F.col(vector) if kind == "array<float>" else F.col(vector).cast("array<double>")
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec"), whole.alias("vector"))
     signed = write_scratch(_signatures(rows), "signatures")
     groups = signed.where("s1 IS NOT NULL").groupBy("s1", "s2").agg(F.min("vec").alias("rep"), F.count("*").alias("copies"))
     groups = write_scratch(groups, "vector_classes")
