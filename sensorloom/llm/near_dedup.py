@@ -101,24 +101,24 @@ def tree_nodes(classes: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, found)
 
 
-def _alike(sizes: np.ndarray, marks: np.ndarray, other_sizes: np.ndarray, other_marks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _alike(sizes: np.ndarray, marks: np.ndarray, other_sizes: np.ndarray, other_marks: np.ndarray, percent: int, slack: float = SLACK) -> tuple[np.ndarray, np.ndarray]:
     """Agreement of sketches, row against row, and whether sizes and agreement allow a link."""
     agree = (marks == other_marks).mean(axis=-1)
     low, high = np.minimum(sizes, other_sizes), np.maximum(sizes, other_sizes)
-    return agree, (100 * low >= percent * high) & (agree >= percent / 100 - SLACK)
+    return agree, (100 * low >= percent * high) & (agree >= percent / 100 - slack)
 
 
 def _marks(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def nearest_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+def nearest_pairs(nodes: DataFrame, percent: int, slack: float = SLACK) -> DataFrame:
     """Pairs ``a < b`` of classes to try first: in each leaf, every class with the one most like it;
     in each large node, every class with the node's pivots."""
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for reps, sizes, marks, _ in _leaves(batches):
-            agree, can = _alike(sizes[:, None], marks[:, None], sizes[None], marks[None], percent)
+            agree, can = _alike(sizes[:, None], marks[:, None], sizes[None], marks[None], percent, slack)
             agree = np.where(can & ~np.eye(len(reps), dtype=bool), agree, -1)
             best = agree.argmax(axis=1)
             yield _pairs(reps, reps[best], agree[np.arange(len(reps)), best] >= 0)
@@ -127,7 +127,7 @@ def nearest_pairs(nodes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 a, n, mine, b, m, other = (batch.column(k) for k in ("rep", "n", "sketch", "pivot", "pivot_n", "pivot_sketch"))
-                can = _alike(n.to_numpy(), _marks(mine), m.to_numpy(), _marks(other), percent)[1]
+                can = _alike(n.to_numpy(), _marks(mine), m.to_numpy(), _marks(other), percent, slack)[1]
                 yield _pairs(a.to_numpy(), b.to_numpy(), can)
 
     leaves = gathered(nodes).mapInArrow(nearest, "a long, b long")
@@ -176,7 +176,7 @@ def _pairs(a: np.ndarray, b: np.ndarray, keep: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep])], names=["a", "b"])
 
 
-def open_pairs(nodes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def open_pairs(nodes: DataFrame, known: DataFrame, percent: int, slack: float = SLACK) -> DataFrame:
     """All other pairs of a leaf whose sketches allow a link and that are not yet in one component."""
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +186,7 @@ def open_pairs(nodes: DataFrame, known: DataFrame, percent: int) -> DataFrame:
             apart = group[a] != group[b]
             a, b = a[apart], b[apart]
             if len(a):
-                yield _pairs(reps[a], reps[b], _alike(sizes[a], marks[a], sizes[b], marks[b], percent)[1])
+                yield _pairs(reps[a], reps[b], _alike(sizes[a], marks[a], sizes[b], marks[b], percent, slack)[1])
 
     named = nodes.join(known.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.withColumn("component", F.coalesce("component", "rep"))

@@ -20,8 +20,9 @@ from sensorloom.llm.near_dedup import SMALL, confirmed, nearest_pairs, open_pair
 from sensorloom.llm.words import mix, shingle_hashes, utf8, word_hashes
 from sensorloom.session import write_scratch
 
-#: Bands and rows of each: at similarity 0.8 a pair shares none once in 90 000.
-BANDS, ROWS = 16, 3
+#: Bands and rows of each: at similarity 0.8 a pair shares none once in 5 000. Sketches of so few
+#: bytes may agree this much less than asked for: four standard deviations.
+BANDS, ROWS, SLACK = 12, 3, 0.27
 #: Words of a shingle, and of the shortest paragraph that is looked at.
 SHINGLE, LEAST_WORDS = 5, 16
 
@@ -109,24 +110,28 @@ def repeated_paragraphs(
     compared as in :mod:`sensorloom.llm.near_dedup`: never all pairs of a large one, and never
     twice what is already connected. Documents without repeats, null and empty texts give no row.
     """
-    all_ = write_scratch(paragraphs(docs, least, text, doc_id), "paragraphs")
-    classes = all_.groupBy("s1", "s2").agg(
+    # Bands are wide and wanted once for each class only: they are made again rather than stored.
+    whole = paragraphs(docs, least, text, doc_id)
+    all_ = write_scratch(whole.drop("bands", "sketch"), "paragraphs")
+    classes = whole.groupBy("s1", "s2").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc", "line")).alias("first"), F.min_by(F.struct("n", "bands", "sketch"), F.struct("doc", "line")).alias("x")
     )
     # The number is fixed by being written.
     classes = classes.select(F.monotonically_increasing_id().alias("cls"), "s1", "s2", "copies", "first", "x.*")
     classes = write_scratch(classes, "paragraph_classes")
-    rows = classes.select(F.explode("bands").alias("node"), F.col("cls").alias("rep"), "n", "sketch")
+    # Buckets are found on keys alone; sketches join what has company in one.
+    rows = classes.select(F.explode("bands").alias("node"), F.col("cls").alias("rep"))
     sizes = rows.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-    nodes = rows.join(sizes, "node").select("node", "rep", "n", "sketch", (F.col("members") <= SMALL).alias("small"), "members")
+    nodes = rows.join(sizes, "node").join(classes.select(F.col("cls").alias("rep"), "n", "sketch"), "rep")
+    nodes = nodes.select("node", "rep", "n", "sketch", (F.col("members") <= SMALL).alias("small"), "members")
     nodes = write_scratch(nodes, "band_nodes")
-    tried = write_scratch(nearest_pairs(nodes, percent), "first_pairs")
+    tried = write_scratch(nearest_pairs(nodes, percent, SLACK), "first_pairs")
     active = tried.select(F.col("a").alias("cls")).union(tried.select(F.col("b").alias("cls"))).distinct()
     wanted = active.join(classes, "cls").select("cls", "first.doc", "first.line")
     sets = write_scratch(_class_sets(docs, wanted, least, text, doc_id), "paragraph_sets")
     links = write_scratch(confirmed(tried, sets, percent), "links")
     known = write_scratch(components(links), "components")
-    more = write_scratch(open_pairs(nodes, known, percent).join(tried, ["a", "b"], "left_anti"), "open_pairs")
+    more = write_scratch(open_pairs(nodes, known, percent, SLACK).join(tried, ["a", "b"], "left_anti"), "open_pairs")
     more = write_scratch(confirmed(more, sets, percent), "links")
     found = write_scratch(components(links.union(more)), "components") if more.limit(1).count() else known
     named = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left")
