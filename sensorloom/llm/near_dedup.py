@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm.common import by_size, components, side
+from sensorloom.llm.cross_polytope import _roots
 from sensorloom.llm.words import mix, shingle_hashes, utf8, word_hashes
 from sensorloom.session import write_scratch
 
@@ -18,9 +19,13 @@ from sensorloom.session import write_scratch
 #: Two sets of similarity s meet at a level with probability s: at 0.8, sixteen trees miss a pair
 #: in nodes of the second level once in 10**7, of the third in 100 000, of the fifth in 600.
 TREES, DEPTH, SMALL = 16, 5, 24
-#: Documents of a node that stayed large to the last level with which all its others are compared:
-#: of about so many drawn by hash, those most like the rest, which a group's common origin is.
-PIVOTS, PIVOTS_OF = 4, 64
+#: Members of a large node, drawn by hash, that vote on its usual sketch, byte by byte; the member
+#: nearest to it, which a group's common origin is, is sought among all and compared with all.
+VOTERS = 64
+#: Sets, and hashes in them, of a block of a node that is large at the last level (4 MB).
+BLOCK, BLOCK_TOKENS = 256, 1 << 19
+#: Columns of the tables of ones by which two blocks are intersected.
+COLUMNS = 4096
 #: A pair is confirmed on its full sets if its sketches, one byte for each of the TREES * DEPTH
 #: minwise tokens, agree this much less than asked for: four standard deviations at 0.8.
 SLACK = 0.18
@@ -76,12 +81,13 @@ def sketches(docs: DataFrame, size: int, text: str = "text", doc_id: str = "doc_
 
 
 def tree_nodes(classes: DataFrame) -> DataFrame:
-    """``node``, ``rep``, ``n``, ``sketch``, ``small``: where each class ends up in each tree.
+    """``node``, ``rep``, ``n``, ``sketch``, ``small``, ``last``, ``members``: where each class ends up in each tree.
 
     At each level a class goes to the node of its least token under that tree's and level's hash.
     A node of one class is dropped, one of up to SMALL is a leaf, a larger one goes a level down.
     Only counts meet by node; the join that brings them back is split where a node is large.
-    Nodes that are large at the last level come out with ``small`` false.
+    Large nodes come out with ``small`` false from the second level on, those of the last with
+    ``last`` true.
     """
     paths = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.slice("keys", t * DEPTH + 1, DEPTH))
     rows = classes.select("rep", "n", "sketch", F.explode(paths).alias("path"))
@@ -93,11 +99,12 @@ def tree_nodes(classes: DataFrame) -> DataFrame:
         last = level == DEPTH - 1
         met = met.select("node", "rep", "n", "sketch", "members", *[] if last else ["path"])
         met = write_scratch(met, "tree_level")
-        found.append(met.where(F.col("members") <= SMALL).select("node", "rep", "n", "sketch", F.lit(True).alias("small"), "members"))
+        found.append(met.where(F.col("members") <= SMALL).select("node", "rep", "n", "sketch", F.lit(True).alias("small"), F.lit(False).alias("last"), "members"))
         rows = met.where(F.col("members") > SMALL)
+        if level:
+            found.append(rows.select("node", "rep", "n", "sketch", F.lit(False).alias("small"), F.lit(last).alias("last"), "members"))
         if not last:
             rows = rows.drop("members")
-    found.append(rows.select("node", "rep", "n", "sketch", F.lit(False).alias("small"), "members"))
     return reduce(DataFrame.union, found)
 
 
@@ -114,7 +121,7 @@ def _marks(column: pa.Array) -> np.ndarray:
 
 def nearest_pairs(nodes: DataFrame, percent: int, slack: float = SLACK) -> DataFrame:
     """Pairs ``a < b`` of classes to try first: in each leaf, every class with the one most like it;
-    in each large node, every class with the node's pivots."""
+    in each large node, every class with the one nearest to the node's usual sketch."""
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for reps, sizes, marks, _ in _leaves(batches):
@@ -130,31 +137,36 @@ def nearest_pairs(nodes: DataFrame, percent: int, slack: float = SLACK) -> DataF
                 can = _alike(n.to_numpy(), _marks(mine), m.to_numpy(), _marks(other), percent, slack)[1]
                 yield _pairs(a.to_numpy(), b.to_numpy(), can)
 
-    leaves = gathered(nodes).mapInArrow(nearest, "a long, b long")
-    def medoids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def usual(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, members in zip(batch.column("node").to_pylist(), batch.column("members"), strict=True):
-                inner = members.values
-                marks = _marks(inner.field("sketch"))
-                typical = sum((marks[:, k][:, None] == marks[:, k][None]).sum(axis=1) for k in range(marks.shape[1]))
-                best = inner.take(pa.array(np.lexsort((inner.field("rep").to_numpy(), -typical))[:PIVOTS]))
-                columns = [pa.array([node] * len(best), pa.int64()), *[best.field(k) for k in ("rep", "n", "sketch")]]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "pivot", "pivot_n", "pivot_sketch"])
+            modes = []
+            for drawn in batch.column("drawn"):
+                marks = _marks(drawn.values)
+                modes.append(np.array([np.bincount(marks[:, k]).argmax() for k in range(marks.shape[1])], np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(modes, pa.binary())], names=["node", "usual"])
 
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                agree = (_marks(batch.column("sketch")) == _marks(batch.column("usual"))).mean(axis=1)
+                yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in ("node", "rep", "n", "sketch")], pa.array(agree)], names=["node", "rep", "n", "sketch", "agree"])
+
+    leaves = gathered(nodes).mapInArrow(nearest, "a long, b long")
     large = nodes.where("NOT small")
-    few = large.where(F.pmod(F.xxhash64("node", "rep"), F.ceil(F.col("members") / PIVOTS_OF)) == 0)
-    few = few.groupBy("node").agg(F.collect_list(F.struct("rep", "n", "sketch")).alias("members"))
-    pivots = write_scratch(few.mapInArrow(medoids, "node long, pivot long, pivot_n long, pivot_sketch binary"), "pivots")
-    met = large.join(side(pivots, 100_000), "node")
+    drawn = large.where(F.pmod(F.xxhash64("node", "rep"), F.ceil(F.col("members") / VOTERS)) == 0)
+    modes = drawn.groupBy("node").agg(F.collect_list("sketch").alias("drawn")).mapInArrow(usual, "node long, usual binary")
+    met = large.join(side(write_scratch(modes, "usual_sketches"), 100_000), "node")
+    near = met.select("node", "rep", "n", "sketch", "usual").mapInArrow(agreeing, "node long, rep long, n long, sketch binary, agree double")
+    one = F.struct(F.col("rep").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch"))
+    pivots = near.groupBy("node").agg(F.max_by(one, F.struct("agree", -F.col("rep"))).alias("x")).select("node", "x.*")
+    met = large.join(side(write_scratch(pivots, "pivots"), 100_000), "node")
     return leaves.union(met.where("rep <> pivot").mapInArrow(to_pivots, "a long, b long")).distinct()
 
 
 def gathered(nodes: DataFrame, *more: str) -> DataFrame:
-    """One row per leaf with its at most SMALL or so classes; a large node is dealt into as many
-    leaves as it needs by a hash of the class."""
-    part = F.when(F.col("small"), 0).otherwise(F.pmod(F.xxhash64("node", "rep"), F.ceil(F.col("members") / (SMALL / 2))))
-    kept = nodes.withColumn("part", part)
-    return kept.groupBy("node", "part").agg(F.collect_list(F.struct("rep", "n", "sketch", *more)).alias("members")).where(F.size("members") > 1).select("members")
+    """One row per leaf with its at most SMALL classes."""
+    leaves = nodes.where("small").groupBy("node").agg(F.collect_list(F.struct("rep", "n", "sketch", *more)).alias("members"))
+    return leaves.where(F.size("members") > 1).select("members")
 
 
 def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.StructArray]]:
@@ -223,13 +235,133 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _common(some: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
+    """How many hashes each of ``some`` sets has in common with each of the others, or of ``some``."""
+
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+
+    tokens, rows = flat(some)
+    if others is None:
+        found, n = np.unique(tokens, return_counts=True)
+        shared = found[n > 1]
+    else:
+        other_tokens, other_rows = flat(others)
+        shared = np.intersect1d(tokens, other_tokens)
+
+    def placed(tokens: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(shared, tokens)
+        hit = at < len(shared)
+        hit[hit] = shared[at[hit]] == tokens[hit]
+        at, rows = at[hit], rows[hit]
+        order = np.argsort(at, kind="stable")
+        return at[order], rows[order]
+
+    sides = [(placed(tokens, rows), len(some))]
+    if others is not None:
+        sides.append((placed(other_tokens, other_rows), len(others)))
+    both = np.zeros((len(some), sides[-1][1]), np.int64)
+    for begin in range(0, len(shared), COLUMNS):
+        ones = []
+        for (at, rows), n in sides:
+            a, b = np.searchsorted(at, [begin, begin + COLUMNS])
+            x = np.zeros((n, min(COLUMNS, len(shared) - begin)), np.float32)
+            x[rows[a:b], at[a:b] - begin] = 1
+            ones.append(x)
+        both += (ones[0] @ ones[-1].T).astype(np.int64)
+    return both
+
+
+def block_links(nodes: DataFrame, known: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame | None:
+    """Links between the components that meet in a node that is large at the last level, or None.
+
+    In such a node the members outside its largest component are compared with all its members,
+    on full sets: both are dealt into blocks by a hash, and every two blocks meet but for two of
+    the largest component. A class leaves a meeting with one link, to the smallest it reaches there.
+    """
+    named = nodes.where("last").join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("node", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    parts = named.groupBy("node", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
+    most = parts.groupBy("node").agg(
+        F.max(F.struct("rows", "component", "tokens")).alias("main"), F.sum("rows").alias("rows"), F.sum("tokens").alias("tokens")
+    )
+    blocks = lambda rows, tokens: F.ceil(F.greatest(rows / BLOCK, tokens / BLOCK_TOKENS)).cast("int")
+    several = most.where(F.col("rows") > F.col("main.rows")).select(
+        "node", F.col("main.component").alias("main"), blocks(F.col("main.rows"), F.col("main.tokens")).alias("mains"),
+        blocks(F.col("rows") - F.col("main.rows"), F.col("tokens") - F.col("main.tokens")).alias("opens"),
+    )
+    several = write_scratch(several, "open_nodes")
+    if not several.limit(1).count():
+        return None
+    met = named.join(side(several, 100_000), "node").withColumn("open", F.col("component") != F.col("main"))
+    met = write_scratch(met.withColumn("mine", F.pmod(F.xxhash64("node", "rep"), F.when(F.col("open"), F.col("opens")).otherwise(F.col("mains"))).cast("int")), "open_members")
+    unit = lambda i, j, with_main, second: F.struct(i.alias("i"), j.alias("j"), F.lit(with_main).alias("with_main"), second.alias("second"))
+    mine, no, yes = F.col("mine"), F.lit(False), F.lit(True)
+    to = lambda n, f: F.transform(F.sequence(F.lit(0), F.col(n) - 1), f)
+    units = F.when(
+        F.col("open"),
+        F.concat(to("opens", lambda k: unit(F.least(mine, k), F.greatest(mine, k), False, mine > k)), to("mains", lambda k: unit(mine, k, True, no))),
+    ).otherwise(to("opens", lambda k: unit(k, mine, True, yes)))
+    dealt = met.select("node", "rep", "component", F.explode(units).alias("u")).select("node", "u.*", "rep", "component")
+    full = dealt.join(sets(met.select(F.col("rep").alias("doc")).distinct()).withColumnRenamed("doc", "rep"), "rep")
+
+    def link(key: tuple, table: pa.Table) -> pa.Table:
+        rep, group, second = (table.column(k).to_numpy() for k in ("rep", "component", "second"))
+        tokens = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
+        order = np.argsort(rep, kind="stable")
+        rep, group, second, tokens = rep[order], group[order], second[order].astype(bool), [tokens[k] for k in order]
+        n = np.array([len(x) for x in tokens])
+        linked = np.zeros((len(rep), len(rep)), bool)
+        one = key[1].as_py() == key[2].as_py() and not key[3].as_py()
+        a, b = (np.arange(len(rep)),) * 2 if one else (np.flatnonzero(~second), np.flatnonzero(second))
+        if len(a) and len(b):
+            both = _common([tokens[k] for k in a], None if one else [tokens[k] for k in b])
+            can = (100 * both >= percent * (n[a][:, None] + n[b][None] - both)) & (group[a][:, None] != group[b][None])
+            linked[np.ix_(a, b)] = can
+            linked |= linked.T
+        root = rep[_roots(linked)]
+        return pa.table({"a": root[root != rep], "b": rep[root != rep]})
+
+    full = full.select("node", "i", "j", "with_main", "second", "rep", "component", "tokens")
+    return full.groupBy("node", "i", "j", "with_main").applyInArrow(link, "a long, b long").distinct()
+
+
+def linked_components(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, slack: float = SLACK) -> DataFrame:
+    """``(node, component)`` for all classes that are linked with others that they meet in ``nodes``.
+
+    ``sets`` makes ``doc`` and ``tokens`` for given classes (``doc``). Each step leaves out what the
+    steps before it have connected: the nearest, then all pairs of a leaf, then large nodes by blocks.
+    """
+    first = write_scratch(nearest_pairs(nodes, percent, slack), "first_pairs")
+    active = first.select(F.col("a").alias("doc")).union(first.select(F.col("b").alias("doc"))).distinct()
+    active = write_scratch(active, "active")
+    made = write_scratch(sets(active), "sets")
+    links = write_scratch(confirmed(first, made, percent), "links")
+    known = write_scratch(components(links), "components")
+    more = write_scratch(open_pairs(nodes, known, percent, slack).join(first, ["a", "b"], "left_anti"), "open_pairs")
+    more = write_scratch(confirmed(more, made, percent), "links")
+    if more.limit(1).count():
+        known = write_scratch(components(links.union(more)), "components")
+
+    def made_for(wanted: DataFrame) -> DataFrame:
+        rest = write_scratch(wanted.join(active, "doc", "left_anti"), "wanted_sets")
+        return made.union(write_scratch(sets(rest), "sets"))
+
+    far = block_links(nodes, known, made_for, percent)
+    if far is not None:
+        far = write_scratch(far, "block_links")
+        if far.limit(1).count():
+            known = write_scratch(components(known.select(F.col("component").alias("a"), F.col("node").alias("b")).union(far)), "components")
+    return known
+
+
 def near_classes(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Documents of equal sets are one class from the start and never compared. Classes meet in the
-    leaves of TREES trees. First each is tried with its nearest in every leaf, which joins most of
-    a group of near copies by few links; then all pairs of a leaf that are still in different
-    components. Links are confirmed on the full sets, which are made again for classes in some
+    leaves of TREES trees. First each is tried with its nearest in every leaf, and in large nodes
+    with the most usual member, which joins most of a group of near copies by few links; then all
+    pairs of a leaf, and of a node that stays large, that are still in different components. Links are confirmed on the full sets, which are made again for classes in some
     pair only. A text without words (null, empty) is in no class; a shorter one than a shingle has
     its whole sequence of words as its one shingle. Rows of one doc_id count as one document.
     """
@@ -239,14 +371,7 @@ def near_classes(docs: DataFrame, size: int = 5, percent: int = 80, text: str =
     )
     classes = write_scratch(classes.select("s1", "s2", "copies", "x.*"), "classes")
     nodes = write_scratch(tree_nodes(classes), "nodes")
-    first = write_scratch(nearest_pairs(nodes, percent), "first_pairs")
-    active = first.select(F.col("a").alias("doc")).union(first.select(F.col("b").alias("doc"))).distinct()
-    sets = write_scratch(full_sets(docs, write_scratch(active, "active"), size, text, doc_id), "sets")
-    links = write_scratch(confirmed(first, sets, percent), "links")
-    known = write_scratch(components(links), "components")
-    more = write_scratch(open_pairs(nodes, known, percent).join(first, ["a", "b"], "left_anti"), "open_pairs")
-    more = write_scratch(confirmed(more, sets, percent), "links")
-    found = write_scratch(components(links.union(more)), "components") if more.limit(1).count() else known
+    found = linked_components(nodes, lambda reps: full_sets(docs, reps, size, text, doc_id), percent)
     # Where a document belongs: its class, and the component of that.
     several = classes.where("copies > 1").select("s1", "s2", "rep")
     placed = all_.select("doc", "n", "s1", "s2").join(side(write_scratch(several, "copies")), ["s1", "s2"], "left")
