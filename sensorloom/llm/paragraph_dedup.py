@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sensorloom.llm.common import by_size, components, side
-from sensorloom.llm.near_dedup import SMALL, confirmed, nearest_pairs, open_pairs
+from sensorloom.llm.common import by_size, side
+from sensorloom.llm.near_dedup import SMALL, linked_components
 from sensorloom.llm.words import mix, shingle_hashes, utf8, word_hashes
 from sensorloom.session import write_scratch
 
@@ -107,8 +107,8 @@ def repeated_paragraphs(
     shingles are one class; classes that share a band and are confirmed on their full sets at
     ``percent`` are linked, and of each component of links the first paragraph (smallest doc_id,
     then line) stays. ``exact`` says that the paragraph has the kept one's set. A bucket is
-    compared as in :mod:`sensorloom.llm.near_dedup`: never all pairs of a large one, and never
-    twice what is already connected. Documents without repeats, null and empty texts give no row.
+    compared as in :mod:`sensorloom.llm.near_dedup`: a large one first with its most usual member,
+    then block by block, leaving out what is already connected. Documents without repeats, null and empty texts give no row.
     """
     # Bands are wide and wanted once for each class only: they are made again rather than stored.
     whole = paragraphs(docs, least, text, doc_id)
@@ -123,17 +123,15 @@ def repeated_paragraphs(
     rows = classes.select(F.explode("bands").alias("node"), F.col("cls").alias("rep"))
     sizes = rows.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
     nodes = rows.join(sizes, "node").join(classes.select(F.col("cls").alias("rep"), "n", "sketch"), "rep")
-    nodes = nodes.select("node", "rep", "n", "sketch", (F.col("members") <= SMALL).alias("small"), "members")
+    small = F.col("members") <= SMALL
+    nodes = nodes.select("node", "rep", "n", "sketch", small.alias("small"), (~small).alias("last"), "members")
     nodes = write_scratch(nodes, "band_nodes")
-    tried = write_scratch(nearest_pairs(nodes, percent, SLACK), "first_pairs")
-    active = tried.select(F.col("a").alias("cls")).union(tried.select(F.col("b").alias("cls"))).distinct()
-    wanted = active.join(classes, "cls").select("cls", "first.doc", "first.line")
-    sets = write_scratch(_class_sets(docs, wanted, least, text, doc_id), "paragraph_sets")
-    links = write_scratch(confirmed(tried, sets, percent), "links")
-    known = write_scratch(components(links), "components")
-    more = write_scratch(open_pairs(nodes, known, percent, SLACK).join(tried, ["a", "b"], "left_anti"), "open_pairs")
-    more = write_scratch(confirmed(more, sets, percent), "links")
-    found = write_scratch(components(links.union(more)), "components") if more.limit(1).count() else known
+
+    def sets(reps: DataFrame) -> DataFrame:
+        wanted = reps.withColumnRenamed("doc", "cls").join(classes, "cls").select("cls", "first.doc", "first.line")
+        return _class_sets(docs, wanted, least, text, doc_id)
+
+    found = linked_components(nodes, sets, percent, SLACK)
     named = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left")
     named = named.where("copies > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "cls"))
     named = write_scratch(named.select("s1", "s2", "first", "component"), "named")
