@@ -20,9 +20,9 @@ from sensorloom.llm.near_dedup import SMALL, linked_components
 from sensorloom.llm.words import mix, shingle_hashes, utf8, word_hashes
 from sensorloom.session import write_scratch
 
-#: Bands and rows of each: at similarity 0.8 a pair shares none once in 5 000. Sketches of so few
-#: bytes may agree this much less than asked for: four standard deviations.
-BANDS, ROWS, SLACK = 12, 3, 0.27
+#: Bands and rows of each: at similarity 0.8 a pair shares none once in 90 000. Sketches of so few
+#: bytes may agree this much less than asked for: over four standard deviations.
+BANDS, ROWS, SLACK = 16, 3, 0.27
 #: Words of a shingle, and of the shortest paragraph that is looked at.
 SHINGLE, LEAST_WORDS = 5, 16
 

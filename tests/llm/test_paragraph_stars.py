@@ -1,7 +1,7 @@
 import numpy as np
 from stars import jaccard_classes, star
 
-from sensorloom.llm.paragraph_dedup import repeated_paragraphs
+from sensorloom.llm.paragraph_dedup import BANDS, ROWS, repeated_paragraphs
 
 
 def test_a_star_of_paragraphs(spark):
@@ -13,3 +13,8 @@ def test_a_star_of_paragraphs(spark):
     assert set(want.values()) == {0}
     got = {r.doc_id: r.kept_doc_id for r in repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {d: 0 for d, _ in rows if d}
+
+
+def test_bands_miss_few_pairs():
+    """At similarity 0.8 fewer than one pair in 50 000 shares no band."""
+    assert (1 - 0.8**ROWS) ** BANDS < 1 / 50_000
