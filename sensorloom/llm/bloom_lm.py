@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,9 +84,9 @@ def ngram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.groupBy("kind", "h").agg(F.sum("n").alias("n"))
 
 
-def _level(kind: Column, n: Column) -> Column:
-    """Quantised count: the number of doublings. A word seen once has level 1, a pair seen once 0."""
-    return (F.floor(F.log2(n.cast("double")) + 1e-9) + F.when(kind == _WORD, 1).otherwise(0)).cast("int")
+def _level(n: Column) -> Column:
+    """Quantised count: the number of doublings and 1, so that what was seen once has level 1."""
+    return (F.floor(F.log2(n.cast("double")) + 1e-9) + 1).cast("int")
 
 
 @dataclass
@@ -127,15 +128,15 @@ def build_filter(counts: DataFrame) -> Filter:
     """The filter of a written table of n-gram counts.
 
     The lowest level that is entered is the first from which all entries fit into FILTER_BITS at
-    ENTRY_BITS each, so that the filter's size is bounded and its error the same for any corpus: on
-    a larger one, rarer n-grams count as unseen. Parts are built where their n-grams meet by
+    ENTRY_BITS each, so that the filter's size is bounded and its error the same for any corpus;
+    what lies below is looked up by a join of :func:`score`. Parts are built where their n-grams meet by
     hash; at most FILTER_BITS / ENTRY_BITS entries do in all.
     """
-    leveled = counts.select("h", _level(F.col("kind"), F.col("n")).alias("level")).where("level > 0")
+    leveled = counts.select("h", _level(F.col("n")).alias("level"))
     by_level = dict(leveled.groupBy("level").count().collect())  # at most 64 rows
     top = max(by_level, default=1)
     reach = {i: sum(n * (k - i + 1) for k, n in by_level.items() if k >= i) for i in range(1, top + 1)}
-    lowest = next((i for i in range(1, top + 1) if reach[i] * ENTRY_BITS <= FILTER_BITS), top)
+    lowest = next((i for i in range(1, top + 1) if reach[i] * ENTRY_BITS <= FILTER_BITS), top + 1)
     wanted = max(1, reach.get(lowest, 0) * ENTRY_BITS) >> PARTS_LOG
     part_bits = max(1 << 10, min(1 << max(wanted - 1, 1).bit_length(), FILTER_BITS >> PARTS_LOG))
 
@@ -154,19 +155,49 @@ def build_filter(counts: DataFrame) -> Filter:
     return Filter(whole, part_bits, lowest)
 
 
-def _about(levels: np.ndarray, words: bool) -> np.ndarray:
+def _about(levels: np.ndarray) -> np.ndarray:
     """The count a level stands for: the middle of its range."""
-    doublings = levels.astype(np.float64) - words
+    doublings = levels.astype(np.float64) - 1
     return np.where(levels > 0, np.where(doublings > 0, 1.4 * 2.0**doublings, 1.0), 0.0)
 
 
+def _about_column(level: Column) -> Column:
+    """:func:`_about` of a column."""
+    return F.when(level > 1, 1.4 * F.pow(F.lit(2.0), level - 1)).when(level == 1, 1.0).otherwise(0.0)
+
+
+def _looked_up(scored: DataFrame, counts: DataFrame, lowest: int, total: int) -> DataFrame:
+    """``row`` and ``more_score``: what the n-grams below the filter's lowest level add to a score.
+
+    ``open`` of ``scored`` has a token each: the pair's hash ``h``, the levels ``own`` and ``before``
+    of its word and the word before, and the hash ``w`` or ``v`` of either that is to be looked up.
+    The pair's share was scored as unseen if both words were known, and the token not at all if not.
+    """
+    few = counts.select("kind", "h", _level(F.col("n")).cast("byte").alias("level")).where(F.col("level") < lowest)
+    words, pairs = (few.where(F.col("kind") == k).select("h", "level") for k in (_WORD, _PAIR))
+    tokens = scored.select("row", F.explode("open").alias("t")).select("row", "t.*")
+    rare = tokens.where("w IS NOT NULL OR v IS NOT NULL")
+    for key, level in (("w", "own"), ("v", "before")):
+        # A word that needs no look-up gets a key of its own, lest all of them meet.
+        sought = rare.withColumn("key", F.coalesce(key, F.xxhash64("row", "h")))
+        met = sought.join(words.select(F.col("h").alias("key"), F.col("level").alias("found")), "key", "left")
+        rare = met.withColumn(level, F.when(F.col(key).isNull(), F.col(level)).otherwise(F.coalesce("found", F.lit(0).cast("byte")))).drop("key", "found")
+    rare = write_scratch(rare.select("row", "h", "own", "before"), "rare_tokens")
+    own = (_about_column(F.col("own")) + 1) * (MU / (total + 1))
+    before = _about_column(F.col("before"))
+    alone = rare.select("row", F.log10(own / (before + MU)).alias("x"))
+    every = tokens.where("w IS NULL AND v IS NULL").select("row", "h", "own", "before").union(rare).where("before > 0")
+    paired = every.join(pairs, "h").select("row", F.log10((F.least(_about_column(F.col("level")), before) + own) / own).alias("x"))
+    return alone.union(paired).groupBy("row").agg(F.sum("x").alias("more_score"))
+
+
 def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the documents that :func:`held_out` leaves. ``score`` is the sum over the tokens of
     log10 of ``(c(v, w) + MU * p(w)) / (c(v) + MU)`` with ``p(w) = (c(w) + 1) / (N + V + 1)``, v the
-    token before w, and all counts read from the filter, by tests of one level after the other.
-    As counts are quantised, the probabilities sum to one only about.
+    token before w, and all counts read from the filter, by tests of one level after the other, or
+    below its lowest level from the table of counts by a join, in the same steps. As counts are quantised, the probabilities sum to one only about.
 
     ``base_score`` is exact: the counts of the HEAD_WORDS most frequent words go to the tasks;
     other words are joined with their counts by hash, each document's rare words alone, and
@@ -175,11 +206,14 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).alias("text"))
-    counts = write_scratch(ngram_counts(rows.where("NOT held_out")).where(f"kind = {_WORD} OR n > 1"), "ngrams")
+    counts = write_scratch(ngram_counts(rows.where("NOT held_out")), "ngrams")
+    # The counts' shuffle is as large as the tokens and stays on disk until its frame is collected.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     words = counts.where(F.col("kind") == _WORD)
     learnt, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # The count from which on words are few enough to be sent.
-    by_count = words.groupBy(_level(F.col("kind"), F.col("n")).alias("level")).count().collect()  # at most 64 rows
+    by_count = words.groupBy(_level(F.col("n")).alias("level")).count().collect()  # at most 64 rows
     sent, rare = 0, 1
     for level, n in sorted(by_count, reverse=True):
         if sent + n > HEAD_WORDS:
@@ -189,7 +223,11 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     head = words.where(F.col("n") >= rare).select("h", "n").toPandas()  # HEAD_WORDS rows at most
     h = head["h"].to_numpy().view(np.uint64)
     order = np.argsort(h)
-    starts = spark.sparkContext.broadcast((h[order], head["n"].to_numpy()[order], build_filter(counts)))
+    bloom = build_filter(counts)
+    starts = spark.sparkContext.broadcast((h[order], head["n"].to_numpy()[order], bloom))
+    lowest = bloom.lowest
+
+    open_type = pa.list_(pa.struct([("h", pa.int64()), ("own", pa.int8()), ("before", pa.int8()), ("w", pa.int64()), ("v", pa.int64())]))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_n, grams = starts.value
@@ -201,15 +239,30 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
             at = np.searchsorted(known, distinct_)
             at[at == len(known)] = 0
             exact = np.where(known[at] == distinct_, known_n[at], 0)[inverse] if len(known) else np.zeros(len(tokens), np.int64)
-            about = _about(grams.levels(distinct_), True)[inverse]
-            own = (about + 1) / (learnt + distinct + 1)
+            level = grams.levels(distinct_)[inverse]
+            level_before = np.empty_like(level)
+            level_before[1:] = level[:-1]
+            level_before[begins] = 0
+            own = (_about(level) + 1) / (learnt + distinct + 1)
+            before = _about(level_before)
             previous, pairs = _pairs(tokens, first)
-            before = np.empty_like(about)
-            before[1:] = about[:-1]
-            before[begins] = 0.0
-            both = _about(grams.levels(pairs), False)
-            both = np.where(previous == START, 0.0, np.minimum(both, before))
+            starting = previous == START
+            level_both = grams.levels(pairs)
+            # Words below the filter's lowest level, which may have been seen, and pairs, which are if a word is.
+            no_own, no_before = level < lowest, (level_before < lowest) & ~starting
+            level_both[starting | no_own | no_before] = 0
+            both = np.minimum(_about(level_both), before)
             p = np.log10((both + MU * own) / (before + MU))
+            open_ = pa.nulls(len(n), open_type)
+            if lowest > 1:
+                p[no_own | no_before] = 0.0
+                open_at = np.flatnonzero(no_own | ((level_both == 0) & ~starting))
+                fields = [
+                    pa.array(pairs[open_at].view(np.int64)), pa.array(level[open_at]), pa.array(level_before[open_at]),
+                    pa.array(tokens[open_at].view(np.int64), mask=~no_own[open_at]), pa.array(previous[open_at].view(np.int64), mask=~no_before[open_at]),
+                ]
+                owner = np.searchsorted(first, open_at, side="right") - 1
+                open_ = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(len(n) + 1)), pa.int32()), pa.StructArray.from_arrays(fields, fields=list(open_type.value_type)))
             # Words whose count is not here are looked up by a join.
             rare_at = np.flatnonzero(exact == 0)
             owner = np.searchsorted(first, rare_at, side="right") - 1
@@ -218,19 +271,22 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
                 [
                     pa.array(np.arange(len(n)) + row), batch.column("doc_id"), batch.column("held_out"), pa.array(n),
                     pa.array(np.add.reduceat((exact > 0).astype(np.int64), begins)),
-                    pa.array(np.add.reduceat(np.log10(exact + 1.0), begins)), pa.array(np.add.reduceat(p, begins)), lists,
+                    pa.array(np.add.reduceat(np.log10(exact + 1.0), begins)), pa.array(np.add.reduceat(p, begins)), lists, open_,
                 ],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "known_log", "score", "rare"],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "known_log", "score", "rare", "open"],
             )
             row += len(n)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(scores, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, known_log double, score double, rare array<long>")
+    scored = rows.mapInArrow(scores, f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, known_log double, score double, rare array<long>, open array<struct<h:long,own:byte,before:byte,w:long,v:long>>")
     scored = write_scratch(scored, "scores")
     others = scored.select("row", F.explode("rare").alias("h"))
     met = others.join(words.where(F.col("n") < rare).select("h", "n"), "h")
     rest = met.groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1.0)).alias("more_log"))
-    done = scored.drop("rare").join(rest, "row", "left")
+    done = scored.drop("rare", "open").join(rest, "row", "left")
+    if lowest > 1:
+        looked_up = _looked_up(scored, counts, lowest, int(learnt + distinct))
+        done = done.join(looked_up, "row", "left").withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
     total = np.log10(float(learnt + distinct + 1))
     return done.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(learnt)).cast("long").alias("train_tokens"),
