@@ -82,7 +82,7 @@ def codes(x: np.ndarray, tables: int, hashes: int, seed: int = 0) -> np.ndarray:
             out[:, :, 1 + p] = own + (b - a) * power[i[:, :, 0]]
         else:
             out[:, :, 1 + p] = own
-    # Vectors of other dimensions, and other tables, have other keys.
+    # Other tables have other keys, and so, but for chance, have vectors of other dimensions.
     salt = np.arange(tables, dtype=np.uint64)[None, :, None] + np.uint64(d * 1000)
     return mix(out + mix(salt, 5), 9)
 
@@ -125,7 +125,7 @@ def _signatures(vectors: DataFrame) -> DataFrame:
 
 
 def _coded(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
-    """``rep``, ``copies``, the vector, and the bucket keys of all tables."""
+    """``rep``, ``copies``, the vector, its dimension ``d``, and the bucket keys of all tables."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,10 +136,11 @@ def _coded(classes: DataFrame, tables: int, hashes: int) -> DataFrame:
                     # Half of a key will do: buckets that fall together are only compared more.
                     keys = (codes(x, tables, hashes).reshape(-1) >> np.uint64(32)).astype(np.uint32).view(np.int32)
                     lists = pa.FixedSizeListArray.from_arrays(pa.array(keys), tables * (1 + PROBES)).cast(pa.list_(pa.int32()))
-                    yield pa.RecordBatch.from_arrays([kept.column("rep"), kept.column("copies"), kept.column("vector"), lists], names=["rep", "copies", "vector", "keys"])
+                    d = pa.array(np.full(len(x), x.shape[1], np.int32))
+                    yield pa.RecordBatch.from_arrays([kept.column("rep"), kept.column("copies"), kept.column("vector"), d, lists], names=["rep", "copies", "vector", "d", "keys"])
 
     kind = dict(classes.dtypes)["vector"]
-    return classes.mapInArrow(code, f"rep long, copies long, vector {kind}, keys array<int>")
+    return classes.mapInArrow(code, f"rep long, copies long, vector {kind}, d int, keys array<int>")
 
 
 def _first_meeting(keys_a: np.ndarray, keys_b: np.ndarray, table: int, bucket: np.int32) -> np.ndarray:
@@ -174,21 +175,21 @@ def _roots(linked: np.ndarray) -> np.ndarray:
 def bucket_links(coded: DataFrame, least: float) -> DataFrame:
     """``rep``, ``links`` (vectors it links with, of other classes, found first here) and ``root``
     (the smallest class it reaches here), for each place in which two blocks of a bucket meet."""
-    entries = coded.select("rep", F.posexplode("keys").alias("at", "key"))
-    entries = entries.select("rep", F.floor(F.col("at") / (1 + PROBES)).cast("int").alias("table"), (F.col("at") % (1 + PROBES) == 0).alias("own"), "key")
-    entries = entries.groupBy("table", "key", "rep").agg(F.max("own").alias("own"))
+    entries = coded.select("rep", "d", F.posexplode("keys").alias("at", "key"))
+    entries = entries.select("rep", "d", F.floor(F.col("at") / (1 + PROBES)).cast("int").alias("table"), (F.col("at") % (1 + PROBES) == 0).alias("own"), "key")
+    entries = entries.groupBy("table", "d", "key", "rep").agg(F.max("own").alias("own"))
     entries = write_scratch(entries, "bucket_entries")
-    sizes = entries.groupBy("table", "key").agg(F.count("*").alias("members"), F.max("own").alias("any")).where("members > 1 AND any")
-    met = entries.join(sizes.drop("any"), ["table", "key"])
+    sizes = entries.groupBy("table", "d", "key").agg(F.count("*").alias("members"), F.max("own").alias("any")).where("members > 1 AND any")
+    met = entries.join(sizes.drop("any"), ["table", "d", "key"])
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("rep", "table"), blocks).cast("int")
     met = met.withColumn("blocks", blocks).withColumn("mine", mine)
     dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "table", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).alias("second"), "rep"
+        "table", "d", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).alias("second"), "rep"
     )
-    full = dealt.join(coded, "rep")
-    units = full.groupBy("table", "key", "i", "j").agg(F.collect_list(F.struct("rep", "copies", "second", "vector", "keys")).alias("m"))
+    full = dealt.join(coded.drop("d"), "rep")
+    units = full.groupBy("table", "d", "key", "i", "j").agg(F.collect_list(F.struct("rep", "copies", "second", "vector", "keys")).alias("m"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
