@@ -272,3 +272,37 @@ def url_lists(spark: SparkSession, folder: str) -> DataFrame:
         .union(dated("adult", m % 7 == 0, m % 500, True))
     )
     return listed_captures(captures, entries).drop("url")
+
+
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r FROM scored WHERE same) WHERE r <= 5),
+windows AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS r
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM windows WHERE r <= 3
+"""
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES_SQL)
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Three rows of other labels that score 50 to 95 percent of each of an anchor's five positives."""
+    from pyspark.sql import functions as F
+
+    from sensorloom.llm.hard_negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", label)
+    return hard_negatives(rows, "vec_id", "embedding", "label", anchors=F.col("id") % 50 == 0)
