@@ -306,3 +306,42 @@ def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, folder, "embeddings").withColumn("label", label)
     return hard_negatives(rows, "vec_id", "embedding", "label", anchors=F.col("id") % 50 == 0)
+
+
+#: A word is a run of ASCII digits and letters and of all other signs beyond ASCII.
+_ITEM_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+DECONTAMINATE_SQL = f"""
+WITH docs AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w, least(10, len(w)) AS m FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM items)),
+grams AS (
+  SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM docs, (SELECT DISTINCT m FROM items) WHERE len(w) >= m)),
+hits AS (SELECT doc_id, i, m, item_id FROM grams JOIN windows USING (m, g)),
+words AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS k FROM hits) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op12_decontaminate", DECONTAMINATE_SQL)
+def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's words in passages of ten benchmark words, and the items they come from."""
+    from pyspark.sql import functions as F
+
+    from sensorloom.llm.decontaminate import contamination, digest
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest(F.col("items")).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

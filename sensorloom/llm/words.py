@@ -57,11 +57,14 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where each word begins and ends, and how many words lie before each row (rows + 1 numbers)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word begins and ends, and how many words lie before each row (rows + 1 numbers).
+
+    ``gap`` tells of each byte whether it stands between words.
+    """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~gap[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     rows = offsets[:-1][offsets[:-1] < len(data)]
