@@ -37,16 +37,29 @@ def quantised(df: DataFrame, id: str, vector: str, label: str, scale: int) -> Da
     """``(id, label, v, row)`` of the rows that take part, ``v`` being ``floor(scale * x)`` of each component.
 
     Rows whose id, label or vector is null, or that have a null or non-finite component, take no part, nor do those
-    with a component so large (3.8e8 of 64) that scores would not fit 64 bits. ``row`` is a number of its own.
+    with a component so large (2.7e8 of 64) that scores would not fit 64 bits. ``row`` is a number of its own.
     """
-    x = F.col("__v")
-    rows = df.select(F.col(id).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).alias("__v"))
-    rows = rows.where("id IS NOT NULL AND label IS NOT NULL AND __v IS NOT NULL")
-    rows = rows.where(F.forall(x, lambda a: a.isNotNull() & ~F.isnan(a) & (F.abs(a) != float("inf"))))
-    rows = rows.withColumn("v", F.transform(x, lambda a: F.floor(F.lit(float(scale)) * a.cast("double"))))
-    most = F.floor(F.sqrt(F.lit(float(2**62)) / F.greatest(F.size("v"), F.lit(1))))
-    rows = rows.where(F.forall("v", lambda a: (a >= -most) & (a <= most)))
-    return write_scratch(rows.select("id", "label", "v", F.monotonically_increasing_id().alias("row")), "quantised")
+    rows = df.select(F.col(id).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("v"))
+    rows = rows.where("id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL")
+
+    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("v")
+            sizes = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            with np.errstate(invalid="ignore"):
+                x = np.floor(scale * column.flatten().to_numpy(zero_copy_only=False))  # null as NaN
+                most = np.floor(np.sqrt(2.0**62 / np.maximum(sizes, 1)))
+                odd = ~(np.abs(x) <= np.repeat(most, sizes))
+            begin = np.cumsum(sizes) - sizes
+            good = np.diff(np.r_[0, np.cumsum(odd)][np.r_[begin, begin[-1:] + sizes[-1:]]]) == 0
+            x = x[np.repeat(good, sizes)].astype(np.int64)
+            ends = np.r_[0, np.cumsum(sizes[good])].astype(np.int32)
+            kept = batch.filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays([kept.column("id"), kept.column("label"), pa.ListArray.from_arrays(ends, x)], ["id", "label", "v"])
+
+    kind = rows.schema["label"].dataType.simpleString()
+    whole = rows.mapInArrow(floors, f"id long, label {kind}, v array<long>")
+    return write_scratch(whole.withColumn("row", F.monotonically_increasing_id()), "quantised")
 
 
 def _matrix(column: pa.Array, rows: np.ndarray) -> np.ndarray:
