@@ -92,7 +92,7 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     if not len(sa):
         return sa
     bits = max(int(codes.max()).bit_length(), 1)
-    width = max(1, 63 // bits)
+    width = max(1, min(63 // bits, n))
     # A place's first codes as one number; behind a 0 nothing counts any more.
     key, alive = codes.astype(np.int64), codes != 0
     for k in range(1, width):
