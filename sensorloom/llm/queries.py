@@ -345,3 +345,75 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest(F.col("items")).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+#: A stretch that matches itself q words later at 3q places in a row does so at three multiples of q in a row.
+PERIODIC_RUNS_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END, 4294967295)) AS h
+  FROM (SELECT doc_id, text FROM documents)),
+sized AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 AS g FROM texts),
+placed AS (
+  SELECT doc_id, w, n, planted, a, 1 + (n - a) // (3 + g % 8) AS p FROM (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM sized)),
+words AS (
+  SELECT doc_id, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM placed)),
+grid AS (SELECT doc_id, q, unnest(range(0, n - q, q)) AS x FROM (SELECT doc_id, n, unnest(range(1, n // 4 + 1)) AS q FROM placed)),
+same AS (
+  SELECT doc_id, q, x // q AS k FROM grid JOIN words a USING (doc_id) JOIN words b USING (doc_id)
+  WHERE a.i = x AND b.i = x + q AND a.word = b.word),
+open AS (SELECT DISTINCT doc_id, q FROM same s1 JOIN same s2 USING (doc_id, q) JOIN same s3 USING (doc_id, q) WHERE s2.k = s1.k + 1 AND s3.k = s1.k + 2),
+matches AS (
+  SELECT doc_id, q, a.i AS x FROM open JOIN words a USING (doc_id) JOIN words b USING (doc_id) WHERE b.i = a.i + q AND a.word = b.word),
+stretches AS (
+  SELECT doc_id, q, min(x) AS s, max(x) + 1 + q - min(x) AS l
+  FROM (SELECT doc_id, q, x, x - row_number() OVER (PARTITION BY doc_id, q ORDER BY x) AS part FROM matches) GROUP BY doc_id, q, part),
+runs AS (SELECT doc_id, s, l, min(q) AS q FROM stretches WHERE l >= greatest(6, 4 * q) GROUP BY doc_id, s, l),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words WHERE NOT EXISTS (FROM dropped d WHERE d.doc_id = words.doc_id AND d.i = words.i)
+  GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t,
+         arg_min({'s': s, 'l': l, 'q': q}, {'under': -l, 's': s, 'q': q}) AS best
+  FROM runs GROUP BY doc_id)
+SELECT doc_id, coalesce(listed.n, 0) AS n_runs, best.s AS start, best.l AS length, CAST(best.q AS BIGINT) AS period,
+       CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM placed LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op11_periodic_runs", PERIODIC_RUNS_SQL)
+def periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's runs of at least four periods, and its text without their repeats.
+
+    One document in ten, by the checksum of its id, first repeats a stretch of its own words to the end.
+    """
+    from pyspark.sql import functions as F
+
+    from sensorloom.llm.periodic_runs import longest_run, runs_text, with_runs
+
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    # Each step is bound as an element of an array, so that it is computed once for a text and not for each word.
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    bound = F.transform(F.array(F.struct(words.alias("w"), g.alias("g"))), lambda s: F.struct(s.getField("w").alias("w"), (s.getField("g") % F.size(s.getField("w"))).cast("int").alias("a"), s.getField("g").alias("g")))
+    bound = F.transform(bound, lambda s: F.struct(s.getField("w").alias("w"), s.getField("a").alias("a"), (1 + F.floor((F.size(s.getField("w")) - s.getField("a")) / (3 + s.getField("g") % 8))).cast("int").alias("p")))
+
+    def repeated(s):
+        w, a, p = (s.getField(c) for c in "wap")
+        places = F.sequence(F.lit(0), F.size(w) - 1)
+        return F.when(F.size(w) == 0, "").otherwise(F.array_join(F.transform(places, lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p))), " "))
+
+    planted = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    docs = table(spark, folder, "documents")
+    text = F.when(planted, F.get(F.transform(bound, repeated), F.lit(0))).otherwise(F.col("text"))
+    found = with_runs(docs.select("doc_id", text.alias("text"))).withColumn("best", longest_run())
+    length, period = -F.col("best.under"), F.col("best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(runs_text(), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
