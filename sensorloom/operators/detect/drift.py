@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.parsing import no_nan
 from ...session import write_scratch
 from ..ordered import broadcast_small, join_same, with_rank
+from .drift_walk import CHUNK_ITEMS, Rule, walk_series
 
 
 @dataclass
@@ -134,44 +134,28 @@ def adwin(
     grace: int = 10,
     block_rows: int | None = None,
     chunk_rows: int | None = None,
+    chunk_blocks: int | None = None,
 ) -> DataFrame:
     """Add ``drift_detected``: 1 on the row at which the test cuts its window, else 0.
 
     The test is sequential, and looks for a cut every ``clock`` rows. So rows are first
-    summed in blocks of ``block_rows`` by all tasks, and only the blocks of a series
-    are walked in order: by default one clock step each, whatever the size of the table.
+    summed in blocks of ``block_rows`` by all tasks: by default one clock step each, whatever the size of the table.
     A window that would cut between two rows of a block cuts at its border instead;
-    ``block_rows=1`` walks single rows and equals the streaming twin. The walk reads sorted
-    blocks batch by batch and keeps nothing of a series but its window.
+    ``block_rows=1`` walks single rows and equals the streaming twin. The blocks of a series are walked in
+    chunks of ``chunk_blocks`` by all tasks (:mod:`.drift_walk`), with the cuts of one walk from end to end.
     """
     series, order = list(series), list(order)
     if not series:
         flagged = adwin(
             df.withColumn("__one", F.lit(0)), ["__one"], order, column, delta, clock, max_buckets,
-            min_window, grace, block_rows, chunk_rows,
+            min_window, grace, block_rows, chunk_rows, chunk_blocks,
         )
         return flagged.drop("__one")
-    blocks = write_scratch(adwin_blocks(df, series, order, column, block_rows or clock, chunk_rows), "blocks")
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, window = None, None
-        for pdf in batches:
-            hits = []
-            keys = zip(*[pdf[f"__k{i}"] for i in range(len(series))])
-            for key, n, total, m2 in zip(keys, pdf["n"], pdf["total"], pdf["m2"]):
-                if key != current:
-                    current, window = key, AdaptiveWindow(delta, clock, max_buckets, min_window, grace)
-                hits.append(window.add(n, total, m2))
-            yield pdf.loc[hits, [*series, "block"]]
-
-    kinds = dict(blocks.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*series, "block"])
-    # Keys as text, so that a missing one equals itself from row to row.
-    texts = [F.coalesce(F.concat(F.lit("k"), F.col(c).cast("string")), F.lit("")).alias(f"__k{i}") for i, c in enumerate(series)]
-    slim = blocks.select(*series, "block", "n", "total", "m2", *texts)
-    found = slim.repartition(*series).sortWithinPartitions(*series, "block").mapInPandas(walk, schema)
+    rule = Rule(delta, clock, max_buckets, min_window, grace, block_rows or clock)
+    blocks = write_scratch(adwin_blocks(df, series, order, column, rule.block_rows, chunk_rows), "blocks")
+    found, _ = walk_series(blocks.withColumnRenamed("block", "item"), series, rule, chunk_items=chunk_blocks or CHUNK_ITEMS)
     # Back to rows: a drifting block is marked by the key of its last row.
-    ends = join_same(found, blocks.select(*series, "block", "end"), [*series, "block"], "inner")
+    ends = join_same(found.withColumnRenamed("item", "block"), blocks.select(*series, "block", "end"), [*series, "block"], "inner")
     ends = ends.select(*series, "end.*", F.lit(1).alias("__drift"))
     out = join_same(df, broadcast_small(ends), [*series, *order])
     return out.withColumn("drift_detected", F.coalesce("__drift", F.lit(0))).drop("__drift")
