@@ -134,12 +134,91 @@ def ewma_band(spark, d):
     return bands.adaptive_band_flag(smooth, SERIES, ORDER, "ewma").select("event_id", r8("ewma"), "anomaly")
 
 
-@query("adwin")
+def adwin_sql(rows: str, block: int, levels: int = 14) -> str:
+    """The whole test as a recursion over looks and dropped buckets.
+
+    ``rows`` has ``event_id, event_type, data_type, ts, value``. The state of a series is the look it has come to and its number of
+    buckets per level ``c0, c1, ...``; sums of buckets are differences of running sums. A step either drops
+    the oldest bucket, if the window has a cut, or goes to the next look.
+    """
+    every = -(-32 // block)
+    each = range(levels)
+    names = ", ".join(f"c{i}" for i in each)
+    width = " + ".join(f"c{i} * {1 << i}" for i in each)
+    slots = ", ".join(
+        f"{{'ok': c{i} >= {s}, 'p': look - ({' + '.join([f'c{j} * {1 << j}' for j in range(i)] + [str(s << i)])})}}" for i in each for s in range(1, 6)
+    )
+    # A level of more than five buckets sends pairs up: how many, level by level.
+    sent = ["", *[f"(c{i} + x{i})" for i in each]]
+    growing = f"SELECT *, {every} AS x0 FROM judged"
+    for i in each:
+        growing = f"SELECT *, greatest(0, (c{i} + x{i} - 4) // 2) AS x{i + 1} FROM ({growing})"
+    top = "CASE " + " ".join(f"WHEN c{i} > 0 THEN {i}" for i in reversed(each)) + " END"
+    moved = ", ".join(f"CASE WHEN hit THEN c{i} - CASE WHEN top = {i} THEN 1 ELSE 0 END ELSE {sent[i + 1]} - 2 * x{i + 1} END AS c{i}" for i in each)
+    first, start = f"SELECT 0 AS z, {every} AS x0", []
+    for i in each:
+        first = f"SELECT *, greatest(0, (x{i} - 4) // 2) AS x{i + 1} FROM ({first})"
+        start.append(f"x{i} - 2 * x{i + 1} AS c{i}")
+    return f"""WITH RECURSIVE known AS (
+        SELECT event_type, data_type, event_id, value - avg(value) OVER (PARTITION BY event_type, data_type) AS x,
+            row_number() OVER (PARTITION BY event_type, data_type ORDER BY ts, event_id) AS i
+        FROM ({rows}) WHERE value IS NOT NULL AND NOT isnan(value)),
+    items AS (
+        SELECT event_type, data_type, (i - 1) // {block} + 1 AS item, count(*) AS n, sum(x) AS t, sum(x * x) AS q, arg_max(event_id, i) AS last_id
+        FROM known GROUP BY ALL),
+    running AS (
+        SELECT *, sum(n) OVER w AS sn, sum(t) OVER w AS st, sum(q) OVER w AS sq FROM items
+        WINDOW w AS (PARTITION BY event_type, data_type ORDER BY item)),
+    series AS (
+        SELECT event_type, data_type, max(item) AS items, arg_max(n, item) AS last_rows, list_prepend(0, list(CAST(sn AS DOUBLE) ORDER BY item)) AS sn,
+            list_prepend(0, list(st ORDER BY item)) AS st, list_prepend(0, list(sq ORDER BY item)) AS sq
+        FROM running GROUP BY ALL),
+    walk AS (
+        SELECT event_type, data_type, {every} AS look, FALSE AS was_cut, {", ".join(start)} FROM series, ({first}) WHERE items >= {every}
+        UNION ALL
+        SELECT event_type, data_type, CASE WHEN hit THEN look ELSE look + {every} END, hit, {moved}
+        FROM (
+            WITH sized AS (
+                SELECT walk.*, items, sn, st, sq, sn[look + 1] - sn[look + 1 - ({width})] AS n, st[look + 1] - st[look + 1 - ({width})] AS t,
+                    sq[look + 1] - sq[look + 1 - ({width})] AS q, look - ({width}) AS begin, {top} AS top
+                FROM walk JOIN series USING (event_type, data_type)
+                WHERE look < items OR (look = items AND {(every - 1) * block} + last_rows >= 32)),
+            spread AS (SELECT *, greatest(q - t * t / n, 0) / n AS v, ln(2 * ln(greatest(n, 2)) / 0.002) AS s FROM sized),
+            splits AS (
+                SELECT * EXCLUDE (sn, st, sq), list_transform(list_filter([{slots}], lambda x: x.ok AND x.p > begin),
+                    lambda x: {{'n1': sn[look + 1] - sn[x.p + 1], 't1': st[look + 1] - st[x.p + 1]}}) AS parts FROM spread),
+            judged AS (
+                SELECT * EXCLUDE (parts), n > 10 AND len(list_filter(parts, lambda x: x.n1 >= 5 AND n - x.n1 >= 5
+                    AND abs((t - x.t1) / (n - x.n1) - x.t1 / x.n1) > sqrt(2 * (1 / (n - x.n1 - 4) + 1 / (x.n1 - 4)) * v * s)
+                        + 2 / 3 * (1 / (n - x.n1 - 4) + 1 / (x.n1 - 4)) * s)) > 0 AS hit FROM splits)
+            {growing}) WHERE hit OR look < items),
+    cuts AS (SELECT DISTINCT event_type, data_type, look AS item FROM walk WHERE was_cut)
+    SELECT r.event_id, r.event_type, r.data_type, CASE WHEN c.last_id IS NULL THEN 0 ELSE 1 END AS drift_detected
+    FROM ({rows}) r LEFT JOIN (SELECT last_id FROM cuts JOIN items USING (event_type, data_type, item)) c ON r.event_id = c.last_id"""
+
+
+@query("adwin", adwin_sql(SQL_READINGS, 32))
 def adwin(spark, d):
     out = drift.adwin(readings(spark, d), ["event_type", "data_type"], ORDER, "value")
     return out.select("event_id", "event_type", "data_type", "drift_detected")
 
 
+#: Readings whose level changes every nine days.
+SQL_SHIFTED = f"SELECT * REPLACE (value + 60 * ((extract(day FROM ts) // 9) % 3) AS value) FROM ({SQL_READINGS})"
+
+
+def shifted(df):
+    """Readings with the level changes of :data:`SQL_SHIFTED`."""
+    return df.withColumn("value", F.col("value") + 60 * (F.floor(F.dayofmonth("ts") / 9) % 3))
+
+
+@query("adwin_shifts", adwin_sql(SQL_SHIFTED, 32))
+def adwin_shifts(spark, d):
+    """Series with many cuts, cut into chunks that are walked at once."""
+    out = drift.adwin(shifted(readings(spark, d)), ["event_type", "data_type"], ORDER, "value", chunk_blocks=64)
+    return out.select("event_id", "event_type", "data_type", "drift_detected")
+
+
 @query(
     "adwin_blocks",
     f"""WITH r AS (SELECT event_type, data_type, event_id, value,

@@ -19,7 +19,7 @@ from ..streaming import runtime as rt
 from ..streaming import stateful as st
 from ..streaming.clusters import StreamingKMeans
 from ..streaming.detect import knn_batches, ksigma_stream
-from .detectors import _CUSUM, _EWMA, _KNN, BASELINES
+from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, SQL_SHIFTED, adwin_sql, shifted
 from .ingest import MESSAGE, MICROS
 from .profiles import FOUR, _union
 from .registry import ORACLES, query, r4, r6, r8, table
@@ -230,15 +230,25 @@ def stream_cusum(spark, d):
     return out.select("event_id", r6("cusum_pos"), r6("cusum_neg"), "alarm")
 
 
-@query("stream_adwin")
-def stream_adwin(spark, d):
-    """Row-by-row drift test with one window per series and split, over four micro-batches."""
+def _adwin_stream(spark, d, change=lambda df: df, **options):
     split = F.when(F.col("ts") < F.lit(SPLIT_AT).cast("timestamp"), "train").otherwise("test")
-    rows = arriving(spark, d).withColumn("data_type", split)
-    out = over_batches(spark, rows, lambda path: st.adwin_batches(path, ["event_type", "data_type"], ORDER, "value"))
+    rows = change(arriving(spark, d).withColumn("data_type", split))
+    out = over_batches(spark, rows, lambda path: st.adwin_batches(path, ["event_type", "data_type"], ORDER, "value", **options))
     return out.select("event_id", "event_type", "data_type", "drift_detected")
 
 
+@query("stream_adwin", adwin_sql(SQL_READINGS, 1))
+def stream_adwin(spark, d):
+    """Row-by-row drift test with one window per series and split, over four micro-batches."""
+    return _adwin_stream(spark, d)
+
+
+@query("stream_adwin_shifts", adwin_sql(SQL_SHIFTED, 1))
+def stream_adwin_shifts(spark, d):
+    """Series with many cuts; the rows of a micro-batch are walked in chunks from the window before it."""
+    return _adwin_stream(spark, d, shifted, chunk_items=250)
+
+
 @query("stream_ewma_lag1", ORACLES["ewma_lag1"])
 def stream_ewma_lag1(spark, d):
     """Over four micro-batches: the first reading of a batch is blended with the last of the one before."""

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
+_SCOPE: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch_scope", default=None)
+
 
 def build_session(app: str = "sensorloom", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the operators rely on.
@@ -52,7 +57,29 @@ def _scratch_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path of this application below :func:`checkpoint_root`."""
-    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or _scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder, if it is there, in whatever store holds it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """What is written with :func:`scratch_path` inside goes when the block ends.
+
+    For work that repeats without end, such as the micro-batches of a stream. No frame built on
+    scratch tables of the block may be read behind it.
+    """
+    folder = scratch_path(spark, "scope")
+    token = _SCOPE.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPE.reset(token)
+        delete_folder(spark, folder)
 
 
 def clear_scratch(spark: SparkSession) -> None:
@@ -60,8 +87,7 @@ def clear_scratch(spark: SparkSession) -> None:
 
     Call it when no frame built on scratch tables is needed any more.
     """
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, _scratch_folder(spark))
 
 
 def write_scratch(df, name: str):

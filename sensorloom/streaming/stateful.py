@@ -3,7 +3,8 @@
 Two forms. The ``*_batches`` functions are for ``foreachBatch``: each micro-batch goes through the
 batch operator, with one row per series in front that stands for its past, so that a series may
 hold any share of a batch; the states after each batch are a small table stored under its number.
-A repeated batch starts from the states before it and replaces what it wrote.
+A repeated batch starts from the states before it and replaces what it wrote. What a batch writes beside its rows
+and states is deleted when it ends, and of the states the last two stay.
 
 The ``*_stream`` functions keep the state in Spark's state store, for low latency and micro-batches
 that a rate limit keeps small: there the state of a series (one or two numbers, or the buckets of an adaptive window) lives
@@ -15,43 +16,74 @@ limit bounds how many there are. Rows must not arrive out of order across batche
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..functions.parsing import no_nan
 from ..operators.detect.cumulative import cusum, ewma, ewma_lag1
 from ..operators.detect.drift import AdaptiveWindow
-from ..operators.ordered import join_same
-from ..session import write_scratch
+from ..operators.detect.drift_walk import CHUNK_ITEMS, Rule, walk_series
+from ..operators.ordered import broadcast_small, join_same, with_rank
+from ..session import delete_folder, scratch_scope, write_scratch
 from ..sinks.tables import append_batch_to_table
 
-Twin = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+#: States of so many last micro-batches are kept: a repeated batch starts from the one before it.
+KEPT_STATES = 2
 
 
-def _carried(path: str, series: Sequence[str], states: str, twin: Twin) -> Callable[[DataFrame, int], None]:
+class _States:
+    """A small table of states per micro-batch below ``path``."""
+
+    def __init__(self, path: str, schema: str):
+        self.path, self.schema = path, schema
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id - 1}")
+
+    def store(self, after: DataFrame, series: Sequence[str], batch_id: int) -> None:
+        """A series without a state in ``after`` keeps the one it had; older states go."""
+        spark = after.sparkSession
+        kept = join_same(self.before(spark, batch_id), after, series, "left_anti").unionByName(after)
+        kept.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        if batch_id >= KEPT_STATES:
+            delete_folder(spark, f"{self.path}/batch_id={batch_id - KEPT_STATES}")
+
+
+def _carried(
+    path: str,
+    series: Sequence[str],
+    states: str,
+    twin: Callable[[DataFrame], DataFrame],
+    after: Callable[[DataFrame], DataFrame],
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function around ``twin``, which gets a batch with the rows of the past in front
     (``__past`` true, its state in the columns of the DDL ``states``, all else of it NULL but the
-    series) and returns the results and the states afterwards."""
+    series) and returns the results. They are written once; ``after`` takes the states from what was written.
+    What the batch writes beside results and states goes when it ends."""
     write = append_batch_to_table(f"{path}/rows")
     names = [x.split()[0] for x in states.split(", ")]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        schema = ", ".join([*[f"`{c}` {dict(batch.dtypes)[c]}" for c in series], states])
-        before = spark.createDataFrame([], schema)
-        if batch_id > 0:
-            before = spark.read.schema(schema).parquet(f"{path}/states/batch_id={batch_id - 1}")
-        both = batch.withColumn("__past", F.lit(False)).unionByName(before.withColumn("__past", F.lit(True)), allowMissingColumns=True)
-        made, after = twin(write_scratch(both, "batch"))
-        made = write_scratch(made.where("NOT __past").drop("__past", *names), "made")
-        write(made, batch_id)
-        # A series without rows in the batch keeps its state.
-        kept = join_same(before, after, series, "left_anti").unionByName(after)
-        kept.write.mode("overwrite").parquet(f"{path}/states/batch_id={batch_id}")
+        kinds = dict(batch.dtypes)
+        store = _States(f"{path}/states", ", ".join([*[f"`{c}` {kinds[c]}" for c in series], states]))
+        with scratch_scope(spark):
+            batch.persist()
+            try:
+                past = store.before(spark, batch_id).withColumn("__past", F.lit(True))
+                made = twin(batch.withColumn("__past", F.lit(False)).unionByName(past, allowMissingColumns=True))
+                made = made.where("NOT __past").drop("__past", *names)
+                write(made, batch_id)
+            finally:
+                batch.unpersist()
+            store.store(after(spark.read.schema(made.schema).parquet(f"{path}/rows/batch_id={batch_id}")), series, batch_id)
 
     return run
 
@@ -60,26 +92,29 @@ def ewma_batches(path: str, series: Sequence[str], order: Sequence[str], column:
     """Recursive exponential average whose state goes on over micro-batches; rows go to ``path/rows``."""
     series, order = list(series), list(order)
 
-    def twin(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def twin(both: DataFrame) -> DataFrame:
         # The past counts as the first reading; its order key is missing and so comes first.
-        out = ewma(both.withColumn("__reading", F.when(F.col("__past"), F.col("__e")).otherwise(F.col(column))), series, order, "__reading", alpha, name)
-        out = write_scratch(out, "ewma")
-        last = out.where(F.col(name).isNotNull()).groupBy(*series).agg(F.max_by(name, F.struct(*order)).alias("__e"))
-        return out.drop("__reading"), last
+        rows = both.withColumn("__reading", F.when(F.col("__past"), F.col("__e")).otherwise(F.col(column)))
+        return ewma(rows, series, order, "__reading", alpha, name).drop("__reading")
 
-    return _carried(path, series, "__e double", twin)
+    def after(out: DataFrame) -> DataFrame:
+        return out.where(F.col(name).isNotNull()).groupBy(*series).agg(F.max_by(name, F.struct(*order)).alias("__e"))
+
+    return _carried(path, series, "__e double", twin, after)
 
 
 def ewma_lag1_batches(path: str, series: Sequence[str], order: Sequence[str], column: str, alpha: float = 0.2, name: str = "ewma"):
     """Each reading blended with the one before it, which may lie in an earlier micro-batch; rows go to ``path/rows``."""
     series, order = list(series), list(order)
 
-    def twin(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def twin(both: DataFrame) -> DataFrame:
         rows = both.withColumn("__reading", F.when(F.col("__past"), F.col("__b")).otherwise(F.col(column)))
-        out = write_scratch(ewma_lag1(rows, series, order, "__reading", alpha, name), "ewma")
-        return out.drop("__reading"), out.groupBy(*series).agg(F.max_by("__reading", F.struct(*order)).alias("__b"))
+        return ewma_lag1(rows, series, order, "__reading", alpha, name).drop("__reading")
+
+    def after(out: DataFrame) -> DataFrame:
+        return out.groupBy(*series).agg(F.max_by(F.col(column).cast("double"), F.struct(*order)).alias("__b"))
 
-    return _carried(path, series, "__b double", twin)
+    return _carried(path, series, "__b double", twin, after)
 
 
 def cusum_batches(
@@ -88,64 +123,60 @@ def cusum_batches(
     """Two-sided CUSUM whose two sums go on over micro-batches; rows go to ``path/rows``."""
     series, order = list(series), list(order)
 
-    def twin(both: DataFrame) -> tuple[DataFrame, DataFrame]:
-        out = write_scratch(cusum(both, series, order, column, mean, sd, k, h, start=("__up0", "__down0")), "cusum")
+    def twin(both: DataFrame) -> DataFrame:
+        return cusum(both, series, order, column, mean, sd, k, h, start=("__up0", "__down0"))
+
+    def after(out: DataFrame) -> DataFrame:
         sums = F.max_by(F.struct("cusum_pos", "cusum_neg"), F.struct(*order)).alias("__s")
         last = out.where("cusum_pos IS NOT NULL").groupBy(*series).agg(sums)
-        return out, last.select(*series, F.col("__s.cusum_pos").alias("__up0"), F.col("__s.cusum_neg").alias("__down0"))
+        return last.select(*series, F.col("__s.cusum_pos").alias("__up0"), F.col("__s.cusum_neg").alias("__down0"))
 
-    return _carried(path, series, "__up0 double, __down0 double", twin)
+    return _carried(path, series, "__up0 double, __down0 double", twin, after)
 
 
-def adwin_batches(path: str, series: Sequence[str], order: Sequence[str], column: str, **options):
+def adwin_batches(
+    path: str,
+    series: Sequence[str],
+    order: Sequence[str],
+    column: str,
+    delta: float = 0.002,
+    clock: int = 32,
+    max_buckets: int = 5,
+    min_window: int = 5,
+    grace: int = 10,
+    chunk_rows: int | None = None,
+    chunk_items: int = CHUNK_ITEMS,
+):
     """Adaptive windowing row by row over micro-batches; rows go to ``path/rows``.
 
-    A series' rows are walked in order from Arrow batch to Arrow batch; only its window is kept.
+    The rows of a series are numbered, and walked in chunks by all tasks from the window that the batch before left
+    (:mod:`..operators.detect.drift_walk`). Rows come back by that number, so that order columns need only be unique inside a
+    series; rows without a reading stay and are no drift, rows with missing order keys come first.
     """
     series, order = list(series), list(order)
+    rule = Rule(delta, clock, max_buckets, min_window, grace)
+    write = append_batch_to_table(f"{path}/rows")
+    keys = series or ["__one"]
 
-    def twin(both: DataFrame) -> tuple[DataFrame, DataFrame]:
-        kinds = dict(both.dtypes)
-        texts = [F.coalesce(F.concat(F.lit("k"), F.col(c).cast("string")), F.lit("")) for c in series]
-        rows = both.select(F.to_json(F.struct(*[t.alias(f"k{i}") for i, t in enumerate(texts)])).alias("__key"), *series, *order, F.col(column).cast("double").alias("__x"), "__past", "__w")
-
-        def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            current, window, last = None, None, None
-            for pdf in batches:
-                hits, out = [], []
-                for at, (key, x, past, state) in enumerate(zip(pdf["__key"], pdf["__x"], pdf["__past"], pdf["__w"])):
-                    if key != current:
-                        if last is not None:
-                            out.append(last.assign(__w=_window_text(window)))
-                        current, window = key, AdaptiveWindow(**options)
-                    if past:
-                        _window_from(window, state)
-                    hits.append(0 if past or np.isnan(x) else int(window.add(1, float(x))))
-                    last = pdf.iloc[[at]].assign(__past=True, drift_detected=0)
-                yield pdf.assign(drift_detected=hits, __w=None)[~pdf["__past"].astype(bool)][columns]
-                if out:
-                    yield pd.concat(out)[columns]
-            if last is not None:
-                yield last.assign(__w=_window_text(window))[columns]
-
-        columns = [*series, *order, "__past", "drift_detected", "__w"]
-        schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in [*series, *order]], "__past boolean, drift_detected int, __w string"])
-        walked = rows.repartition("__key").sortWithinPartitions("__key", F.col("__past").desc(), *order).mapInPandas(walk, schema)
-        walked = write_scratch(walked, "walked")
-        flags = walked.where("NOT __past").drop("__past", "__w", *series)
-        made = both.where("NOT __past").join(flags, order)
-        return made, walked.where("__past").select(*series, "__w")
-
-    return _carried(path, series, "__w string", twin)
-
-
-def _window_text(window: AdaptiveWindow) -> str:
-    return json.dumps({"rows": window.rows, "seen": window.seen, "wait": window.since_check})
-
-
-def _window_from(window: AdaptiveWindow, text: str) -> None:
-    state = json.loads(text)
-    window.rows, window.seen, window.since_check = state["rows"], state["seen"], state["wait"]
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch if series else batch.withColumn("__one", F.lit(0))
+        kinds = dict(rows.dtypes)
+        store = _States(f"{path}/states", ", ".join([*[f"`{c}` {kinds[c]}" for c in keys], "counts array<int>, buckets array<double>, wait int"]))
+        with scratch_scope(spark):
+            rows = write_scratch(rows, "batch").withColumn("__x", no_nan(column))
+            numbered = with_rank(rows.where("__x IS NOT NULL"), keys, order, "__rank", chunk_rows)
+            numbered = write_scratch(numbered.unionByName(rows.where("__x IS NULL"), allowMissingColumns=True), "numbered")
+            items = numbered.where("__rank IS NOT NULL").select(
+                *keys, (F.col("__rank") - 1).alias("item"), F.lit(1.0).alias("n"), F.col("__x").alias("total"), F.lit(0.0).alias("m2")
+            )
+            found, after = walk_series(items, keys, rule, store.before(spark, batch_id), chunk_items)
+            hits = broadcast_small(found.select(*keys, (F.col("item") + 1).alias("__rank"), F.lit(1).alias("__hit")))
+            made = join_same(numbered, hits, [*keys, "__rank"]).withColumn("drift_detected", F.coalesce("__hit", F.lit(0)))
+            write(made.drop("__x", "__rank", "__hit", "__one"), batch_id)
+            store.store(after, keys, batch_id)
+
+    return run
 
 
 def keyed_scan(

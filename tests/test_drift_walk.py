@@ -91,7 +91,7 @@ def flagged(df):
     return {k: sorted(v) for k, v in got.items()}
 
 
-@pytest.mark.parametrize("chunk", [None, 100, 700])
+@pytest.mark.parametrize("chunk", [None, 300])
 def test_same_flags_in_chunks(spark, ten_series, chunk):
     """Ten seeds: the flags of one task, whether a series is one chunk or a hundred that are walked at once."""
     rows, want = ten_series

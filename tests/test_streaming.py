@@ -75,6 +75,66 @@ def test_adwin(spark, skewed, replays, n):
     assert table(read_batches(spark, out, s.schema), "id", "drift_detected") == table(want, "id", "drift_detected")
 
 
+def feed(spark, run, batches, schema):
+    """What a function for ``foreachBatch`` does with these rows, batch after batch."""
+    for k, rows in enumerate(batches):
+        run(spark.createDataFrame(rows, schema), k)
+
+
+def test_adwin_batches_keep_rows_apart(spark):
+    """Two series with the same times, NULL keys of order and of series, rows without a reading, a series missing from a batch."""
+    path = scratch_path(spark, "adwin")
+    schema = "series string, t long, x double"
+    five = [("a", t, float(t)) for t in range(5)] + [("b", t, float(t)) for t in range(5)]
+    odd = [(None, 1, 1.0), (None, None, 2.0), ("b", 7, None), ("b", 8, float("nan"))]
+    feed(spark, st.adwin_batches(path, S, ["t"], "x"), [five, odd, [("a", 9, 1.0)]], schema)
+    got = spark.read.parquet(f"{path}/rows/batch_id=*")
+    assert got.columns == ["series", "t", "x", "drift_detected"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, got.drop("drift_detected").collect())) == sorted(map(key, [*five, *odd, ("a", 9, 1.0)]))
+
+
+@pytest.mark.parametrize("n", [4])
+def test_adwin_batches_are_one_walk(spark, skewed, replays, n):
+    path = scratch_path(spark, "adwin")
+    rt.drain(rt.start(stream(spark, skewed, replays[n]), scratch_path(spark, "ck"), st.adwin_batches(path, S, O, "x", chunk_items=90)), 600)
+    want = drift.adwin(skewed, S, O, "x", block_rows=1)
+    got = spark.read.parquet(f"{path}/rows/batch_id=*")
+    assert table(got, "id", "drift_detected") == table(want, "id", "drift_detected")
+    assert got.where("drift_detected = 1").count() > 0
+
+
+def test_streams_leave_bounded_scratch(spark, skewed, tmp_path, monkeypatch):
+    """Whatever a micro-batch writes for itself goes; of the states the last two stay."""
+    import sensorloom.session as session
+
+    monkeypatch.setattr(session, "_scratch_folder", lambda _: str(tmp_path / "scratch"))
+    runs = {
+        "ewma": st.ewma_batches(str(tmp_path / "ewma"), S, O, "x"),
+        "lag1": st.ewma_lag1_batches(str(tmp_path / "lag1"), S, O, "x"),
+        "cusum": st.cusum_batches(str(tmp_path / "cusum"), S, O, "x", 10, 3),
+        "adwin": st.adwin_batches(str(tmp_path / "adwin"), S, O, "x", chunk_items=20),
+    }
+    rows = skewed.orderBy("ts", "id").limit(80).collect()
+    for name, run in runs.items():
+        feed(spark, run, [rows[k : k + 20] for k in range(0, 80, 20)], skewed.schema)
+        states = sorted(p.name for p in (tmp_path / name / "states").glob("batch_id=*"))
+        assert states == ["batch_id=2", "batch_id=3"], name
+        assert len(list((tmp_path / name / "rows").glob("batch_id=*"))) == 4
+        assert not list((tmp_path / "scratch").glob("*")), name
+
+
+def test_a_repeated_batch_replaces_itself(spark, skewed):
+    path = scratch_path(spark, "ewma")
+    run = st.ewma_batches(path, S, O, "x")
+    rows = skewed.orderBy("ts", "id").collect()
+    parts = [rows[:300], rows[300:600], rows[600:]]
+    for k in (0, 1, 1, 2, 2):
+        run(spark.createDataFrame(parts[k], skewed.schema), k)
+    got = spark.read.parquet(f"{path}/rows/batch_id=*")
+    assert table(got, "id", F.round("ewma", 9)) == table(cumulative.ewma(skewed, S, O, "x"), "id", F.round("ewma", 9))
+
+
 def test_restart_goes_on_with_the_state(spark, skewed):
     """Half the files, stop, the other half with the same checkpoint: as if never stopped."""
     folder, out, ck = (scratch_path(spark, x) for x in ("in", "out", "ck"))
