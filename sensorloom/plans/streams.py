@@ -15,6 +15,7 @@ from ..sinks.tables import (
 from ..sources.tables import stream_batches, stream_files
 from ..functions.parsing import parse_message
 from ..functions.timefn import parse_ts, time_text
+from ..streaming import keyed
 from ..streaming import runtime as rt
 from ..streaming import stateful as st
 from ..streaming.clusters import StreamingKMeans
@@ -149,16 +150,20 @@ def replay_in_batches(spark, d):
     return collected(a.row_count(replay, ["data_type"]), "complete")
 
 
-#: Events arrive in quarters of their order; one in ten comes a quarter late.
-_ARRIVALS = """SELECT *, least((row_number() OVER (ORDER BY ts, event_id) - 1) // (SELECT greatest(count(*) // 4, 1) FROM events), 3)
+def _arrivals(batches):
+    """Events arrive in equal parts of their order; one in ten comes a part late."""
+    return f"""SELECT *, least((row_number() OVER (ORDER BY ts, event_id) - 1) // (SELECT greatest(count(*) // {batches}, 1) FROM events), {batches - 1})
     + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS batch_no FROM events"""
 
 
-def arriving(spark, d, late=False):
-    """Events staged as at least four ordered files, read as a stream of one file at a time."""
+_ARRIVALS = _arrivals(4)
+
+
+def arriving(spark, d, late=False, batches=4):
+    """Events staged as at least so many ordered files, read as a stream of one file at a time."""
     events = table(spark, d, "events")
-    size = max(events.count() // 4, 1)
-    rows = assign_batches(events, ORDER, size).withColumn("batch_no", F.least("batch_no", F.lit(3)))
+    size = max(events.count() // batches, 1)
+    rows = assign_batches(events, ORDER, size).withColumn("batch_no", F.least("batch_no", F.lit(batches - 1)))
     if late:
         rows = rows.withColumn("batch_no", F.col("batch_no") + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0))
     folder = scratch_path(spark, "arriving")
@@ -193,6 +198,80 @@ def stream_progress(spark, d):
     return rt.progress_table(spark, run).where("n_rows > 0")
 
 
+@query(
+    "stream_batch_metrics",
+    f"""SELECT batch_no AS batch, count(*) AS n_rows, CAST(sum(count(*)) OVER (ORDER BY batch_no) AS BIGINT) AS sent,
+        count(*) FILTER (event_type = 'error') AS errors, max(event_id) AS last_id FROM ({_arrivals(160)}) GROUP BY batch_no""",
+)
+def stream_batch_metrics(spark, d):
+    """Rows and observed metrics of each of more than 150 micro-batches, as a listener hears of them."""
+    rows = arriving(spark, d, True, 160).observe("seen", F.count_if(F.col("event_type") == "error").alias("errors"), F.max("event_id").alias("last_id"))
+    with rt.BatchLog(spark, scratch_path(spark, "batch_log"), flush=50) as log:
+        run = rt.drain(rt.start(rows, scratch_path(spark, "checkpoint"), fmt="noop"))
+        seen = log.table(run).where("n_rows > 0")
+    metric = F.from_json("metrics", "seen struct<errors: long, last_id: long>").getField("seen")
+    return seen.select("batch", "n_rows", "sent", metric.getField("errors").alias("errors"), metric.getField("last_id").alias("last_id"))
+
+
+@query(
+    "stream_dropped_rows",
+    f"""WITH r AS ({_ARRIVALS}), b AS (SELECT batch_no, max(ts) AS newest, count(*) AS n FROM r GROUP BY batch_no),
+    u AS (SELECT batch_no, n, max(newest) OVER (ORDER BY batch_no ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS before FROM b)
+    SELECT batch_no AS batch, any_value(n) AS n_rows,
+        count(*) FILTER (ts <= date_trunc('milliseconds', before) - INTERVAL 6 HOUR) AS dropped FROM r JOIN u USING (batch_no) GROUP BY batch_no""",
+)
+def stream_dropped_rows(spark, d):
+    """How many rows of each micro-batch come behind the watermark, by the state store's own count.
+
+    Rows are held against the watermark that the batch before began with.
+    """
+    rows = arriving(spark, d, True).withColumn("ts", F.col("ts").cast("timestamp"))
+    with rt.BatchLog(spark) as log:
+        out = keyed.every_nth_per_key(rows, ["event_type"], ORDER, 10, "6 hours")
+        run = rt.drain(rt.start(out, scratch_path(spark, "checkpoint"), fmt="noop"))
+        return log.table(run).where("n_rows > 0").select("batch", "n_rows", "dropped")
+
+
+#: Rows that the watermark has passed at the end, eight days behind the newest.
+_PASSED = """date_trunc('milliseconds', ts) <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 8 DAY FROM events)"""
+
+
+@query(
+    "stream_first_per_class",
+    """SELECT event_id, event_type, nth FROM (
+        SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nth FROM events) WHERE nth <= 10""",
+)
+def stream_first_per_class(spark, d):
+    """The first ten events of each type; the stream stops as soon as all types have them."""
+    path, rows = scratch_path(spark, "firsts"), arriving(spark, d)
+    wanted = table(spark, d, "events").select("event_type").distinct()
+    short = keyed.take_per_key(rows, SERIES, ORDER, 10, wanted, path, scratch_path(spark, "checkpoint"))
+    if short:
+        raise RuntimeError(f"{short} types have fewer rows")
+    return read_batches(spark, path).select("event_id", "event_type", "nth")
+
+
+@query(
+    "stream_every_nth",
+    f"""SELECT event_id, event_type, nth FROM (
+        SELECT event_id, event_type, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nth FROM events)
+        WHERE nth % 10 = 0 AND {_PASSED}""",
+)
+def stream_every_nth(spark, d):
+    """Every tenth event of each type in order of time, although one event in ten comes a quarter late."""
+    rows = arriving(spark, d, True).withColumn("ts", F.col("ts").cast("timestamp"))
+    return collected(keyed.every_nth_per_key(rows, SERIES, ORDER, 10, "8 days")).select("event_id", "event_type", "nth")
+
+
+@query("stream_adwin_late", adwin_sql(f"SELECT * FROM ({SQL_SHIFTED}) WHERE {_PASSED}", 1))
+def stream_adwin_late(spark, d):
+    """The row-by-row drift test with its buckets in the state store, over events of which one in ten comes a quarter late."""
+    rows = arriving(spark, d, True).withColumn("ts", F.col("ts").cast("timestamp"))
+    split = F.when(F.col("ts") < F.lit(SPLIT_AT).cast("timestamp"), "train").otherwise("test")
+    out = keyed.adwin_per_key(shifted(rows.withColumn("data_type", split)), ["event_type", "data_type"], ORDER, "value", "8 days")
+    return collected(out).select("event_id", "event_type", "data_type", "drift_detected")
+
+
 @query(
     "stream_late_rows",
     f"""WITH r AS ({_ARRIVALS}), b AS (SELECT batch_no, max(ts) AS newest FROM r GROUP BY batch_no),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -129,8 +131,83 @@ def split_late(
     return start(df, checkpoint, write, every=every)
 
 
+_BATCH = "batch long, n_rows long, sent long, dropped long, seconds double, watermark string, metrics string"
+
+
+class BatchLog(StreamingQueryListener):
+    """Every finished micro-batch of every query, however many there are.
+
+    A query itself remembers only its last hundred reports; this listener gets each one when its batch ends. ``path`` takes them as
+    small JSON files of ``flush`` batches each, so that a query may run for months; without it they stay in memory.
+    Use as a context: ``with BatchLog(spark) as log: ...; log.table(query)``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, flush: int = 1000):
+        self.spark, self.path, self.flush = spark, path, flush
+        self._lock = threading.Lock()
+        self._rows: dict[str, list[tuple]] = {}
+        self._sent: dict[str, int] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def __enter__(self) -> BatchLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.streams.removeListener(self)
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        run = str(p.runId)
+        dropped = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        metrics = {name: row.asDict() for name, row in p.observedMetrics.items()}
+        with self._lock:
+            sent = self._sent[run] = self._sent.get(run, 0) + p.numInputRows
+            watermark = dict(p.eventTime).get("watermark")
+            rows = self._rows.setdefault(run, [])
+            rows.append((p.batchId, p.numInputRows, sent, dropped, p.batchDuration / 1000, watermark, json.dumps(metrics, default=str)))
+            full = rows[: self.flush] if self.path and len(rows) >= self.flush else []
+            del rows[: len(full)]
+        if full:
+            self.spark.createDataFrame(full, _BATCH).coalesce(1).write.mode("append").json(f"{self.path}/run={run}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def table(self, query: StreamingQuery, timeout: float = 60) -> DataFrame:
+        """A row per micro-batch of the query, the ended ones if it still runs: its number, its rows and the rows so far, the rows that a
+        stateful operator dropped because the watermark had passed them, its duration, the watermark it began with, and the
+        metrics of ``DataFrame.observe`` as JSON.
+
+        Aggregations count a dropped row per task and group, as they add up first; all others count rows.
+        """
+        run = str(query.runId)
+        # Reports come from a queue: that of the end is behind those of all batches.
+        if not query.isActive and not self._end(run).wait(timeout):
+            raise TimeoutError("the reports of the query did not arrive in time")
+        with self._lock:
+            rows = list(self._rows.get(run, []))
+        out = self.spark.createDataFrame(rows, _BATCH)
+        if self.path and self._sent.get(run) and len(rows) < (rows[-1][0] + 1 if rows else 1):
+            out = out.unionByName(self.spark.read.schema(_BATCH).json(f"{self.path}/run={run}"))
+        return out
+
+
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Batch number, rows of the batch and rows so far, from the query's recent progress."""
+    """Batch number, rows of the batch and rows so far, from what the query remembers: its last hundred reports.
+
+    :class:`BatchLog` has them all.
+    """
     rows, sent = [], 0
     for p in query.recentProgress:
         sent += p["numInputRows"]
