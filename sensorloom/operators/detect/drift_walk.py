@@ -277,7 +277,7 @@ def _sums_at(chunks: DataFrame, wanted: dict[int, set[int]], shifts: dict[int, f
 
     rows = chunks.select("id", "n", "total", "m2").join(asked, "id")
     found = rows.mapInArrow(task, "id long, places array<int>, sums array<double>")
-    return {(r.id, p): np.array(r.sums[3 * i : 3 * i + 3]) for r in found.toLocalIterator() for i, p in enumerate(r.places)}
+    return {(r.id, p): np.array(r.sums[3 * i : 3 * i + 3]) for r in found.collect() for i, p in enumerate(r.places)}
 
 
 def _state_rows(spark, chunks: DataFrame, todo: list[tuple[_Series, int, Counts]], rule: Rule) -> DataFrame:
@@ -344,7 +344,7 @@ def walk_series(
             done.append(walked)
             used = {s.ids[k]: counts for s, k, counts in part}
             if not in_order:
-                for r in walked.select("id", "counts", F.size("cuts").alias("cuts")).toLocalIterator():
+                for r in walked.select("id", "counts", F.size("cuts").alias("cuts")).collect():
                     s, k = every[r.id]
                     s.used[k], s.left[k], s.cut[k] = used[r.id], tuple(r.counts), r.cuts > 0
         if in_order:
@@ -408,7 +408,7 @@ def _long_series(known: DataFrame, walked: DataFrame) -> list[_Series]:
     first = walked.select("id", F.col("counts").alias("left"), F.size("cuts").alias("cuts"))
     rows = rows.select("key", "chunk", "id", F.size("n").alias("items"), "rows", "sum", spread.alias("spread"), "counts0", "buckets0", "wait0").join(first, "id", "left")
     found: dict[str, list] = {}
-    for r in rows.toLocalIterator():
+    for r in rows.collect():
         found.setdefault(r.key, []).append(r)
     out = []
     for rows in found.values():

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import time_text
 from ..operators.detect import bands, clusters, cumulative, drift, forest, neighbours
+from ..operators.detect.nearest import knn_score_whole
 from ..session import scratch_path
 from .registry import query, r4, r6, r8, table
 from .timeseries import SMALL
@@ -239,6 +240,22 @@ _KNN = """WITH r AS (SELECT {id} AS id, {v} AS v, (row_number() OVER (ORDER BY {
     SELECT id AS {id}, block, round(mean / max(mean) OVER (PARTITION BY block), 6) AS knn_score FROM m"""
 
 
+#: Neighbours among all rows of a group, however many; equal rows count each.
+KNN_WHOLE = """WITH r AS (SELECT event_id, {v} AS v, {group} AS g FROM ({src})),
+    p AS (SELECT a.event_id, a.g, list_distance(a.v, b.v) AS dist,
+            row_number() OVER (PARTITION BY a.event_id ORDER BY list_distance(a.v, b.v)) AS rn
+        FROM r a JOIN r b ON a.g = b.g AND a.event_id <> b.event_id),
+    m AS (SELECT event_id, g, avg(dist) AS mean FROM p WHERE rn <= 5 GROUP BY 1, 2)
+    SELECT event_id, round(mean / max(mean) OVER (PARTITION BY g), 6) AS knn_score FROM r LEFT JOIN m USING (event_id, g)"""
+
+
+@query("knn_score_by_day", KNN_WHOLE.format(src=SQL_READINGS, v="[value, CAST(user_id AS DOUBLE), CAST(k AS DOUBLE)]", group="date_trunc('day', ts)"))
+def knn_by_day(spark, d):
+    """Each event against all of its day, in cells of a few hundred points."""
+    rows = readings(spark, d).select("event_id", F.date_trunc("day", "ts").alias("day"), "value", "user_id", "k")
+    return knn_score_whole(rows, ["day"], ["value", "user_id", "k"], cell_points=200).select("event_id", r6("knn_score"))
+
+
 @query(
     "knn_score",
     _KNN.format(

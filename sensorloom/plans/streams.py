@@ -20,7 +20,7 @@ from ..streaming import runtime as rt
 from ..streaming import stateful as st
 from ..streaming.clusters import StreamingKMeans
 from ..streaming.detect import knn_batches, ksigma_stream
-from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, SQL_SHIFTED, adwin_sql, shifted
+from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, KNN_WHOLE, SQL_SHIFTED, adwin_sql, shifted
 from .ingest import MESSAGE, MICROS
 from .profiles import FOUR, _union
 from .registry import ORACLES, query, r4, r6, r8, table
@@ -389,3 +389,12 @@ def stream_knn(spark, d):
     rows = event_stream(spark, d).select("event_id", "ts", "value", "user_id")
     rt.drain(rt.start(rows, scratch_path(spark, "checkpoint"), knn_batches(out, ORDER, ["value", "user_id"])))
     return spark.read.parquet(f"{out}/batch_id=*").select("event_id", r6("knn_score"))
+
+
+@query("stream_knn_whole", KNN_WHOLE.format(src=_ARRIVALS, v="[value, CAST(user_id AS DOUBLE)]", group="batch_no"))
+def stream_knn_whole(spark, d):
+    """Neighbour scores of each of five micro-batches, every row against all of its batch."""
+    out = scratch_path(spark, "knn")
+    rows = arriving(spark, d, True).select("event_id", "ts", "value", "user_id")
+    rt.drain(rt.start(rows, scratch_path(spark, "checkpoint"), knn_batches(out, ORDER, ["value", "user_id"], block_rows=None)))
+    return spark.read.parquet(f"{out}/batch_id=*").select("event_id", r6("knn_score"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from ..operators.detect.bands import ksigma_fit, ksigma_flag
+from ..operators.detect.nearest import knn_score_whole
 from ..operators.detect.neighbours import knn_score
+from ..session import scratch_scope
 from ..sinks.tables import append_batch_to_table
 
 
@@ -19,18 +21,23 @@ def ksigma_stream(
     return ksigma_flag(stream, column, (stats.mean, stats.std), k)
 
 
-def knn_batches(path: str, order: list[str], columns: list[str], k: int = 5, block_rows: int = 500):
+def knn_batches(path: str, order: list[str], columns: list[str], k: int = 5, block_rows: int | None = 500):
     """``foreachBatch`` function: score each micro-batch against itself and store it.
 
-    A batch above ``block_rows`` is scored in blocks of that many consecutive rows.
+    A batch above ``block_rows`` is scored in blocks of that many consecutive rows. With ``block_rows=None`` every row is held against
+    the whole micro-batch, whatever its size (:mod:`..operators.detect.nearest`).
     """
     write = append_batch_to_table(path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            write(knn_score(batch, order, columns, k, block_rows).drop("block"), batch_id)
-        finally:
-            batch.unpersist()
+        with scratch_scope(batch.sparkSession):
+            if block_rows is None:
+                write(knn_score_whole(batch, [], columns, k), batch_id)
+                return
+            batch.persist()
+            try:
+                write(knn_score(batch, order, columns, k, block_rows).drop("block"), batch_id)
+            finally:
+                batch.unpersist()
 
     return run
