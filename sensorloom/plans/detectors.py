@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.timefn import time_text
 from ..operators.detect import bands, clusters, cumulative, drift, forest, neighbours
 from ..operators.detect.nearest import knn_score_whole
+from ..operators.detect.online_clusters import online_kmeans
 from ..session import scratch_path
 from .registry import query, r4, r6, r8, table
 from .timeseries import SMALL
@@ -382,3 +383,42 @@ def iforest(spark, d):
     model.save(path)
     out = forest.iforest_score(test, forest.IsolationForest.load(spark, path))
     return out.select("event_id", time_text("ts").alias("time"), r6("anomaly_score"), "anomaly")
+
+
+#: First centres of value and user, and the way a centre goes to a row.
+CENTRES = [[10.0, 100.0], [60.0, 400.0], [150.0, 800.0]]
+
+
+def _online_sql(last: str) -> str:
+    """Centres that move row by row over the train rows, as a recursion; ``last`` selects from ``folds`` and ``readings``."""
+    three = range(len(CENTRES))
+    far = lambda j, v, u: f"(({v} - v{j}) * ({v} - v{j}) + ({u} - u{j}) * ({u} - u{j}))"
+    near = lambda v, u: f"CASE WHEN {far(0, v, u)} <= {far(1, v, u)} AND {far(0, v, u)} <= {far(2, v, u)} THEN 0 WHEN {far(1, v, u)} <= {far(2, v, u)} THEN 1 ELSE 2 END"
+    start = ", ".join(f"CAST({v} AS DOUBLE) AS v{j}, CAST({u} AS DOUBLE) AS u{j}" for j, (v, u) in enumerate(CENTRES))
+    move = ", ".join(f"CASE WHEN best = {j} THEN {c}{j} + 0.5 * ({x} - {c}{j}) ELSE {c}{j} END" for j in three for c, x in (("v", "x"), ("u", "y")))
+    names = ", ".join(f"{c}{j}" for j in three for c in "vu")
+    return f"""WITH RECURSIVE readings AS (SELECT event_id, ts, data_type, value, CAST(user_id AS DOUBLE) AS user FROM ({SQL_READINGS})),
+    train AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS i FROM readings WHERE data_type = 'train'),
+    listed AS (SELECT list(value ORDER BY i) AS vs, list(user ORDER BY i) AS us FROM train),
+    folds AS (
+        SELECT 0 AS i, -1 AS best, {start}
+        UNION ALL
+        SELECT i, best, {move} FROM (SELECT i + 1 AS i, x, y, {near("x", "y")} AS best, {names} FROM (
+            SELECT folds.*, vs[i + 1] AS x, us[i + 1] AS y FROM folds, listed WHERE i < len(vs)))),
+    final AS (SELECT {names} FROM folds ORDER BY i DESC LIMIT 1),
+    labelled AS (SELECT event_id, {near("value", "user")} AS cluster FROM readings, final WHERE data_type = 'test')
+    {last}"""
+
+
+@query(
+    "kmeans_online",
+    _online_sql("""SELECT event_id, 'train' AS data_type, CAST(best AS INTEGER) AS cluster FROM train JOIN folds USING (i)
+    UNION ALL SELECT event_id, 'test', CAST(cluster AS INTEGER) FROM labelled"""),
+)
+def kmeans_online(spark, d):
+    """Train rows with the centre that each moved, test rows with the nearest of the last centres; folded in small chunks."""
+    rows = readings(spark, d).select("event_id", "ts", "data_type", "value", "user_id")
+    train, test = (rows.where(F.col("data_type") == kind) for kind in ("train", "test"))
+    moved, centres = online_kmeans(train, ORDER, ["value", "user_id"], CENTRES, chunk_rows=SMALL)
+    labelled = clusters.nearest_centroid(test, ["value", "user_id"], centres)
+    return moved.select("event_id", "data_type", "cluster").union(labelled.select("event_id", "data_type", "cluster"))

@@ -18,9 +18,9 @@ from ..functions.timefn import parse_ts, time_text
 from ..streaming import keyed
 from ..streaming import runtime as rt
 from ..streaming import stateful as st
-from ..streaming.clusters import StreamingKMeans
+from ..streaming.clusters import OnlineKMeans, StreamingKMeans
 from ..streaming.detect import knn_batches, ksigma_stream
-from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, KNN_WHOLE, SQL_SHIFTED, adwin_sql, shifted
+from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, CENTRES, KNN_WHOLE, SQL_SHIFTED, _online_sql, adwin_sql, shifted
 from .ingest import MESSAGE, MICROS
 from .profiles import FOUR, _union
 from .registry import ORACLES, query, r4, r6, r8, table
@@ -398,3 +398,15 @@ def stream_knn_whole(spark, d):
     rows = arriving(spark, d, True).select("event_id", "ts", "value", "user_id")
     rt.drain(rt.start(rows, scratch_path(spark, "checkpoint"), knn_batches(out, ORDER, ["value", "user_id"], block_rows=None)))
     return spark.read.parquet(f"{out}/batch_id=*").select("event_id", r6("knn_score"))
+
+
+@query("stream_kmeans_online", _online_sql("SELECT event_id, 'test' AS data_type, CAST(cluster AS INTEGER) AS cluster FROM labelled"))
+def stream_kmeans_online(spark, d):
+    """Centres that move with every train row over four micro-batches label the test rows."""
+    split = F.when(F.col("ts") < F.lit(SPLIT_AT).cast("timestamp"), "train").otherwise("test")
+    train, test = split_by_type(arriving(spark, d).withColumn("data_type", split))
+    model = OnlineKMeans(scratch_path(spark, "centres"), ["value", "user_id"], order=ORDER, start=CENTRES)
+    out = scratch_path(spark, "labelled")
+    rt.drain(rt.start(train, scratch_path(spark, "checkpoint"), model.train_batches(f"{out}/train")))
+    rt.drain(rt.start(test, scratch_path(spark, "checkpoint"), model.test_batches(f"{out}/test")))
+    return spark.read.parquet(f"{out}/test/batch_id=*").select("event_id", "data_type", "cluster")

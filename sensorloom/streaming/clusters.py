@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.detect.clusters import nearest_centroid
+from ..operators.detect.online_clusters import online_kmeans
+from ..session import scratch_scope
 from ..sinks.tables import append_batch_to_table
 
 _MODEL = "cluster int, weight double, centre array<double>"
@@ -20,7 +22,7 @@ class StreamingKMeans:
 
     The update is the batch rule of Spark's own streaming k-means: with the old weight
     n decayed by 0.5 ** (1 / halflife) and a batch's rows m, the new centre is
-    (n·c + sum of rows) / (n + m). A row-at-a-time update gives other numbers.
+    (n·c + sum of rows) / (n + m). :class:`OnlineKMeans` moves centres row by row.
     """
 
     model_path: str
@@ -74,10 +76,13 @@ class StreamingKMeans:
                 centre = [(kept * c + s) / (kept + m) for c, s in zip(centre, found[i].s)]
                 kept += m
             new.append((kept, centre))
-        rows = [(i, float(w), [float(v) for v in c]) for i, (w, c) in enumerate(new)]
+        self._store(spark, new, batch_id)
+        return new
+
+    def _store(self, spark: SparkSession, model: list[tuple[float, list[float]]], batch_id: int) -> None:
+        rows = [(i, float(w), [float(v) for v in c]) for i, (w, c) in enumerate(model)]
         frame = spark.createDataFrame(rows, _MODEL).coalesce(1)
         frame.write.mode("overwrite").parquet(f"{self.model_path}/batch_id={batch_id}")
-        return new
 
     def label(self, df: DataFrame, centres: list[tuple[float, list[float]]] | None = None) -> DataFrame:
         """Cluster of each row by the given or the newest stored centres; NULL before training."""
@@ -103,3 +108,31 @@ class StreamingKMeans:
         """``foreachBatch`` function: label and store rows with the last stored centres."""
         write = append_batch_to_table(output)
         return lambda batch, batch_id: write(self.label(batch), batch_id)
+
+
+@dataclass
+class OnlineKMeans(StreamingKMeans):
+    """Centres that move with every row of a train batch, in order, ``halflife`` of the way to it.
+
+    A batch is folded in chunks by all tasks (:mod:`..operators.detect.online_clusters`) from the centres that the batch before left, so
+    that the numbers are those of one row after the other, however the rows fall into batches. ``order`` must identify a row;
+    ``start`` are the first centres, else the first different rows are. A centre's weight is the number of its rows.
+    """
+
+    order: Sequence[str] = ()
+    start: Sequence[Sequence[float]] | None = None
+    chunk_rows: int | None = None
+
+    def learn(self, batch: DataFrame, batch_id: int) -> list[tuple[float, list[float]]]:
+        spark = batch.sparkSession
+        old = self.centres(spark, before=batch_id)
+        first = [c for _, c in old] if old else self.start
+        with scratch_scope(spark):
+            rows, new = online_kmeans(batch, self.order, self.columns, first, self.k, self.halflife, "__moved", self.chunk_rows)
+            counts = {r["__moved"]: r["count"] for r in rows.where("__moved IS NOT NULL").groupBy("__moved").count().collect()}
+        if not new:
+            return []
+        before = [w for w, _ in old] or [0.0] * len(new)
+        model = [(w + counts.get(i, 0), c) for i, (w, c) in enumerate(zip(before, new))]
+        self._store(spark, model, batch_id)
+        return model
