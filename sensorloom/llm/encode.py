@@ -54,17 +54,20 @@ def encoder(path: str) -> Callable[[str], bytes]:
         return b"".join(t.id.to_bytes(4, "little") for t in found)
 
     # Which words the model may see alone is tried once, on words of both forms.
-    def plain(space: str, word: str, signs: str) -> bytes:
-        ids = piece(word.lower()) if folded else piece(space + word)
-        if signs and (more := behind.get(signs)) is None:
-            more = piece(signs)
+    def signed(signs: str) -> bytes:
+        if (ids := behind.get(signs)) is None:
+            ids = piece(signs)
             if len(behind) < 10_000:
-                behind[signs] = more
-        return ids + more if signs else ids
+                behind[signs] = ids
+        return ids
 
-    behind: dict[str, bytes] = {}
+    def plain(space: str, word: str) -> bytes:
+        return piece(word if folded else space + word)
 
-    direct = all(plain(s, w, g) == whole(s + w + g) for s in ("", " ") for w, g in (("Élan", ""), ("the", "###"), ("Straße", ".,")))
+    behind: dict[str, bytes] = {"": b""}
+
+    fold = str.lower if folded else str
+    direct = all(plain(s, fold(w)) + signed(g) == whole(s + w + g) for s in ("", " ") for w, g in (("Élan", ""), ("the", "###"), ("Straße", ".,")))
 
     class Memory(dict):
         def __init__(self, space: str):
@@ -72,7 +75,9 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
         def __missing__(self, word: str) -> bytes:
             if direct and (m := _PLAIN.fullmatch(word)):
-                ids = plain(self.space, m[1], m[2])
+                # A word with signs or capitals is its letters, which are remembered, too.
+                letters_of = fold(m[1])
+                ids = plain(self.space, letters_of) if letters_of == word else self[letters_of] + signed(m[2])
             elif m := _TWO_LINES.fullmatch(word):
                 return self[m[1]] + newline + first[m[2]]
             else:
