@@ -12,10 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ...session import write_scratch
 from ..quality import drop_incomplete
 
 _EULER = 0.5772156649015329  # fixed value: Euler–Mascheroni constant
@@ -91,8 +90,8 @@ def iforest_fit(
     """Grow ``trees`` trees on ``sample_rows`` rows each.
 
     Rows are sampled by a hash of their id, so a retried task draws the same rows. A
-    pool of up to trees x sample_rows rows is a top-k over the table, and every tree draws
-    its rows from the pool by a hash of its own.
+    pool of up to trees x sample_rows rows is a top-k over the table; it goes to all tasks, and every tree draws
+    its rows from it by a seed of its own.
     ``contamination`` sets the score threshold to that upper quantile of the train scores.
     """
     columns = list(columns)
@@ -101,24 +100,23 @@ def iforest_fit(
     rows = whole.select(F.col(id_column).alias("__id"), *features)
     draw = F.xxhash64(F.lit(seed), F.col("__id"))
     wanted = trees * sample_rows
-    pool = write_scratch(rows.orderBy(draw, "__id").limit(wanted), "forest")
-    every = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    ticket = F.xxhash64(F.lit(seed), F.col("tree"), F.col("__id"))
-    order = Window.partitionBy("tree").orderBy(ticket, "__id")
-    sample = every.withColumn("__rn", F.row_number().over(order)).where(F.col("__rn") <= sample_rows)
+    pool = rows.orderBy(draw, "__id").limit(wanted).drop("__id").toArrow()
+    points = np.stack([pool.column(c).to_numpy() for c in rows.columns[1:]], axis=1) if pool.num_rows else np.zeros((0, len(columns)))
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(points)
     limit = math.ceil(math.log2(max(sample_rows, 2)))
-    names = [f"f{i}" for i in range(len(columns))]
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
-        pdf = pdf.sort_values("__rn")
-        nodes = _grow(pdf[names].to_numpy(), np.random.default_rng([seed, tree]), limit)
-        out = pd.DataFrame(nodes, columns=["node", "feature", "split", "left", "right", "size", "depth"])
-        return out.assign(tree=tree)[["tree", "node", "feature", "split", "left", "right", "size", "depth"]]
 
-    grown = sample.select("tree", "__rn", *names).groupBy("tree").applyInPandas(build, NODE_SCHEMA)
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for tree in pdf["id"].tolist():
+                rng = np.random.default_rng([seed, tree])
+                drawn = rng.permutation(len(shared.value))[:sample_rows]
+                nodes = _grow(shared.value[drawn], rng, limit) if len(drawn) else []
+                out = pd.DataFrame(nodes, columns=["node", "feature", "split", "left", "right", "size", "depth"])
+                yield out.assign(tree=tree)[["tree", "node", "feature", "split", "left", "right", "size", "depth"]]
+
+    grown = spark.range(0, trees, 1, min(trees, spark.sparkContext.defaultParallelism)).mapInPandas(build, NODE_SCHEMA)
     # The model is small by construction; fixing it here keeps later scores the same.
-    spark = df.sparkSession
     model = grown.toPandas()
     used = int(model.loc[model["node"] == 0, "size"].max()) if len(model) else 0
     forest = IsolationForest(spark.createDataFrame(model, NODE_SCHEMA), columns, used)

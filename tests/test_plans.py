@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 
-PYTHON = re.compile(r"(ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF)")
+PYTHON = re.compile(r"(ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|FlatMapGroupsInArrow|FlatMapCoGroups|MapInPandas|MapInArrow|PythonMap|PythonUDF)")
 EXPRESSION_ONLY = [
     "tumbling_mean_by_split", "tumbling_features", "describe_numeric", "pairwise_corr", "histogram",
     "rolling_band_flag", "cusum_two_sided", "cusum_two_sided_chunked", "ewma_recursive", "gap_fill", "thin_series",
