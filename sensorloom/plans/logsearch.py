@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..functions.logtext import level_rank, normalise_level
 from ..functions.timefn import auto_interval, bucket_start, dashboard_range, time_text
 from ..operators import logs as lg
+from ..operators import templates as tm
 from ..operators.quality import table_query
 from .registry import query, r4, r6, table
-from .views import SQL_LOGS, logs
+from .views import SQL_LOGS, logs, readings
 
 _HOUR = "strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bucket"
 _DAY = "strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS bucket"
@@ -261,3 +262,58 @@ def changepoints(spark, d):
 )
 def outliers(spark, d):
     return lg.outlier_series(_daily(spark, d), "event_type", "bucket", "n_rows")
+
+
+#: Lines whose words vary: a host's name has no digit that a mask would find.
+SQL_HOSTS = """
+SELECT event_id, CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 49 = 0 THEN '' ELSE
+    event_type || ' from ' || chr(97 + CAST(user_id % 23 AS INTEGER)) || chr(97 + CAST(user_id // 23 % 19 AS INTEGER)) || '.example took ' || regexp_extract(props, '"k": *([0-9]+)', 1)
+    || 'ms and was ' || CASE WHEN value > 100 THEN 'slow' ELSE 'fine' END
+    || CASE WHEN event_id % 3 = 0 THEN ' at gate ' || chr(97 + CAST(user_id % 5 AS INTEGER)) ELSE '' END END AS line FROM events"""
+
+
+def host_lines(spark, d):
+    """Events as the lines of :data:`SQL_HOSTS`."""
+    e = readings(spark, d)
+    letter = lambda n, of: F.expr(f"char(97 + pmod({n}, {of}))")
+    text = F.concat(
+        "event_type", F.lit(" from "), letter("user_id", 23), letter("user_id div 23", 19), F.lit(".example took "), F.col("k").cast("string"),
+        F.lit("ms and was "), F.when(F.col("value") > 100, "slow").otherwise("fine"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" at gate "), letter("user_id", 5))).otherwise(""),
+    )
+    line = F.when(F.col("event_id") % 50 == 0, None).when(F.col("event_id") % 49 == 0, "").otherwise(text)
+    return e.select("event_id", line.alias("line"))
+
+
+def _templates_sql(last: str, depth: int = 3) -> str:
+    """The token tree, level by level; ``last`` selects from ``made`` (masked, template, n_lines)."""
+    steps = [f"""lines AS (SELECT regexp_replace(line, '[0-9]+', '<_>', 'g') AS masked, count(*) AS n_lines FROM ({SQL_HOSTS}) WHERE line IS NOT NULL GROUP BY 1),
+    l0 AS (SELECT *, string_split_regex(masked, '[ ]+') AS t, CAST(len(string_split_regex(masked, '[ ]+')) AS VARCHAR) AS node FROM lines)"""]
+    for i in range(depth):
+        steps.append(f"""c{i} AS (SELECT node, t[{i + 1}] AS token, sum(n_lines) AS n FROM l{i} WHERE len(t) > {i} GROUP BY 1, 2),
+    k{i} AS (SELECT node, token FROM (SELECT *, sum(n) OVER w AS s, count(*) OVER w AS kinds FROM c{i} WINDOW w AS (PARTITION BY node)) WHERE kinds <= 20 OR n >= 0.05 * s),
+    l{i + 1} AS (SELECT masked, n_lines, t, CASE WHEN len(t) <= {i} THEN l.node ELSE l.node || chr(10) || CASE WHEN k.token IS NULL THEN '<_>' ELSE k.token END END AS node
+        FROM l{i} l LEFT JOIN k{i} k ON l.node = k.node AND l.t[{i + 1}] = k.token)""")
+    return f"""WITH {", ".join(steps)},
+    p AS (SELECT masked, node, n_lines, unnest(t) AS token, unnest(range(len(t))) AS place FROM l{depth}),
+    c AS (SELECT node, place, token, sum(n_lines) AS n FROM p WHERE place >= {depth} GROUP BY ALL),
+    k AS (SELECT node, place, token FROM (SELECT *, sum(n) OVER w AS s, count(*) OVER w AS kinds FROM c WINDOW w AS (PARTITION BY node, place)) WHERE kinds <= 20 OR n >= 0.05 * s),
+    made AS (
+        SELECT masked, any_value(n_lines) AS n_lines, string_agg(CASE WHEN place < {depth} THEN string_split(node, chr(10))[place + 2]
+            WHEN k.token IS NULL THEN '<_>' ELSE k.token END, ' ' ORDER BY place) AS template
+        FROM p LEFT JOIN k USING (node, place, token) GROUP BY masked)
+    {last}"""
+
+
+@query("mined_templates", _templates_sql("SELECT template, CAST(sum(n_lines) AS BIGINT) AS n_lines, count(*) AS n_forms, min(masked) AS example FROM made GROUP BY template"))
+def mined_templates(spark, d):
+    """Templates of lines in which words vary, not only numbers."""
+    return tm.mined_templates(host_lines(spark, d))
+
+
+@query(
+    "lines_with_template",
+    _templates_sql(f"SELECT event_id, template FROM ({SQL_HOSTS}) LEFT JOIN made ON masked = regexp_replace(line, '[0-9]+', '<_>', 'g')"),
+)
+def lines_with_template(spark, d):
+    return tm.with_template(host_lines(spark, d)).select("event_id", "template")
