@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.logtext import (
     HOLE, field_number, field_type, message_template, normalise_level, template_regex,
@@ -177,6 +178,76 @@ def detected_fields(df: DataFrame, line: str = "line", exact: bool = False) -> D
     )
 
 
+#: Paths of JSON lines whose numbers are taken in one pass.
+PATHS_AT_ONCE = 100
+
+
+def _leaves(kind: T.DataType, path: str = "$") -> list[tuple[str, str]]:
+    """``(path, type)`` of all that is no object, as ``variant_get`` reads paths."""
+    if isinstance(kind, T.StructType):
+        out = []
+        for f in kind.fields:
+            quote = '"' if "'" in f.name else "'"
+            step = f".{f.name}" if re.fullmatch(r"[A-Za-z_]\w*", f.name) else f"[{quote}{f.name}{quote}]"
+            out += _leaves(f.dataType, path + step)
+        return out
+    if isinstance(kind, T.ArrayType):
+        inner = "object" if isinstance(kind.elementType, T.StructType) else _leaves(kind.elementType)[0][1]
+        return [(path, f"array<{inner}>")]
+    names = {"void": "null", "variant": "mixed"}
+    text = kind.simpleString()
+    return [(path, "decimal" if text.startswith("decimal") else names.get(text, text))]
+
+
+def json_schema(df: DataFrame, line: str = "line") -> T.StructType | None:
+    """The type that all JSON objects among the lines share, nested objects included, in one pass; None if there are none.
+
+    Types are merged in every partition first. A field of several types is a variant, one that is always null void.
+    """
+    v = F.try_parse_json(line)
+    found = df.where(F.ltrim(F.col(line)).startswith("{")).where(v.isNotNull()).agg(F.schema_of_variant_agg(v)).first()[0]
+    if not found or not found.startswith("OBJECT<"):
+        return None
+    # Outside quoted names an object is a struct.
+    return T.DataType.fromDDL(re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found))
+
+
+def typed_fields(df: DataFrame, line: str = "line", exact: bool = False) -> DataFrame:
+    """Every path of the JSON lines, however deep: its type, the lines that have a value there, and how many different values.
+
+    ``path`` is as ``variant_get`` takes it. Types are those of all lines together; ``mixed`` where they differ, ``decimal`` for any number
+    with a fraction, ``null`` where no line has a value; an array is one path. Different values are estimated, or
+    counted with ``exact``. Lines that are no JSON object have no paths, nor have names with both kinds of quotes values.
+    """
+    spark = df.sparkSession
+    schema = json_schema(df, line)
+    paths = _leaves(schema) if schema is not None else []
+    count = F.count_distinct if exact else F.approx_count_distinct
+    v = df.where(F.ltrim(F.col(line)).startswith("{")).select(F.try_parse_json(line).alias("v")).where("v IS NOT NULL")
+    out = spark.createDataFrame([], "path string, field_type string, n_lines long, cardinality long")
+    for at in range(0, len(paths), PATHS_AT_ONCE):
+        part = [(i, p, kind) for i, (p, kind) in enumerate(paths[at : at + PATHS_AT_ONCE])]
+        read = {i: F.lit(None).cast("string") if "'" in p and '"' in p else F.try_variant_get("v", p, "string") for i, p, _ in part}
+        values = v.select(*[c.alias(f"p{i}") for i, c in read.items()])
+        row = values.agg(*[f(f"p{i}").alias(f"{name}{i}") for i in read for name, f in (("n", F.count), ("c", count))])
+        each = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(kind).alias("field_type"), F.col(f"n{i}").alias("n_lines"), F.col(f"c{i}").alias("cardinality")) for i, p, kind in part])
+        out = out.unionByName(row.select(F.explode(each).alias("e")).select("e.*"))
+    return out
+
+
+def with_typed_fields(df: DataFrame, paths: Mapping[str, str], line: str = "line") -> DataFrame:
+    """Add columns: ``paths`` maps a column's name to ``(path, type)`` text such as ``$.user.id bigint``; a line is parsed once.
+
+    NULL where a line is no JSON, lacks the path, or has another type there.
+    """
+    found = df.withColumn("__v", F.try_parse_json(line))
+    made = {}
+    for name, text in paths.items():
+        path, _, kind = text.rpartition(" ")
+        made[name] = F.try_variant_get("__v", path, kind)
+    return found.withColumns(made).drop("__v")
+
+
 def field_presence(
     df: DataFrame, field: str, fields: str = "fields", sample_rows: int | None = None
 ) -> DataFrame:

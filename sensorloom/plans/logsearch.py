@@ -317,3 +317,52 @@ def mined_templates(spark, d):
 )
 def lines_with_template(spark, d):
     return tm.with_template(host_lines(spark, d)).select("event_id", "template")
+
+
+#: Nested JSON lines of several shapes; views of them are text.
+SQL_NESTED = """
+SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 'plain text ' || event_id ELSE
+    '{"user": {"id": ' || user_id || ', "shard": {"n": ' || (user_id % 4) || ', "a b": "s' || (user_id % 3) || '"}}, "kind": "' || event_type || '", "big": ' || (value > 100)
+    || CASE WHEN event_id % 3 = 0 THEN ', "code": ' || (event_id % 7) ELSE ', "code": "c' || (event_id % 5) || '"' END
+    || CASE WHEN event_id % 4 = 0 THEN ', "tags": ["' || event_type || '"], "none": null' ELSE '' END || '}' END AS line FROM events"""
+
+
+def nested_lines(spark, d):
+    """Events as the lines of :data:`SQL_NESTED`."""
+    e = table(spark, d, "events")
+    text = lambda c: F.expr(f"CAST({c} AS STRING)")
+    line = F.concat(
+        F.lit('{"user": {"id": '), text("user_id"), F.lit(', "shard": {"n": '), text("user_id % 4"), F.lit(', "a b": "s'), text("user_id % 3"),
+        F.lit('"}}, "kind": "'), "event_type", F.lit('", "big": '), text("value > 100"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(', "code": '), text("event_id % 7"))).otherwise(F.concat(F.lit(', "code": "c'), text("event_id % 5"), F.lit('"'))),
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit(', "tags": ["'), "event_type", F.lit('"], "none": null'))).otherwise(""), F.lit("}"),
+    )
+    plain = F.concat(F.lit("plain text "), text("event_id"))
+    return e.select("event_id", F.when(F.col("event_id") % 11 == 0, plain).otherwise(line).alias("line"))
+
+
+@query(
+    "typed_fields",
+    """WITH e AS (SELECT *, event_id % 3 = 0 AS t, event_id % 4 = 0 AS f FROM events WHERE event_id % 11 <> 0)
+    SELECT '$.user.id' AS path, 'bigint' AS field_type, count(*) AS n_lines, count(DISTINCT user_id) AS cardinality FROM e
+    UNION ALL SELECT '$.user.shard.n', 'bigint', count(*), count(DISTINCT user_id % 4) FROM e
+    UNION ALL SELECT '$.user.shard[''a b'']', 'string', count(*), count(DISTINCT user_id % 3) FROM e
+    UNION ALL SELECT '$.kind', 'string', count(*), count(DISTINCT event_type) FROM e
+    UNION ALL SELECT '$.big', 'boolean', count(*), count(DISTINCT value > 100) FROM e
+    UNION ALL SELECT '$.code', 'mixed', count(*), count(DISTINCT CASE WHEN t THEN CAST(event_id % 7 AS VARCHAR) ELSE 'c' || (event_id % 5) END) FROM e
+    UNION ALL SELECT '$.tags', 'array<string>', count(*), count(DISTINCT event_type) FROM e WHERE f
+    UNION ALL SELECT '$.none', 'null', 0, 0""",
+)
+def typed_fields(spark, d):
+    """Paths, types and cardinalities of nested JSON lines."""
+    return lg.typed_fields(nested_lines(spark, d), exact=True)
+
+
+@query(
+    "extract_typed_fields",
+    """SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, CASE WHEN event_id % 11 <> 0 THEN 's' || (user_id % 3) END AS shard,
+        CASE WHEN event_id % 11 <> 0 AND event_id % 3 = 0 THEN event_id % 7 END AS code, CASE WHEN event_id % 11 <> 0 AND event_id % 4 = 0 THEN event_type END AS tag FROM events""",
+)
+def extract_typed_fields(spark, d):
+    paths = {"user_id": "$.user.id bigint", "shard": "$.user.shard['a b'] string", "code": "$.code bigint", "tag": "$.tags[0] string"}
+    return lg.with_typed_fields(nested_lines(spark, d), paths).drop("line")

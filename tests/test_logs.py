@@ -147,3 +147,26 @@ def test_presence(spark):
 def test_volume_by_keeps_every_label(spark):
     df = spark.range(6000).select(F.col("id").cast("string").alias("label"), F.lit("x").alias("line"))
     assert lg.volume_by(df, "label").count() == 6000 and lg.volume_by(df, "label", limit=5).count() == 5
+
+
+def test_typed_fields_of_odd_lines(spark):
+    """Odd names, nested arrays, numbers of several types, text that is no JSON; no JSON at all; many paths."""
+    lines = [
+        '{"user": {"id": 1, "o.dd": 1}, "ok": true, "x": 1.5, "tags": ["a", "b"], "code": 1, "OBJECT": 1}',
+        ' {"user": {"id": 2}, "code": "z", "n": null, "x": 2}',
+        "bad", "[1, 2]", '{"broken": ', None, "", "{}",
+        '{"a b": {"c`d": [{"e": 1}], "it\'s": "q", "OBJECT<x": 3}}',
+    ]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    for exact in (True, False):
+        got = {r.path: (r.field_type, r.n_lines, r.cardinality) for r in lg.typed_fields(df, exact=exact).collect()}
+        assert got == {
+            "$.user.id": ("bigint", 2, 2), "$.user['o.dd']": ("bigint", 1, 1), "$.ok": ("boolean", 1, 1), "$.x": ("decimal", 2, 2),
+            "$.tags": ("array<string>", 1, 1), "$.code": ("mixed", 2, 2), "$.n": ("null", 0, 0), "$.OBJECT": ("bigint", 1, 1),
+            "$['a b']['c`d']": ("array<object>", 1, 1), "$['a b'][\"it's\"]": ("string", 1, 1), "$['a b']['OBJECT<x']": ("bigint", 1, 1),
+        }
+    for none in (df.where("line IS NULL"), df.where("line = 'bad'"), df.where("false")):
+        assert lg.typed_fields(none).count() == 0
+    wide = spark.createDataFrame([("{" + ", ".join(f'"k{i}": {i}' for i in range(250)) + "}",)] * 3, "line string")
+    got = lg.typed_fields(wide).collect()
+    assert len(got) == 250 and {(r.field_type, r.n_lines, r.cardinality) for r in got} == {("bigint", 3, 1)}
