@@ -182,21 +182,21 @@ def detected_fields(df: DataFrame, line: str = "line", exact: bool = False) -> D
 PATHS_AT_ONCE = 100
 
 
-def _leaves(kind: T.DataType, path: str = "$") -> list[tuple[str, str]]:
-    """``(path, type)`` of all that is no object, as ``variant_get`` reads paths."""
+def _leaves(kind: T.DataType, path: str = "$", readable: bool = True) -> list[tuple[str, str, bool]]:
+    """``(path, type, whether variant_get can read the path)`` of all that is no object."""
     if isinstance(kind, T.StructType):
         out = []
         for f in kind.fields:
             quote = '"' if "'" in f.name else "'"
             step = f".{f.name}" if re.fullmatch(r"[A-Za-z_]\w*", f.name) else f"[{quote}{f.name}{quote}]"
-            out += _leaves(f.dataType, path + step)
+            out += _leaves(f.dataType, path + step, readable and quote not in f.name)
         return out
     if isinstance(kind, T.ArrayType):
         inner = "object" if isinstance(kind.elementType, T.StructType) else _leaves(kind.elementType)[0][1]
-        return [(path, f"array<{inner}>")]
+        return [(path, f"array<{inner}>", readable)]
     names = {"void": "null", "variant": "mixed"}
     text = kind.simpleString()
-    return [(path, "decimal" if text.startswith("decimal") else names.get(text, text))]
+    return [(path, "decimal" if text.startswith("decimal") else names.get(text, text), readable)]
 
 
 def json_schema(df: DataFrame, line: str = "line") -> T.StructType | None:
@@ -226,11 +226,11 @@ def typed_fields(df: DataFrame, line: str = "line", exact: bool = False) -> Data
     v = df.where(F.ltrim(F.col(line)).startswith("{")).select(F.try_parse_json(line).alias("v")).where("v IS NOT NULL")
     out = spark.createDataFrame([], "path string, field_type string, n_lines long, cardinality long")
     for at in range(0, len(paths), PATHS_AT_ONCE):
-        part = [(i, p, kind) for i, (p, kind) in enumerate(paths[at : at + PATHS_AT_ONCE])]
-        read = {i: F.lit(None).cast("string") if "'" in p and '"' in p else F.try_variant_get("v", p, "string") for i, p, _ in part}
+        part = [(i, *leaf) for i, leaf in enumerate(paths[at : at + PATHS_AT_ONCE])]
+        read = {i: F.try_variant_get("v", p, "string") if readable else F.lit(None).cast("string") for i, p, _, readable in part}
         values = v.select(*[c.alias(f"p{i}") for i, c in read.items()])
         row = values.agg(*[f(f"p{i}").alias(f"{name}{i}") for i in read for name, f in (("n", F.count), ("c", count))])
-        each = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(kind).alias("field_type"), F.col(f"n{i}").alias("n_lines"), F.col(f"c{i}").alias("cardinality")) for i, p, kind in part])
+        each = F.array(*[F.struct(F.lit(p).alias("path"), F.lit(kind).alias("field_type"), F.col(f"n{i}").alias("n_lines"), F.col(f"c{i}").alias("cardinality")) for i, p, kind, _ in part])
         out = out.unionByName(row.select(F.explode(each).alias("e")).select("e.*"))
     return out
 
