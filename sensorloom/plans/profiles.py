@@ -8,11 +8,12 @@ from ..functions.parsing import parse_message
 from ..functions.timefn import parse_ts
 from ..operators import aggregate as a
 from ..operators import evaluate as ev
+from ..operators import gram
 from ..operators import profile as p
 from ..operators.quality import drop_blank_or_zero
 from .ingest import MESSAGE, MICROS, messages
 from .registry import query, r4, r6, table
-from .views import SPLIT_AT, SQL_READINGS, SQL_SCORED, readings, scored
+from .views import SPLIT_AT, SQL_READINGS, SQL_SCORED, readings, scored, vectors
 
 FOUR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -243,3 +244,17 @@ def accuracy(spark, d):
 )
 def label_accuracy(spark, d):
     return ev.accuracy(table(spark, d, "labels"), "quality", "toxic").select(r6("accuracy"))
+
+
+@query(
+    "corr_pairs_wide",
+    """WITH v AS (SELECT vec_id, unnest(range(len(embedding))) AS i, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
+    w AS (SELECT * FROM v WHERE (vec_id + i) % 17 <> 0)
+    SELECT 'x' || a.i AS column_a, 'x' || b.i AS column_b, count(*) AS n, round(corr(a.x, b.x), 6) AS r
+    FROM w a JOIN w b USING (vec_id) WHERE a.i <> b.i GROUP BY 1, 2""",
+)
+def corr_pairs_wide(spark, d):
+    """Every pair of 64 columns with gaps, by matrix products."""
+    v, names = vectors(spark, d)
+    gaps = [F.when((F.col("vec_id") + i) % 17 != 0, F.col(c)).alias(c) for i, c in enumerate(names)]
+    return gram.corr_pairs(v.select(*gaps), names).select("column_a", "column_b", "n", r6("r"))
