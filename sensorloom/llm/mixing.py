@@ -6,24 +6,26 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sensorloom.llm.common import key_of, ranked, side
 from sensorloom.llm.host_rules import BLANKS
+from sensorloom.operators.ordered import join_same
 from sensorloom.session import write_scratch
 
-#: Budgets up to this many words are filled by dynamic programming; more is first filled by
-#: taking the same share of every length, then the longest documents that fit.
+#: Budgets up to this many words are filled by dynamic programming alone; so many words of a larger one are
+#: kept for it, and the rest is filled by taking the same share of every length, then the longest documents that fit.
 EXACT_WORDS = 1 << 15
 
 
 def fill(lengths: Sequence[int], counts: Sequence[int], budget: int) -> np.ndarray:
     """How many documents of each length to take so that their words come to ``budget`` or little less.
 
-    Three steps: the same share of every length, rounded down; the longest lengths that still fit,
-    until ``EXACT_WORDS`` or less is open; a bounded knapsack over the rest, exact for what is open.
-    Work depends on the number of lengths, not of documents.
+    Three steps: of what is over ``EXACT_WORDS`` the same share of every length, rounded down; the longest lengths
+    that still fit, until ``EXACT_WORDS`` or less is open; a bounded knapsack over the rest, exact for what is open. So
+    a budget of up to ``EXACT_WORDS`` is filled as well as can be. Work depends on the number of lengths, not of documents.
     """
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     take = np.zeros(len(lengths), np.int64)
@@ -32,7 +34,7 @@ def fill(lengths: Sequence[int], counts: Sequence[int], budget: int) -> np.ndarr
         return counts.copy()
     if budget <= 0:
         return take
-    take[:] = [int(c) * budget // total for c in counts]
+    take[:] = [int(c) * max(0, budget - EXACT_WORDS) // total for c in counts]
     left = budget - sum(int(a) * int(b) for a, b in zip(lengths, take, strict=True))
     for at in np.argsort(-lengths, kind="stable"):
         if left <= EXACT_WORDS:
@@ -102,18 +104,30 @@ def mix(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0,
     seed: int = 0, text: str = "text", source: str = "source", doc_id: str = "doc_id",
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies and taken (words).
+    """One row per row of ``docs``: doc_id, size, source_size, target, copies and taken (words).
 
     A source's documents are taken whole as often as its target allows; what is left of the
     target is filled with one more copy of some: documents are counted by length, the counts
     fitted to the budget by :func:`fill`, and of each length those first in a seeded order taken.
     No source or length is gathered: a document's place within its length is its place in one
-    global order less the place where the length begins. Rows of one doc_id are one document
-    (their longest text); null text has no words and is never taken.
+    global order less the place where the length begins. Rows that repeat an id, or have none, are documents of
+    their own; null text has no words and is never taken.
     """
-    words = F.size(F.array_remove(F.split(F.translate(F.coalesce(F.col(text), F.lit("")), BLANKS, " " * len(BLANKS)), " "), ""))
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), words.cast("long").alias("size"))
-    slim = slim.groupBy("doc_id").agg(F.max(F.struct("size", "source")).alias("x")).select("doc_id", "x.size", "x.source")
+    found = _placed_copies(docs, weights, share, most, seed, text, source, doc_id)
+    return found.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _size(text: str) -> Column:
+    """Words of a text."""
+    plain = F.translate(F.coalesce(F.col(text), F.lit("")), BLANKS, " " * len(BLANKS))
+    return F.size(F.array_remove(F.split(plain, " "), "")).cast("long")
+
+
+def _placed_copies(
+    docs: DataFrame, weights: Sequence[float], share: float, most: float, seed: int, text: str, source: str, doc_id: str
+) -> DataFrame:
+    """The rows of :func:`mix` with the keys of their source."""
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), _size(text).alias("size"))
     slim = slim.select("doc_id", "size", *key_of("source"), F.xxhash64(F.lit(seed), "doc_id").alias("__luck"))
     keys = ["source__null", "source__text"]
     placed = write_scratch(ranked(slim, [*keys, "size", "__luck", "doc_id"], "__place", "by_length"), "placed")
@@ -135,15 +149,34 @@ def mix(
     plan = write_scratch(plan, "plan")
     copies = F.when(F.col("size") > 0, F.col("passes") + (F.col("__place") - F.col("first") < F.col("take")).cast("long")).otherwise(0)
     found = placed.join(side(plan, 200_000), [*keys, "size"]).withColumn("copies", copies.cast("long"))
-    return found.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return found.select("doc_id", "size", "source_size", "target", "copies", *keys)
+
 
+def mixed(
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0,
+    seed: int = 0, text: str = "text", source: str = "source", doc_id: str = "doc_id",
+) -> DataFrame:
+    """The rows of ``docs`` as often as :func:`mix` takes them, with the columns of ``docs``.
 
-def mixed(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` as often as :func:`mix` takes them, with the columns of ``docs``."""
+    Rows meet their copies by id. Only rows whose id repeats with other copies, or is missing, meet them by
+    source, size and their number among equals.
+    """
     names = docs.columns
     inner = docs.toDF(*[f"k{i}" for i in range(len(names))])
-    key = {o: f"k{names.index(options.pop(o, o))}" for o in ("text", "source")} | {"doc_id": f"k{names.index(doc_id)}"}
-    taken = mix(inner, **key, **options).where("copies > 0").select(F.col("doc_id").alias("__id"), "copies")
-    rows = inner.join(taken, F.col(key["doc_id"]).eqNullSafe(F.col("__id")))
+    id, of, words = (f"k{names.index(c)}" for c in (doc_id, source, text))
+    found = _placed_copies(inner, weights, share, most, seed, words, of, id)
+    found = write_scratch(found.withColumnRenamed("doc_id", "__id").drop("target", "source_size"), "copies")
+    by_id = found.groupBy("__id").agg(F.min("copies").alias("copies"), F.max("copies").alias("__most"))
+    taken = by_id.where("copies = __most AND copies > 0").drop("__most")
+    rows = inner.join(taken, F.col(id).eqNullSafe(F.col("__id"))).drop("__id")
+    odd = write_scratch(by_id.where("copies <> __most").select("__id"), "odd_ids")
+    if odd.limit(1).count():
+        same = ["__id", "source__null", "source__text", "size"]
+        nth = lambda by: F.row_number().over(Window.partitionBy(*same).orderBy(*by)).alias("__nth")
+        some = inner.join(odd, F.col(id).eqNullSafe(F.col("__id"))).withColumn("source", F.col(of))
+        some = some.select(*inner.columns, "__id", *key_of("source"), _size(words).alias("size"))
+        some = some.select("*", nth([F.xxhash64(words), words]))
+        copies = join_same(found, odd, ["__id"], "left_semi").select("*", nth([F.desc("copies")])).where("copies > 0")
+        rows = rows.unionByName(join_same(some, copies, [*same, "__nth"], "inner").select(*inner.columns, "copies"))
     rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return rows.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(names)])

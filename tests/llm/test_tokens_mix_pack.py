@@ -74,16 +74,23 @@ def test_fill_is_exact(counts, budget):
     sums = {0}
     for x, c in counts.items():
         sums = {s + k * x for s in sums for k in range(c + 1)}
-    if budget >= total:
-        assert got == total
-    else:
-        # The share that every length gives first is fixed; the rest is filled best.
-        fixed = [c * budget // total for c in n]
-        rest = {0}
-        for x, c, f in zip(lengths, n, fixed, strict=True):
-            rest = {s + k * x for s in rest for k in range(c - f + 1)}
-        begun = int(np.dot(fixed, lengths))
-        assert got == begun + max(s for s in rest if begun + s <= budget)
+    assert got == max(x for x in sums if x <= budget)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(1, 300), st.integers(1, 400), min_size=1, max_size=8), st.integers(0, 200_000))
+def test_fill_beyond_the_exact_part(counts, budget):
+    """Most of a large budget goes by shares; what is missing in the end is less than a document that is left."""
+    lengths, n = list(counts), list(counts.values())
+    take = fill(lengths, n, budget)
+    assert all(0 <= a <= b for a, b in zip(take, n, strict=True))
+    got = int(np.dot(take, lengths))
+    left = [x for x, c, k in zip(lengths, n, take, strict=True) if k < c]
+    assert got <= budget and (not left or budget - got < min(left))
+
+
+def test_fill_of_a_length_that_shares_would_miss():
+    assert fill([2, 5], [10, 1], 5).tolist() == [0, 1]
 
 
 def plain_targets(sizes, share=1.5, most=2.0):
@@ -195,3 +202,21 @@ def test_pack(docs, rows, empty, whole):
     packed = sequences(pack(spark_row.union(one), tokenizer, ids=True)).collect()
     assert len(packed) == 1 and packed[0].ids == 2 * [*whole(NAMES[1], "a b c"), 2] and packed[0].doc_ids == [1, 1]
     assert SCHEMA
+
+
+def test_mix_of_repeated_and_missing_ids(spark):
+    """Rows are documents: none leaves the sizes, and each comes as often as it is taken."""
+    rows = [(1, "a b c", "s"), (1, "a b", "s"), (2, "x " * 9, "s"), (None, "n n n n", "s"), (None, "m", None), (None, None, "s"), (3, "same two", "t"), (3, "same two", "t"), (3, "else two", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix(df).collect()
+    assert sorted((str(r.doc_id), r.size) for r in got) == sorted((str(d), len((t or "").split())) for d, t, _ in rows)
+    assert {r.source_size for r in got} == {18, 1, 6}
+    taken, made = Counter(), Counter()
+    for r in got:
+        taken[r.doc_id, r.size] += r.copies
+    out = mixed(df)
+    assert out.columns == df.columns
+    for r in out.collect():
+        made[r.doc_id, len((r.text or "").split())] += 1
+    assert made == Counter({k: n for k, n in taken.items() if n})
+    assert {tuple(r) for r in out.collect()} <= set(rows)
