@@ -386,15 +386,15 @@ def iforest(spark, d):
 
 
 #: First centres of value and user, and the way a centre goes to a row.
-CENTRES = [[10.0, 100.0], [60.0, 400.0], [150.0, 800.0]]
+FIRST_CENTRES = [[10.0, 100.0], [60.0, 400.0], [150.0, 800.0]]
 
 
 def _online_sql(last: str) -> str:
     """Centres that move row by row over the train rows, as a recursion; ``last`` selects from ``folds`` and ``readings``."""
-    three = range(len(CENTRES))
+    three = range(len(FIRST_CENTRES))
     far = lambda j, v, u: f"(({v} - v{j}) * ({v} - v{j}) + ({u} - u{j}) * ({u} - u{j}))"
     near = lambda v, u: f"CASE WHEN {far(0, v, u)} <= {far(1, v, u)} AND {far(0, v, u)} <= {far(2, v, u)} THEN 0 WHEN {far(1, v, u)} <= {far(2, v, u)} THEN 1 ELSE 2 END"
-    start = ", ".join(f"CAST({v} AS DOUBLE) AS v{j}, CAST({u} AS DOUBLE) AS u{j}" for j, (v, u) in enumerate(CENTRES))
+    start = ", ".join(f"CAST({v} AS DOUBLE) AS v{j}, CAST({u} AS DOUBLE) AS u{j}" for j, (v, u) in enumerate(FIRST_CENTRES))
     move = ", ".join(f"CASE WHEN best = {j} THEN {c}{j} + 0.5 * ({x} - {c}{j}) ELSE {c}{j} END" for j in three for c, x in (("v", "x"), ("u", "y")))
     names = ", ".join(f"{c}{j}" for j in three for c in "vu")
     return f"""WITH RECURSIVE readings AS (SELECT event_id, ts, data_type, value, CAST(user_id AS DOUBLE) AS user FROM ({SQL_READINGS})),
@@ -419,6 +419,6 @@ def kmeans_online(spark, d):
     """Train rows with the centre that each moved, test rows with the nearest of the last centres; folded in small chunks."""
     rows = readings(spark, d).select("event_id", "ts", "data_type", "value", "user_id")
     train, test = (rows.where(F.col("data_type") == kind) for kind in ("train", "test"))
-    moved, centres = online_kmeans(train, ORDER, ["value", "user_id"], CENTRES, chunk_rows=SMALL)
+    moved, centres = online_kmeans(train, ORDER, ["value", "user_id"], FIRST_CENTRES, chunk_rows=SMALL)
     labelled = clusters.nearest_centroid(test, ["value", "user_id"], centres)
     return moved.select("event_id", "data_type", "cluster").union(labelled.select("event_id", "data_type", "cluster"))

@@ -20,7 +20,7 @@ from ..streaming import runtime as rt
 from ..streaming import stateful as st
 from ..streaming.clusters import OnlineKMeans, StreamingKMeans
 from ..streaming.detect import knn_batches, ksigma_stream
-from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, CENTRES, KNN_WHOLE, SQL_SHIFTED, _online_sql, adwin_sql, shifted
+from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, FIRST_CENTRES, KNN_WHOLE, SQL_SHIFTED, _online_sql, adwin_sql, shifted
 from .ingest import MESSAGE, MICROS
 from .profiles import FOUR, _union
 from .registry import ORACLES, query, r4, r6, r8, table
@@ -405,7 +405,7 @@ def stream_kmeans_online(spark, d):
     """Centres that move with every train row over four micro-batches label the test rows."""
     split = F.when(F.col("ts") < F.lit(SPLIT_AT).cast("timestamp"), "train").otherwise("test")
     train, test = split_by_type(arriving(spark, d).withColumn("data_type", split))
-    model = OnlineKMeans(scratch_path(spark, "centres"), ["value", "user_id"], order=ORDER, start=CENTRES)
+    model = OnlineKMeans(scratch_path(spark, "centres"), ["value", "user_id"], order=ORDER, start=FIRST_CENTRES)
     out = scratch_path(spark, "labelled")
     rt.drain(rt.start(train, scratch_path(spark, "checkpoint"), model.train_batches(f"{out}/train")))
     rt.drain(rt.start(test, scratch_path(spark, "checkpoint"), model.test_batches(f"{out}/test")))
