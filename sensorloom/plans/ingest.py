@@ -11,6 +11,7 @@ from ..functions.timefn import parse_ts, time_range, time_text
 from ..operators import quality as q
 from ..session import scratch_path
 from ..sinks import tables as sinks
+from ..sinks.versions import VersionedTable
 from ..sources.tables import infer_table_schema, read_exported_csv, read_table
 from .registry import query, r4, r6, table
 from .views import SQL_GAPPY, SQL_READINGS, SQL_SENSORS, gappy, readings, sensors
@@ -243,6 +244,31 @@ def delete(spark, d):
     return spark.read.parquet(path)
 
 
+@query(
+    "versioned_table",
+    f"""WITH g AS ({SQL_GAPPY}),
+    v1 AS (SELECT event_id, event_type, event_id % 3 AS part FROM g),
+    v2 AS (SELECT * REPLACE (part * 10 AS part) FROM v1),
+    v3 AS (SELECT * FROM v2 WHERE NOT coalesce(event_type = 'click', false)),
+    v4 AS (SELECT * FROM v3 UNION ALL SELECT * FROM v1 WHERE part = 0)
+    SELECT 1 AS version, event_type, part, count(*) AS n_rows FROM v1 GROUP BY ALL UNION ALL SELECT 2, event_type, part, count(*) FROM v2 GROUP BY ALL
+    UNION ALL SELECT 3, event_type, part, count(*) FROM v3 GROUP BY ALL UNION ALL SELECT 4, event_type, part, count(*) FROM v4 GROUP BY ALL""",
+)
+def versioned_table(spark, d):
+    """A table rewritten from itself, without some rows, and with more; every version is still there."""
+    stored = VersionedTable(spark, scratch_path(spark, "versioned"))
+    rows = gappy(spark, d).select("event_id", "event_type", (F.col("event_id") % 3).alias("part"))
+    stored.replace(rows)
+    stored.change(lambda df: df.withColumn("part", F.col("part") * 10))
+    stored.delete(F.col("event_type") == "click")
+    stored.append(rows.where("part = 0"))
+    each = [stored.read(v).select(F.lit(v).alias("version"), "event_type", "part") for v in stored.versions()]
+    whole = each[0]
+    for more in each[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("version", "event_type", "part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(
     "csv_round_trip",
     "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer",
