@@ -20,6 +20,7 @@ from ..streaming import runtime as rt
 from ..streaming import stateful as st
 from ..streaming.clusters import OnlineKMeans, StreamingKMeans
 from ..streaming.detect import knn_batches, ksigma_stream
+from ..streaming.percentiles import merge_batches, percentiles, rank_error, sketch_batches, stored_sketches
 from .detectors import _CUSUM, _EWMA, _KNN, BASELINES, FIRST_CENTRES, KNN_WHOLE, SQL_SHIFTED, _online_sql, adwin_sql, shifted
 from .ingest import MESSAGE, MICROS
 from .profiles import FOUR, _union
@@ -410,3 +411,29 @@ def stream_kmeans_online(spark, d):
     rt.drain(rt.start(train, scratch_path(spark, "checkpoint"), model.train_batches(f"{out}/train")))
     rt.drain(rt.start(test, scratch_path(spark, "checkpoint"), model.test_batches(f"{out}/test")))
     return spark.read.parquet(f"{out}/test/batch_id=*").select("event_id", "data_type", "cluster")
+
+
+@query(
+    "stream_percentiles",
+    """SELECT event_type, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n_rows, round(min(value), 6) AS min_value,
+        round(max(value), 6) AS max_value, TRUE AS p50_holds, TRUE AS p95_holds FROM events GROUP BY event_type, date_trunc('day', ts)""",
+)
+def stream_percentiles(spark, d):
+    """Percentiles of each day and type from sketches of five micro-batches, late rows among them.
+
+    An estimate holds if its rank among the events, counted here for that alone, is within three times the sketch's bound.
+    """
+    out = scratch_path(spark, "sketches")
+    rt.drain(rt.start(arriving(spark, d, True), scratch_path(spark, "checkpoint"), sketch_batches(out, "ts", "value", "1 day", SERIES)))
+    merge_batches(spark, out, SERIES)
+    found = percentiles(stored_sketches(spark, out), ["event_type", "window_start"], [0.5, 0.95])
+    events = table(spark, d, "events").select(F.col("event_type").alias("t"), F.date_trunc("day", "ts").cast("timestamp").alias("day"), "value")
+    near = found.join(events, (F.col("event_type") == F.col("t")) & (F.col("window_start") == F.col("day")))
+    off = 3 * rank_error()
+
+    def holds(q, share):
+        below, upto = F.avg((F.col("value") < F.col(q)).cast("double")), F.avg((F.col("value") <= F.col(q)).cast("double"))
+        return ((below - off <= share) & (upto + off >= share)).alias(f"{q}_holds")
+
+    near = near.groupBy("event_type", "window_start", "n_rows", "min_value", "max_value").agg(holds("p50", 0.5), holds("p95", 0.95))
+    return near.withColumns({"window_start": time_text("window_start"), "min_value": F.round("min_value", 6), "max_value": F.round("max_value", 6)})
