@@ -127,7 +127,8 @@ def _placed_copies(
     docs: DataFrame, weights: Sequence[float], share: float, most: float, seed: int, text: str, source: str, doc_id: str
 ) -> DataFrame:
     """The rows of :func:`mix` with the keys of their source."""
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), _size(text).alias("size"))
+    # Dealing rows by range reads them twice; words are counted once.
+    slim = write_scratch(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), _size(text).alias("size")), "sizes")
     slim = slim.select("doc_id", "size", *key_of("source"), F.xxhash64(F.lit(seed), "doc_id").alias("__luck"))
     keys = ["source__null", "source__text"]
     placed = write_scratch(ranked(slim, [*keys, "size", "__luck", "doc_id"], "__place", "by_length"), "placed")
