@@ -169,7 +169,8 @@ def mixed(
     found = write_scratch(found.withColumnRenamed("doc_id", "__id").drop("target", "source_size"), "copies")
     by_id = found.groupBy("__id").agg(F.min("copies").alias("copies"), F.max("copies").alias("__most"))
     taken = by_id.where("copies = __most AND copies > 0").drop("__most")
-    rows = inner.join(taken, F.col(id).eqNullSafe(F.col("__id"))).drop("__id")
+    # The same shuffle at every size.
+    rows = inner.join(taken.hint("merge"), F.col(id).eqNullSafe(F.col("__id"))).drop("__id")
     odd = write_scratch(by_id.where("copies <> __most").select("__id"), "odd_ids")
     if odd.limit(1).count():
         same = ["__id", "source__null", "source__text", "size"]
