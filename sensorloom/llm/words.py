@@ -26,9 +26,9 @@ def _powers(n: int) -> np.ndarray:
     global _POWERS
     if n > len(_POWERS):
         size = 1 << int(n).bit_length()
-        grown = np.full(size, 0x9E3779B97F4A7C15, dtype=np.uint64)
-        grown[0] = 1
-        _POWERS = grown.cumprod()
+        # The same numbers as before for the places there were: a hash may not hang on the words seen earlier.
+        _POWERS = np.full(size, 0x9E3779B97F4A7C15, dtype=np.uint64).cumprod()
+        _POWERS[0] = 1
     return _POWERS
 
 
