@@ -6,14 +6,16 @@ on RocksDB (:func:`use_state_store`). A key's rows go through one task, as in ev
 forms of :mod:`.stateful` spread them.
 
 Order. Rows of a micro-batch reach a key in no order. Without ``delay`` an operator sorts what a micro-batch brings for a key (its
-rate limit bounds that) and rows must not come out of order across micro-batches. With ``delay`` rows may come late by
-that much: they wait in a map state under their time (milliseconds) until the watermark passes it, and are then handled in order of
-the order columns, whatever order they came in. Rows behind the watermark or without a time are dropped; Spark counts the former
-(:class:`.runtime.BatchLog`).
+rate limit bounds that) and rows must not come out of order across micro-batches. With ``delay`` rows may come late by that much: they wait until the watermark passes their time (milliseconds), and are then
+handled in order of the order columns, whatever order they came in. They wait packed, some thousand to an entry of a map state, by
+slots of time a 256th of the delay long, so that the calls to the state grow with the slots and not with the rows; the rows of a slot
+and key are sorted together in memory. A key has one timer, at its first waiting row. Rows behind the watermark or without a time are
+dropped; Spark counts the former (:class:`.runtime.BatchLog`).
 """
 
 from __future__ import annotations
 
+import pickle
 import threading
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -38,61 +40,122 @@ def use_state_store(spark: SparkSession) -> None:
 
 #: A waiting row's time in milliseconds.
 _AT = "__at"
+#: Slots of time in a delay; waiting rows of an entry of the state, and of a worker before they are written.
+SLOTS, BLOCK_ROWS, HELD_ROWS = 256, 4096, 65_536
 
 
 class _Ordered(StatefulProcessor):
-    """Hands a key's rows to :meth:`step` in order; subclasses say what state they have and what a row becomes.
+    """Hands a key's rows, as tuples, to :meth:`step` in order; subclasses say what state they have and what a row becomes.
 
-    ``columns`` are a row's columns as they are kept and given out, ``out`` the names of an output row.
+    ``columns`` are a row's columns as they are kept and given out, ``out`` the names of an output row, ``slot_ms`` the
+    length of a slot for rows that wait (0: none do).
     """
 
-    def __init__(self, order: Sequence[str], columns: T.StructType, out: Sequence[str], waits: bool):
-        self.order, self.columns, self.waits = list(order), columns, waits
-        self.kept, self.made = Row(*columns.names), Row(*out)
+    def __init__(self, order: Sequence[str], columns: T.StructType, out: Sequence[str], slot_ms: int):
+        self.order, self.columns, self.slot_ms = list(order), columns, slot_ms
+        self.made = Row(*out)
+        self.at = {c: k for k, c in enumerate(columns.names)}
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         """Declare the operator's own state."""
         raise NotImplementedError
 
-    def step(self, rows: list[Row]) -> Iterable[tuple[Row, object]]:
+    def step(self, rows: list[tuple]) -> Iterable[tuple[tuple, object]]:
         """For rows in order those that come out, each with what the operator adds."""
         raise NotImplementedError
 
+    def in_order(self, rows: Iterable[tuple]) -> list[tuple]:
+        """The rows of a key that :meth:`step` needs."""
+        return sorted(rows, key=self._place)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        if self.waits:
-            whole = lambda *names: T.StructType([T.StructField(c, T.LongType()) for c in names])
-            # The rows of a time, numbered, and how many there are.
-            self.waiting = handle.getMapState("waiting", whole("at", "nth"), self.columns)
-            self.times = handle.getMapState("times", whole("at"), whole("n"))
+        if self.slot_ms:
+            # Packed rows of a slot, numbered; how many entries each slot has and the time of its first row.
+            kind = lambda **names: T.StructType([T.StructField(c, t) for c, t in names.items()])
+            self.waiting = handle.getMapState("blocks", kind(slot=T.LongType(), nth=T.LongType()), kind(rows=T.BinaryType()))
+            longs = T.ArrayType(T.LongType())
+            self.slots = handle.getValueState("slots", kind(slot=longs, n=longs, first=longs))
         self.open(handle)
 
-    def _out(self, key: tuple, rows: Iterable[Row]) -> Iterator[Row]:
-        missing_first = lambda r: [(r[c] is not None, 0 if r[c] is None else r[c]) for c in self.order]
-        for r, added in self.step(sorted(rows, key=missing_first)):
-            yield self.made(*key, *(r[c] for c in self.columns.names), added)
+    def _place(self, row: tuple) -> list:
+        """Sort key: missing order columns come first."""
+        return [(row[k] is not None, 0 if row[k] is None else row[k]) for k in map(self.at.__getitem__, self.order)]
+
+    def _out(self, key: tuple, rows: Iterable[tuple]) -> Iterator[Row]:
+        for r, added in self.step(self.in_order(rows)):
+            yield self.made(*key, *r, added)
+
+    def _kept(self, rows: Iterator[Row]) -> Iterator[tuple[tuple, tuple]]:
+        """Each whole row and its kept columns, both as plain tuples."""
+        places = None
+        for row in rows:
+            places = places or [row.__fields__.index(c) for c in self.columns.names]
+            whole = tuple(row)
+            yield row, tuple([whole[k] for k in places])
+
+    def _slots(self) -> dict[int, list[int]]:
+        return {s: [n, first] for s, n, first in zip(*self.slots.get(), strict=True)} if self.slots.exists() else {}
+
+    def _put(self, found: dict[int, list[int]], slot: int, rows: list[tuple[int, tuple]]) -> None:
+        """Let the rows of a slot, each with its time, wait."""
+        known = found.setdefault(slot, [0, rows[0][0]])
+        for a in range(0, len(rows), BLOCK_ROWS):
+            self.waiting.updateValue((slot, known[0]), (pickle.dumps(rows[a : a + BLOCK_ROWS], protocol=4),))
+            known[0] += 1
+        known[1] = min(known[1], min(at for at, _ in rows))
+
+    def _store(self, found: dict[int, list[int]], timer: int | None) -> None:
+        """Store the slots, and move the key's timer from ``timer`` to the first waiting row."""
+        if not found:
+            self.slots.clear()
+            return
+        order = sorted(found)
+        self.slots.update((order, [found[s][0] for s in order], [found[s][1] for s in order]))
+        due = found[order[0]][1]
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        if not self.waits:
-            yield from self._out(key, rows)
+        if not self.slot_ms:
+            yield from self._out(key, (kept for _, kept in self._kept(rows)))
             return
-        for row in rows:
+        found = self._slots()
+        timer = found[min(found)][1] if found else None
+        held: dict[int, list] = {}
+        size = 0
+        for row, kept in self._kept(rows):
             at = row[_AT]
-            n = self.times.getValue((at,))[0] if self.times.containsKey((at,)) else 0
-            self.waiting.updateValue((at, n), tuple(row[c] for c in self.columns.names))
-            self.times.updateValue((at,), (n + 1,))
-            if not n:
-                self.handle.registerTimer(at)
+            held.setdefault(at // self.slot_ms, []).append((at, kept))
+            size += 1
+            if size == HELD_ROWS:
+                for slot, some in held.items():
+                    self._put(found, slot, some)
+                held, size = {}, 0
+        for slot, some in held.items():
+            self._put(found, slot, some)
+        self._store(found, timer)
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        """Timers expire in order of their times; each brings the rows of one time."""
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        places = [(at, k) for k in range(self.times.getValue((at,))[0])]
-        rows = [self.kept(*self.waiting.getValue(p)) for p in places]
-        for p in places:
-            self.waiting.removeKey(p)
-        self.times.removeKey((at,))
-        yield from self._out(key, rows)
+        """All rows that the watermark has passed, slot by slot."""
+        watermark = timerValues.getCurrentWatermarkInMs()
+        found = self._slots()
+        for slot in sorted(found):
+            n, first = found[slot]
+            if first > watermark:
+                break
+            rows = []
+            for k in range(n):
+                rows += pickle.loads(self.waiting.getValue((slot, k))[0])
+                self.waiting.removeKey((slot, k))
+            del found[slot]
+            later = [r for r in rows if r[0] > watermark]
+            if later:
+                self._put(found, slot, later)
+            yield from self._out(key, [r for at, r in rows if at <= watermark])
+        self._store(found, None)  # the timer that has expired goes by itself
 
     def close(self) -> None:
         pass
@@ -106,7 +169,7 @@ class _FirstN(_Ordered):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.taken = handle.getValueState("taken", T.StructType([T.StructField("n", T.LongType())]), self.ttl_ms)
 
-    def step(self, rows: list[Row]) -> Iterable[tuple[Row, object]]:
+    def step(self, rows: list[tuple]) -> Iterable[tuple[tuple, object]]:
         taken = self.taken.get()[0] if self.taken.exists() else 0
         some = rows[: max(0, self.n - taken)]
         if some:
@@ -123,7 +186,7 @@ class _EveryNth(_Ordered):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("n", T.LongType())]))
 
-    def step(self, rows: list[Row]) -> Iterable[tuple[Row, object]]:
+    def step(self, rows: list[tuple]) -> Iterable[tuple[tuple, object]]:
         seen = self.seen.get()[0] if self.seen.exists() else 0
         for k, r in enumerate(rows, seen + 1):
             if k % self.n == 0:
@@ -143,8 +206,8 @@ class _Adwin(_Ordered):
         self.buckets = handle.getListState("buckets", number("n", "total", "m2"))
         self.shape = handle.getValueState("shape", T.StructType([T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("wait", T.IntegerType())]))
 
-    def step(self, rows: list[Row]) -> Iterable[tuple[Row, object]]:
-        values = [r[self.column] for r in rows]
+    def step(self, rows: list[tuple]) -> Iterable[tuple[tuple, object]]:
+        values = [r[self.at[self.column]] for r in rows]
         known = [k for k, x in enumerate(values) if x is not None and not np.isnan(x)]
         drift = set()
         if known:
@@ -181,10 +244,12 @@ def _keyed(
         raise ValueError("state expires by processing time, rows wait by event time: one of both")
     columns = T.StructType([df.schema[c] for c in df.columns if c not in series])
     out = T.StructType([*[df.schema[c] for c in series], *columns, *T.StructType.fromDDL(added)])
-    processor = make(order, columns, out.names, bool(delay))
     if not delay:
+        processor = make(order, columns, out.names, 0)
         return df.groupBy(*series).transformWithState(processor, out, "append", "ProcessingTime" if ttl_ms else "None")
     at = F.unix_millis(F.col(order[0]).cast("timestamp"))
+    whole = df.sparkSession.range(1).select(F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"interval {delay}"))).first()[0]
+    processor = make(order, columns, out.names, max(1, whole // SLOTS))
     rows = df.where(F.col(order[0]).isNotNull()).withColumn(_AT, at).withWatermark(order[0], delay)
     return rows.groupBy(*series).transformWithState(processor, out, "append", "EventTime")
 
