@@ -6,7 +6,8 @@ on RocksDB (:func:`use_state_store`). A key's rows go through one task, as in ev
 forms of :mod:`.stateful` spread them.
 
 Order. Rows of a micro-batch reach a key in no order. Without ``delay`` an operator sorts what a micro-batch brings for a key (its
-rate limit bounds that) and rows must not come out of order across micro-batches. With ``delay`` rows may come late by that much: they wait until the watermark passes their time (milliseconds), and are then
+rate limit bounds that) and rows must not come out of order across micro-batches; the first n rows are picked without sorting the
+others. With ``delay`` rows may come late by that much: they wait until the watermark passes their time (milliseconds), and are then
 handled in order of the order columns, whatever order they came in. They wait packed, some thousand to an entry of a map state, by
 slots of time a 256th of the delay long, so that the calls to the state grow with the slots and not with the rows; the rows of a slot
 and key are sorted together in memory. A key has one timer, at its first waiting row. Rows behind the watermark or without a time are
@@ -15,6 +16,7 @@ dropped; Spark counts the former (:class:`.runtime.BatchLog`).
 
 from __future__ import annotations
 
+import heapq
 import pickle
 import threading
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -169,12 +171,16 @@ class _FirstN(_Ordered):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.taken = handle.getValueState("taken", T.StructType([T.StructField("n", T.LongType())]), self.ttl_ms)
 
+    def in_order(self, rows: Iterable[tuple]) -> list[tuple]:
+        """Only the first rows that are still wanted, so that no more are held at a time."""
+        taken = self.taken.get()[0] if self.taken.exists() else 0
+        return heapq.nsmallest(self.n - taken, rows, key=self._place) if taken < self.n else []
+
     def step(self, rows: list[tuple]) -> Iterable[tuple[tuple, object]]:
         taken = self.taken.get()[0] if self.taken.exists() else 0
-        some = rows[: max(0, self.n - taken)]
-        if some:
-            self.taken.update((taken + len(some),))
-        for k, r in enumerate(some, taken + 1):
+        if rows:
+            self.taken.update((taken + len(rows),))
+        for k, r in enumerate(rows, taken + 1):
             yield r, k
 
 

@@ -1,6 +1,7 @@
 """What keyed operators ask of the state store, and what they hold in memory."""
 
 import datetime
+import tracemalloc
 
 import pytest
 from pyspark.sql import Row
@@ -97,6 +98,20 @@ def test_waiting_rows_cost_calls_by_slots_and_not_by_rows():
     assert store.calls < 200 and store.data.keys() == {"seen"} and not store.timers
 
 
+def test_first_rows_are_picked_without_holding_the_others():
+    store = Store()
+    op = k._FirstN(5, None, ["ts", "id"], KEPT, ["series", "ts", "id", "nth"], 0)
+    op.init(store)
+    n = 30_000
+    tracemalloc.start()
+    got = list(op.handleInputRows(("a",), (row(i * 7919 % n) for i in range(n)), Now(0)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r.id, r.nth) for r in got] == [(i, i + 1) for i in range(5)]
+    assert peak < 1 << 20
+    assert not list(op.handleInputRows(("a",), iter([row(0)]), Now(0)))
+
+
 @pytest.mark.parametrize("minutes", [5])
 def test_a_row_at_the_watermark_has_been_passed(spark, minutes):
     rows = [("a", START + datetime.timedelta(minutes=i), i) for i in range(11)]
