@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ...functions.parsing import flag, no_nan
 from ..ordered import Chunked, chunked, with_lookback
 
+#: What counts as equal to a limit, as running sums of a million readings are off by some 1e-9.
+ROUNDING = 1e-8
+
 
 def cusum(
     df: DataFrame,
@@ -37,7 +40,8 @@ def cusum(
 
     S(t) = max(0, S(t-1) + z(t) - k) equals P(t) + max(S_in, -min P) where P is the
     running sum of z - k since the chunk began and S_in the value carried into it.
-    A missing reading leaves the state as it is and gets NULL scores, alarm 0.
+    A missing reading leaves the state as it is and gets NULL scores, alarm 0. An alarm needs a sum above
+    ``h`` by more than running sums are off by (ROUNDING of ``h`` and one step), so that a sum of just ``h`` is none.
     """
     c = chunked(df, series, order, chunk_rows)
     z = (no_nan(column) - F.lit(mean)) / F.lit(sd)
@@ -59,7 +63,7 @@ def cusum(
         known, F.col(f"{s}_p") + F.greatest(carried(s), -F.col(f"{s}_m"))
     )
     out = rows.select(*c.df.columns, *[score(s).alias(n) for s, n in sides.items()])
-    out = out.withColumn("alarm", flag(F.greatest("cusum_pos", "cusum_neg") > h))
+    out = out.withColumn("alarm", flag(F.greatest("cusum_pos", "cusum_neg") > h + ROUNDING * (abs(h) + 1)))
     return c.finish(out)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.parsing import no_nan
-from ..operators.detect.cumulative import cusum, ewma, ewma_lag1
+from ..operators.detect.cumulative import ROUNDING, cusum, ewma, ewma_lag1
 from ..operators.detect.drift import AdaptiveWindow
 from ..operators.detect.drift_walk import CHUNK_ITEMS, Rule, walk_series
 from ..operators.ordered import broadcast_small, join_same, with_rank
@@ -254,7 +254,7 @@ def cusum_stream(
             up, down = max(0.0, up + z - k), max(0.0, down - z - k)
             ups.append(up)
             downs.append(down)
-            alarms.append(int(max(up, down) > h))
+            alarms.append(int(max(up, down) > h + ROUNDING * (abs(h) + 1)))
         return {"s": [up, down]}, {"cusum_pos": ups, "cusum_neg": downs, "alarm": alarms}
 
     return keyed_scan(df, series, order, [column], "cusum_pos double, cusum_neg double, alarm int", step)
