@@ -197,7 +197,8 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
     Learns from the documents that :func:`held_out` leaves. ``score`` is the sum over the tokens of
     log10 of ``(c(v, w) + MU * p(w)) / (c(v) + MU)`` with ``p(w) = (c(w) + 1) / (N + V + 1)``, v the
     token before w, and all counts read from the filter, by tests of one level after the other, or
-    below its lowest level from the table of counts by a join, in the same steps. As counts are quantised, the probabilities sum to one only about.
+    below its lowest level from the table of counts by a join, in the same steps. If that level is 2, only the held-out
+    documents need the join: what a learnt one holds and the filter does not was seen once. As counts are quantised, the probabilities sum to one only about.
 
     ``base_score`` is exact: the counts of the HEAD_WORDS most frequent words go to the tasks;
     other words are joined with their counts by hash, each document's rare words alone, and
@@ -240,6 +241,12 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
             at[at == len(known)] = 0
             exact = np.where(known[at] == distinct_, known_n[at], 0)[inverse] if len(known) else np.zeros(len(tokens), np.int64)
             level = grams.levels(distinct_)[inverse]
+            # What a learnt document holds was seen: if no more than one sighting is left open, it was seen once.
+            seen = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), n)
+            settled = seen if lowest == 2 else np.zeros(len(tokens), bool)
+            level[settled & (level == 0)] = 1
+            if rare == 2:
+                exact[seen & (exact == 0)] = 1
             level_before = np.empty_like(level)
             level_before[1:] = level[:-1]
             level_before[begins] = 0
@@ -249,7 +256,8 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
             starting = previous == START
             level_both = grams.levels(pairs)
             # Words below the filter's lowest level, which may have been seen, and pairs, which are if a word is.
-            no_own, no_before = level < lowest, (level_before < lowest) & ~starting
+            no_own, no_before = (level < lowest) & ~settled, (level_before < lowest) & ~starting & ~settled
+            level_both[settled & (level_both == 0)] = 1
             level_both[starting | no_own | no_before] = 0
             both = np.minimum(_about(level_both), before)
             p = np.log10((both + MU * own) / (before + MU))
