@@ -28,8 +28,8 @@ from ..ordered import join_same
 
 CHUNK_ITEMS = 32_768
 MOST_ROUNDS = 8
-#: Chunks whose windows, about 4 kB each, pass through the driver at a time.
-PART = 4096
+#: Chunks whose windows are laid out by the driver at a time: some hundred places each.
+PART = 16_384
 _FIRST, _MOST = 64, 4096
 
 Counts = tuple[int, ...]
@@ -257,50 +257,55 @@ class _Series:
         return Window(counts, np.zeros((1, 3))).ends() + self.starts[k]
 
 
-def _sums_at(chunks: DataFrame, wanted: dict[int, set[int]], shifts: dict[int, float]) -> dict[tuple[int, int], np.ndarray]:
-    """Running sums inside chunks after some numbers of items: a hundred or so for every chunk that is walked."""
-    if not wanted:
-        return {}
-    spark = chunks.sparkSession
-    asked = spark.createDataFrame([(i, shifts[i], sorted(p)) for i, p in wanted.items()], "id long, shift double, places array<int>")
+def _sums_at(chunks: DataFrame, asked: DataFrame) -> DataFrame:
+    """For every chunk of ``asked`` and each of its ``targets``, the running sums after ``sizes`` of its ``places``, from ``base`` on."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, total, m2, places = (_lists(batch, c) for c in ("n", "total", "m2", "places"))
+            n, total, m2, base, targets, sizes, places = (_lists(batch, c) for c in ("n", "total", "m2", "base", "targets", "sizes", "places"))
             out = []
-            for r, (id, shift) in enumerate(zip(batch.column("id").to_pylist(), batch.column("shift").to_pylist())):
-                sums = np.cumsum(_centred(n[r], total[r], m2[r], shift), axis=0)
-                out.append((id, places[r], sums[places[r] - 1].ravel()))
+            for r, (nth, shift) in enumerate(zip(batch.column("nth").to_pylist(), batch.column("shift").to_pylist())):
+                sums = base[r] + np.r_[np.zeros((1, 3)), np.cumsum(_centred(n[r], total[r], m2[r], shift), axis=0)]
+                for target, own in zip(targets[r].tolist(), np.split(places[r], np.cumsum(sizes[r])[:-1])):
+                    out.append((target, nth, sums[own].ravel()))
             if out:
-                kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["id", "places", "sums"])
+                kinds = [pa.int64(), pa.int32(), pa.list_(pa.float64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["id", "nth", "sums"])
 
-    rows = chunks.select("id", "n", "total", "m2").join(asked, "id")
-    found = rows.mapInArrow(task, "id long, places array<int>, sums array<double>")
-    return {(r.id, p): np.array(r.sums[3 * i : 3 * i + 3]) for r in found.collect() for i, p in enumerate(r.places)}
+    rows = chunks.select("id", "n", "total", "m2").join(asked.hint("shuffle_hash"), "id")
+    return rows.mapInArrow(task, "id long, nth int, sums array<double>")
 
 
 def _state_rows(spark, chunks: DataFrame, todo: list[tuple[_Series, int, Counts]], rule: Rule) -> DataFrame:
-    """The windows that the chunks ``todo`` start from, by chunk id."""
-    wanted: dict[int, set[int]] = {}
-    shifts: dict[int, float] = {}
-    for s, k, counts in todo:
-        for p in s.boundaries(k, counts).tolist():
-            j = int(np.searchsorted(s.starts, p, side="right")) - 1
-            if p > 0 and p > s.starts[j]:
-                wanted.setdefault(s.ids[j], set()).add(int(p - s.starts[j]))
-                shifts[s.ids[j]] = s.shift
-    inside = _sums_at(chunks, wanted, shifts)
-    rows = []
+    """The windows that the chunks ``todo`` start from, by chunk id.
+
+    The driver says where their boundaries lie. The sums there are taken inside the chunks before and sent to the task that walks,
+    not to the driver: a hundred or so for every chunk that is walked.
+    """
+    rows, asked = [], {}
     for s, k, counts in todo:
-        old = dict(zip(s.first.ends().tolist(), s.first.sums))
-        sums = []
-        for p in s.boundaries(k, counts).tolist():
-            j = int(np.searchsorted(s.starts, p, side="right")) - 1
-            sums.append(old[p] if p < 0 else s.sums[j] if p == s.starts[j] else s.sums[j] + inside[s.ids[j], int(p - s.starts[j])])
+        places = s.boundaries(k, counts)[:-1]  # The last one is the beginning of chunk k.
+        old = dict(zip(s.first.ends().tolist(), s.first.sums.tolist()))
+        before = [v for p in places[places < 0].tolist() for v in old[p]]
         wait = int((s.wait + s.starts[k]) % rule.every)
-        rows.append((s.ids[k], s.shift, wait, list(counts), np.concatenate(sums).tolist()))
-    return spark.createDataFrame(rows, f"id long, {_STATE}")
+        rows.append((s.ids[k], s.shift, wait, list(counts), before, s.sums[k].tolist()))
+        places = places[places >= 0]
+        nth = np.searchsorted(s.starts, places, side="right") - 1
+        for j in np.unique(nth).tolist():
+            own = (places[nth == j] - s.starts[j]).tolist()
+            _, _, _, targets, sizes, inside = asked.setdefault(s.ids[j], (j, s.shift, s.sums[j].tolist(), [], [], []))
+            targets.append(s.ids[k])
+            sizes.append(len(own))
+            inside += own
+    states = spark.createDataFrame(rows, "id long, shift double, wait int, counts array<int>, old array<double>, last array<double>")
+    inside = F.array().cast("array<double>")
+    if asked:
+        kinds = "id long, nth int, shift double, base array<double>, targets array<long>, sizes array<int>, places array<int>"
+        found = _sums_at(chunks, spark.createDataFrame([(i, *a) for i, a in asked.items()], kinds))
+        parts = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("nth", "sums"))).alias("parts"))
+        states = states.join(parts.hint("merge"), "id", "left")
+        inside = F.coalesce(F.flatten(F.transform("parts", lambda x: x.getField("sums"))), inside)
+    return states.select("id", "shift", "wait", "counts", F.concat("old", inside, "last").alias("sums"))
 
 
 def walk_series(
@@ -319,13 +324,11 @@ def walk_series(
     """
     series = list(series)
     chunks = _chunks(items, series, chunk_items)
-    if start is not None:
-        known = write_scratch(join_same(chunks, start.withColumnRenamed("counts", "counts0").withColumnRenamed("buckets", "buckets0").withColumnRenamed("wait", "wait0"), series), "chunk_starts")
-    else:
-        known = chunks.withColumns({"counts0": F.lit(None).cast("array<int>"), "buckets0": F.lit(None).cast("array<double>"), "wait0": F.lit(None).cast("int")})
+    known = write_scratch(_with_start(_numbers(chunks, series), start, series), "chunk_starts")
 
     # First chunks start from what is known, without the driver.
-    firsts = _with_first_state(known.where("chunk = 0"))
+    begun = known.where("chunk = 0").select("id", "counts0", "buckets0", "wait0")
+    firsts = _with_first_state(_dealt(chunks.where("chunk = 0"), begun))
     done = [_walk_rows(firsts.select("id", "key", "n", "total", "m2", "shift", "wait", "counts", "sums"), rule, 0)]
     long = _long_series(known, done[0])
     every = {i: (s, k) for s in long for k, i in enumerate(s.ids)}
@@ -355,22 +358,28 @@ def walk_series(
         found = found.unionByName(more)
     # The last walk of a chunk is the one from the right window.
     last = found.groupBy("id").agg(F.max_by(F.struct("cuts", "counts", "buckets"), "turn").alias("w")).select("id", "w.*")
-    known = known.select("id", *series, "chunk", "wait0", F.size("n").alias("size"))
-    last = write_scratch(known.join(last, "id"), "walks")
+    last = write_scratch(known.select("id", *series, "chunk", "wait0", "items").join(last.hint("merge"), "id"), "walks")
     cuts = last.select(*series, "chunk", F.explode("cuts").alias("cut")).select(*series, (F.col("chunk") * chunk_items + F.col("cut")).alias("item"))
-    seen = F.coalesce(F.max("wait0"), F.lit(0)) + F.sum("size")
+    seen = F.coalesce(F.max("wait0"), F.lit(0)) + F.sum("items")
     after = last.groupBy(*series).agg(F.max_by(F.struct("counts", "buckets"), "chunk").alias("w"), F.pmod(seen, F.lit(rule.every)).cast("int").alias("wait"))
     return cuts, after.select(*series, "w.counts", "w.buckets", "wait")
 
 
+def _dealt(chunks: DataFrame, states: DataFrame, most: int | None = None) -> DataFrame:
+    """Chunks with their states, dealt to four tasks a core: the walk takes long over few bytes, by which Spark would put them in one task."""
+    tasks = 4 * chunks.sparkSession.sparkContext.defaultParallelism
+    return chunks.join(states.hint("shuffle_hash"), "id").repartition(min(tasks, most or tasks), "id")
+
+
 def _from_states(chunks: DataFrame, todo: list[tuple[_Series, int, Counts]], rule: Rule, in_order: bool) -> DataFrame:
     """The chunks ``todo`` with the windows they start from; ``in_order`` all later ones of their series behind them."""
     spark = chunks.sparkSession
     states = _state_rows(spark, chunks, todo, rule)
     if not in_order:
-        return chunks.select("id", "key", "n", "total", "m2").join(states, "id")
+        return _dealt(chunks.select("id", "key", "n", "total", "m2"), states, len(todo))
     rest = spark.createDataFrame([(i,) for s, k, _ in todo for i in s.ids[k:]], "id long")
-    rows = chunks.select("id", "key", "chunk", "n", "total", "m2").join(rest, "id").join(states, "id", "left")
+    rest = rest.join(states.hint("merge"), "id", "left")
+    rows = chunks.select("id", "key", "chunk", "n", "total", "m2").join(rest.hint("shuffle_hash"), "id")
     return rows.repartition("key").sortWithinPartitions("key", "chunk").drop("chunk")
 
 
@@ -395,18 +404,34 @@ def _bucket_sums(buckets: Column, shift: Column) -> Column:
     return F.aggregate(places, F.array(*[F.lit(0.0)] * 3), add)
 
 
-def _long_series(known: DataFrame, walked: DataFrame) -> list[_Series]:
-    """The series of several chunks; a row of a few numbers for each chunk comes to the driver."""
-    keys = known.where("chunk > 0").select("key").distinct()
+def _numbers(chunks: DataFrame, series: Sequence[str]) -> DataFrame:
+    """A few numbers for each chunk in place of its items."""
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-    rows = known.join(keys, "key", "left_semi").withColumns({"rows": total("n"), "sum": total("total")})
+    rows = chunks.withColumns({"rows": total("n"), "sum": total("total")})
     # Squared deviations around the chunk's own mean.
     spread = F.aggregate(
         F.arrays_zip("n", "total", "m2"), F.lit(0.0),
         lambda a, x: a + x.getField("m2") + x.getField("n") * F.pow(x.getField("total") / x.getField("n") - F.col("sum") / F.col("rows"), 2),
     )
+    return rows.select(*series, "key", "chunk", "id", F.size("n").alias("items"), "rows", "sum", spread.alias("spread"))
+
+
+def _with_start(numbers: DataFrame, start: DataFrame | None, series: Sequence[str]) -> DataFrame:
+    """The window of ``start`` beside the first chunk of each series."""
+    none = {"counts0": F.lit(None).cast("array<int>"), "buckets0": F.lit(None).cast("array<double>"), "wait0": F.lit(None).cast("int")}
+    if start is None:
+        return numbers.withColumns(none)
+    known = start.select(*series, F.col("counts").alias("counts0"), F.col("buckets").alias("buckets0"), F.col("wait").alias("wait0"))
+    firsts = join_same(numbers.where("chunk = 0"), known.hint("merge"), series)
+    return firsts.unionByName(numbers.where("chunk > 0").withColumns(none))
+
+
+def _long_series(known: DataFrame, walked: DataFrame) -> list[_Series]:
+    """The series of several chunks; a row of a few numbers for each chunk comes to the driver."""
+    keys = known.where("chunk > 0").select("key").distinct()
     first = walked.select("id", F.col("counts").alias("left"), F.size("cuts").alias("cuts"))
-    rows = rows.select("key", "chunk", "id", F.size("n").alias("items"), "rows", "sum", spread.alias("spread"), "counts0", "buckets0", "wait0").join(first, "id", "left")
+    rows = known.join(keys.hint("merge"), "key", "left_semi").join(first.hint("merge"), "id", "left")
+    rows = rows.select("key", "chunk", "id", "items", "rows", "sum", "spread", "counts0", "buckets0", "wait0", "left", "cuts")
     found: dict[str, list] = {}
     for r in rows.collect():
         found.setdefault(r.key, []).append(r)

@@ -28,7 +28,7 @@ from ..functions.parsing import no_nan
 from ..operators.detect.cumulative import ROUNDING, cusum, ewma, ewma_lag1
 from ..operators.detect.drift import AdaptiveWindow
 from ..operators.detect.drift_walk import CHUNK_ITEMS, Rule, walk_series
-from ..operators.ordered import broadcast_small, join_same, with_rank
+from ..operators.ordered import join_same, with_rank
 from ..session import delete_folder, scratch_scope, write_scratch
 from ..sinks.tables import append_batch_to_table
 
@@ -50,7 +50,7 @@ class _States:
     def store(self, after: DataFrame, series: Sequence[str], batch_id: int) -> None:
         """A series without a state in ``after`` keeps the one it had; older states go."""
         spark = after.sparkSession
-        kept = join_same(self.before(spark, batch_id), after, series, "left_anti").unionByName(after)
+        kept = join_same(self.before(spark, batch_id), after.hint("merge"), series, "left_anti").unionByName(after)
         kept.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
         if batch_id >= KEPT_STATES:
             delete_folder(spark, f"{self.path}/batch_id={batch_id - KEPT_STATES}")
@@ -165,14 +165,15 @@ def adwin_batches(
         store = _States(f"{path}/states", ", ".join([*[f"`{c}` {kinds[c]}" for c in keys], "counts array<int>, buckets array<double>, wait int"]))
         with scratch_scope(spark):
             rows = write_scratch(rows, "batch").withColumn("__x", no_nan(column))
-            numbered = with_rank(rows.where("__x IS NOT NULL"), keys, order, "__rank", chunk_rows)
-            numbered = write_scratch(numbered.unionByName(rows.where("__x IS NULL"), allowMissingColumns=True), "numbered")
-            items = numbered.where("__rank IS NOT NULL").select(
+            numbered = write_scratch(with_rank(rows.where("__x IS NOT NULL"), keys, order, "__rank", chunk_rows), "numbered")
+            items = numbered.select(
                 *keys, (F.col("__rank") - 1).alias("item"), F.lit(1.0).alias("n"), F.col("__x").alias("total"), F.lit(0.0).alias("m2")
             )
             found, after = walk_series(items, keys, rule, store.before(spark, batch_id), chunk_items)
-            hits = broadcast_small(found.select(*keys, (F.col("item") + 1).alias("__rank"), F.lit(1).alias("__hit")))
-            made = join_same(numbered, hits, [*keys, "__rank"]).withColumn("drift_detected", F.coalesce("__hit", F.lit(0)))
+            # A cut goes to its row by shuffle: there may be as many as a share of the rows. Rows without a reading stay aside.
+            hits = found.select(*keys, (F.col("item") + 1).alias("__rank"), F.lit(1).alias("__hit")).hint("merge")
+            made = join_same(numbered, hits, [*keys, "__rank"]).unionByName(rows.where("__x IS NULL"), allowMissingColumns=True)
+            made = made.withColumn("drift_detected", F.coalesce("__hit", F.lit(0)))
             write(made.drop("__x", "__rank", "__hit", "__one"), batch_id)
             store.store(after, keys, batch_id)
 

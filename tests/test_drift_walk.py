@@ -154,3 +154,16 @@ def test_empty(spark):
     only = spark.createDataFrame([("a", 1, None), ("a", 2, float("nan"))], "series string, id long, x double")
     assert [r.drift_detected for r in adwin(only, ["series"], ["id"], "x").collect()] == [0, 0]
     assert adwin(only.withColumn("x", F.lit(1.0)), [], ["id"], "x").count() == 2
+
+
+def test_sums_stay_off_the_driver(spark, monkeypatch):
+    """Windows that begin inside earlier chunks: the sums at their boundaries are not collected, and the cuts are those of one walk."""
+    x = readings(4, 2500)
+    want, _ = plain([(1, v, 0.0) for v in x])
+    items = spark.createDataFrame([("s", i, 1.0, float(v), 0.0) for i, v in enumerate(x)], "series string, item long, n double, total double, m2 double")
+    kind, collected = type(items), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: (collected.append(df.columns), collect(df))[1])
+    cuts, _ = dw.walk_series(items, ["series"], dw.Rule(), chunk_items=150)
+    assert collected and not any("sums" in c or "buckets" in c for c in collected)
+    assert sorted(r.item for r in cuts.collect()) == want

@@ -94,6 +94,17 @@ def test_adwin_batches_keep_rows_apart(spark):
     assert sorted(map(key, got.drop("drift_detected").collect())) == sorted(map(key, [*five, *odd, ("a", 9, 1.0)]))
 
 
+def test_adwin_batches_broadcast_nothing(spark, monkeypatch):
+    """Cuts go to their rows by shuffle, as there may be as many as a share of the rows."""
+    asked, broadcast = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: (asked.append(df.columns), broadcast(df))[1])
+    path = scratch_path(spark, "adwin")
+    rows = [("a", t, 50.0 * (t >= 300)) for t in range(600)] + [("a", 600 + t, None) for t in range(3)]
+    feed(spark, st.adwin_batches(path, S, ["t"], "x", chunk_items=100), [rows], "series string, t long, x double")
+    got = spark.read.parquet(f"{path}/rows/batch_id=*")
+    assert not asked and got.count() == 603 and got.where("drift_detected = 1").count() > 0
+
+
 @pytest.mark.parametrize("n", [4])
 def test_adwin_batches_are_one_walk(spark, skewed, replays, n):
     path = scratch_path(spark, "adwin")
