@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.detect.clusters import nearest_centroid
-from ..operators.detect.online_clusters import online_kmeans
-from ..session import scratch_scope
+from ..operators.detect.online_clusters import moved_centres
+from ..operators.ordered import with_rank
+from ..operators.quality import drop_incomplete
+from ..session import scratch_scope, write_scratch
 from ..sinks.tables import append_batch_to_table
 
 _MODEL = "cluster int, weight double, centre array<double>"
@@ -128,8 +130,10 @@ class OnlineKMeans(StreamingKMeans):
         old = self.centres(spark, before=batch_id)
         first = [c for _, c in old] if old else self.start
         with scratch_scope(spark):
-            rows, new = online_kmeans(batch, self.order, self.columns, first, self.k, self.halflife, "__moved", self.chunk_rows)
-            counts = {r["__moved"]: r["count"] for r in rows.where("__moved IS NOT NULL").groupBy("__moved").count().collect()}
+            complete = drop_incomplete(batch.select(*dict.fromkeys([*self.order, *self.columns])), self.columns)
+            ranked = write_scratch(with_rank(complete, [], self.order, "__rank", self.chunk_rows), "online_rows")
+            rows, new = moved_centres(ranked, self.columns, first, self.k, self.halflife, "__moved", self.chunk_rows)
+            counts = {r["__moved"]: r["count"] for r in rows.groupBy("__moved").count().collect()} if rows else {}
         if not new:
             return []
         before = [w for w, _ in old] or [0.0] * len(new)

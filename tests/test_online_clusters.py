@@ -75,3 +75,24 @@ def test_batches_do_not_matter(spark, drifting):
     labels, want = plain(points, start, 0.5)
     assert [c for _, c in again] == want and [w for w, _ in again] == [labels.count(j) for j in range(3)]
     assert [c for _, c in model.centres(spark)] == want
+
+
+def test_centres_in_another_order_settle(spark, monkeypatch):
+    """Chunks that come to the same centres under other numbers are renumbered: two rounds, none in order, the fold of one row after the other."""
+    rng = np.random.default_rng(2)
+    points = np.repeat(rng.uniform(0, 1000, (400, 2)), 20, axis=0).tolist()
+    start = [[10.0, 100.0], [60.0, 400.0], [150.0, 800.0]]
+    turns, folded = [], oc._fold_rows
+    monkeypatch.setattr(oc, "_fold_rows", lambda chunks, size, step, turn, in_order: (turns.append((turn, in_order)), folded(chunks, size, step, turn, in_order))[1])
+    out, centres = oc.online_kmeans(frame(spark, points), ["t", "id"], ["a", "b"], start, chunk_rows=500)
+    labels, want = plain(points, start, 0.5)
+    assert [r.cluster for r in out.orderBy("id").collect()] == labels and centres == want
+    assert max(t for t, _ in turns) <= 4 and not any(o for _, o in turns)
+
+
+def test_a_tie_is_folded_again():
+    """Of two centres as near the first one moves, so that another order of the centres may give another fold."""
+    a, b, c = (0.0,), (2.0,), (9.0,)
+    assert oc.fold([[1.0]], (a, b, c), 0.5) == ([0], ((0.5,), b, c), True)
+    assert oc._places((a, b, c), (b, a, c), True) is None and oc._places((a, b, c), (b, c, a), False) == (1, 2, 0)
+    assert oc._places((a, a, c), (a, c, a), False) is None
