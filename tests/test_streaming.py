@@ -105,6 +105,24 @@ def test_adwin_batches_broadcast_nothing(spark, monkeypatch):
     assert not asked and got.count() == 603 and got.where("drift_detected = 1").count() > 0
 
 
+def test_adwin_batches_with_many_cuts_send_nothing_round(spark):
+    """Readings that stay for some rows each, as in repeated tables, so that most chunks have cuts: no join of any batch is a broadcast."""
+    x = [float(v) for v in range(0, 1200, 100) for _ in range(60)]
+    rows = [("a", t, v) for t, v in enumerate(x)]
+    kept = spark._jsparkSession.sharedState().statusStore()
+    done = spark.sparkContext._jsc.sc().listenerBus()
+    plans = lambda: {r.executionId(): r.physicalPlanDescription() for r in map(kept.executionsList().apply, range(kept.executionsList().size()))}
+    before, path = plans(), scratch_path(spark, "adwin")
+    feed(spark, st.adwin_batches(path, S, ["t"], "x", chunk_items=50), [rows[:400], rows[400:]], "series string, t long, x double")
+    done.waitUntilEmpty()
+    ran = [p for i, p in plans().items() if i not in before]
+    assert ran and not [p for p in ran if "BroadcastExchange" in p]
+    window = drift.AdaptiveWindow()
+    want = [t for t, v in enumerate(x) if window.add(1, v)]
+    got = spark.read.parquet(f"{path}/rows/batch_id=*").where("drift_detected = 1")
+    assert len(want) > 5 and sorted(r.t for r in got.collect()) == want
+
+
 @pytest.mark.parametrize("n", [4])
 def test_adwin_batches_are_one_walk(spark, skewed, replays, n):
     path = scratch_path(spark, "adwin")
