@@ -73,6 +73,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     its smaller ones, until nothing changes. A round keeps at most the links there were, and a
     node's neighbours are never gathered: only their minimum is, which is summed before the
     shuffle. Each round is written to the shared folder, so that a lost executor repeats a round.
+    Links grow with the input: their joins shuffle at every size.
     """
     edges = write_scratch(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
@@ -82,10 +83,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Large star: u's larger neighbours v get the link (v, m).
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u's smaller neighbours, and u itself, get the link to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(
+        small = large.join(low.hint("merge"), "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")
         ).select("e.u", "e.v").where("u <> v").distinct()
         edges = write_scratch(small, "links")

@@ -200,7 +200,7 @@ def open_pairs(nodes: DataFrame, known: DataFrame, percent: int, slack: float =
             if len(a):
                 yield _pairs(reps[a], reps[b], _alike(sizes[a], marks[a], sizes[b], marks[b], percent, slack)[1])
 
-    named = nodes.join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    named = nodes.join(known.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
     named = named.withColumn("component", F.coalesce("component", "rep"))
     return gathered(named, "component").mapInArrow(rest, "a long, b long").distinct()
 
@@ -230,8 +230,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = pairs.join(sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x")), "a")
-    two = one.join(sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y")), "b")
+    one = pairs.join(sets.select(F.col("doc").alias("a"), F.col("tokens").alias("x")).hint("merge"), "a")
+    two = one.join(sets.select(F.col("doc").alias("b"), F.col("tokens").alias("y")).hint("merge"), "b")
     return two.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
@@ -279,7 +279,7 @@ def block_links(nodes: DataFrame, known: DataFrame, sets: Callable[[DataFrame],
     on full sets: both are dealt into blocks by a hash, and every two blocks meet but for two of
     the largest component. A class leaves a meeting with one link, to the smallest it reaches there.
     """
-    named = nodes.where("last").join(known.withColumnRenamed("node", "rep"), "rep", "left")
+    named = nodes.where("last").join(known.withColumnRenamed("node", "rep").hint("merge"), "rep", "left")
     named = named.select("node", "rep", "n", F.coalesce("component", "rep").alias("component"))
     parts = named.groupBy("node", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("tokens"))
     most = parts.groupBy("node").agg(
@@ -303,7 +303,8 @@ def block_links(nodes: DataFrame, known: DataFrame, sets: Callable[[DataFrame],
         F.concat(to("opens", lambda k: unit(F.least(mine, k), F.greatest(mine, k), False, mine > k)), to("mains", lambda k: unit(mine, k, True, no))),
     ).otherwise(to("opens", lambda k: unit(k, mine, True, yes)))
     dealt = met.select("node", "rep", "component", F.explode(units).alias("u")).select("node", "u.*", "rep", "component")
-    full = dealt.join(sets(met.select(F.col("rep").alias("doc")).distinct()).withColumnRenamed("doc", "rep"), "rep")
+    # Spark takes the exploded units for as many as there are members and would broadcast them.
+    full = dealt.join(sets(met.select(F.col("rep").alias("doc")).distinct()).withColumnRenamed("doc", "rep").hint("merge"), "rep")
 
     def link(key: tuple, table: pa.Table) -> pa.Table:
         rep, group, second = (table.column(k).to_numpy() for k in ("rep", "component", "second"))
@@ -331,6 +332,7 @@ def linked_components(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame],
 
     ``sets`` makes ``doc`` and ``tokens`` for given classes (``doc``). Each step leaves out what the
     steps before it have connected: the nearest, then all pairs of a leaf, then large nodes by blocks.
+    Pairs and classes grow with the documents: their joins shuffle at every size.
     """
     first = write_scratch(nearest_pairs(nodes, percent, slack), "first_pairs")
     active = first.select(F.col("a").alias("doc")).union(first.select(F.col("b").alias("doc"))).distinct()
@@ -338,13 +340,13 @@ def linked_components(nodes: DataFrame, sets: Callable[[DataFrame], DataFrame],
     made = write_scratch(sets(active), "sets")
     links = write_scratch(confirmed(first, made, percent), "links")
     known = write_scratch(components(links), "components")
-    more = write_scratch(open_pairs(nodes, known, percent, slack).join(first, ["a", "b"], "left_anti"), "open_pairs")
+    more = write_scratch(open_pairs(nodes, known, percent, slack).join(first.hint("merge"), ["a", "b"], "left_anti"), "open_pairs")
     more = write_scratch(confirmed(more, made, percent), "links")
     if more.limit(1).count():
         known = write_scratch(components(links.union(more)), "components")
 
     def made_for(wanted: DataFrame) -> DataFrame:
-        rest = write_scratch(wanted.join(active, "doc", "left_anti"), "wanted_sets")
+        rest = write_scratch(wanted.join(active.hint("merge"), "doc", "left_anti"), "wanted_sets")
         return made.union(write_scratch(sets(rest), "sets"))
 
     far = block_links(nodes, known, made_for, percent)

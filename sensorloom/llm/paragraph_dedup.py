@@ -30,6 +30,8 @@ SHINGLE, LEAST_WORDS = 5, 16
 #: repeated pieces is a passage from so many words on. A passage of 50 words has its ends, about
 #: eight words each, in pieces that differ from place to place.
 REACH, LEAST_RUN = 4, 20
+#: Places that may be broadcast with their documents: 10 MB.
+PLACES = 300_000
 
 _STEPS = mix(np.arange(BANDS * ROWS, dtype=np.uint64), 101) | np.uint64(1)
 
@@ -92,9 +94,12 @@ def _class_sets(docs: DataFrame, wanted: DataFrame, least: int, text: str, doc_i
             ]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["doc", "tokens"])
 
-    places = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "cls")).alias("places"))
+    places = write_scratch(wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "cls")).alias("places")), "places")
+    # A document may list thousands of lines: places count, not documents alone.
+    listed = places.agg(F.sum(F.size("places"))).first()[0] or 0
+    places = side(places, 100_000) if listed <= PLACES else places.hint("merge")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    found = rows.join(side(write_scratch(places, "places"), 100_000), "doc").select("text", "places")
+    found = rows.join(places, "doc").select("text", "places")
     return found.mapInArrow(pick, "doc long, tokens binary").dropDuplicates(["doc"])
 
 
@@ -119,24 +124,25 @@ def repeated_paragraphs(
     # The number is fixed by being written.
     classes = classes.select(F.monotonically_increasing_id().alias("cls"), "s1", "s2", "copies", "first", "x.*")
     classes = write_scratch(classes, "paragraph_classes")
-    # Buckets are found on keys alone; sketches join what has company in one.
+    # Buckets are found on keys alone; sketches join what has company in one. Spark takes the exploded
+    # keys for a fiftieth of what a broadcast of them needs: joins of classes shuffle at every size.
     rows = classes.select(F.explode("bands").alias("node"), F.col("cls").alias("rep"))
     sizes = rows.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
-    nodes = rows.join(sizes, "node").join(classes.select(F.col("cls").alias("rep"), "n", "sketch"), "rep")
+    nodes = rows.join(sizes.hint("merge"), "node").join(classes.select(F.col("cls").alias("rep"), "n", "sketch").hint("merge"), "rep")
     small = F.col("members") <= SMALL
     nodes = nodes.select("node", "rep", "n", "sketch", small.alias("small"), (~small).alias("last"), "members")
     nodes = write_scratch(nodes, "band_nodes")
 
     def sets(reps: DataFrame) -> DataFrame:
-        wanted = reps.withColumnRenamed("doc", "cls").join(classes, "cls").select("cls", "first.doc", "first.line")
+        wanted = reps.withColumnRenamed("doc", "cls").join(classes.hint("merge"), "cls").select("cls", "first.doc", "first.line")
         return _class_sets(docs, wanted, least, text, doc_id)
 
     found = linked_components(nodes, sets, percent, SLACK)
-    named = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    named = classes.join(found.withColumnRenamed("node", "cls").hint("merge"), "cls", "left")
     named = named.where("copies > 1 OR component IS NOT NULL").withColumn("component", F.coalesce("component", "cls"))
     named = write_scratch(named.select("s1", "s2", "first", "component"), "named")
     kept = named.groupBy("component").agg(F.min("first").alias("kept"))
-    named = write_scratch(named.join(kept, "component").select("s1", "s2", "kept", (F.col("first") == F.col("kept")).alias("exact")), "removals")
+    named = write_scratch(named.join(kept.hint("merge"), "component").select("s1", "s2", "kept", (F.col("first") == F.col("kept")).alias("exact")), "removals")
     hit = all_.select("doc", "line", "words", "s1", "s2").join(side(named, 300_000), ["s1", "s2"])
     gone = hit.where(~(F.col("doc").eqNullSafe(F.col("kept.doc")) & (F.col("line") == F.col("kept.line"))))
     return gone.select(
